@@ -45,7 +45,7 @@ def register_table(spark: SparkSession, contract: Contract, location: str, repla
 
 def check_partitions(spark: SparkSession, contract: Contract) -> list[str]:
     """Differences between catalog partition keys and the contract's."""
-    cols = spark.catalog.listColumns(contract.table, contract.domain.database)
+    cols = spark.catalog.listColumns(contract.qualified_name)
     actual = [c.name for c in cols if c.isPartition]
     expected = list(contract.partition_by)
     return [] if actual == expected else [f"{contract.qualified_name}: partitions {actual}, declared {expected}"]

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekit.plans.business import business_map
 from lakekit.plans.jobs import conform_employees, sales_by_category
 
 # Load date used wherever results must be reproducible.
@@ -111,4 +112,4 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def proxy_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(PROXY_BUSINESS_MAP), "departamento string, categoria string")
+    return business_map(spark, PROXY_BUSINESS_MAP)
