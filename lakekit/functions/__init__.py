@@ -6,8 +6,12 @@ from lakekit.functions.columns import (
     legacy_int,
     lenient_double,
     load_date,
+    cents_to_decimal,
+    cents_to_double,
     money,
+    money_cents,
     money_sum,
+    money_total,
     pct,
     pick,
     safe_ratio,
@@ -23,8 +27,12 @@ __all__ = [
     "legacy_int",
     "lenient_double",
     "load_date",
+    "cents_to_decimal",
+    "cents_to_double",
     "money",
+    "money_cents",
     "money_sum",
+    "money_total",
     "pct",
     "pick",
     "safe_ratio",

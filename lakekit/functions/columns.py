@@ -65,15 +65,38 @@ def as_double(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def money(col: Column | str) -> Column:
-    """Exact two-decimal money value (NULL if it does not fit)."""
+def money_cents(col: Column | str) -> Column:
+    """Money as exact integer cents (bigint); NULL if unparseable or out of range.
+
+    Currency amounts with at most two decimals convert exactly; sums of
+    cents are exact, order-independent and stay in fast primitive
+    arithmetic (an overflow beyond ~9.2e16 currency units raises under ANSI).
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast(MONEY)
+    return F.rint(c.cast("double") * F.lit(100.0)).try_cast("bigint")
+
+
+def money(col: Column | str) -> Column:
+    """Exact two-decimal money value as DECIMAL(18,2)."""
+    return (money_cents(col).cast("decimal(20,0)") / F.lit(100)).try_cast(MONEY)
+
+
+def cents_to_double(cents: Column) -> Column:
+    return cents / F.lit(100.0)
+
+
+def cents_to_decimal(cents: Column) -> Column:
+    return (cents.cast("decimal(38,0)") / F.lit(100)).cast(MONEY)
 
 
 def money_sum(col: Column | str) -> Column:
-    """Order-independent money sum: exact decimal inside, double outside."""
-    return F.sum(money(col)).cast("double")
+    """Order-independent money sum: exact integer cents inside, double outside."""
+    return cents_to_double(F.sum(money_cents(col)))
+
+
+def money_total(col: Column | str) -> Column:
+    """Exact money sum as DECIMAL(18,2)."""
+    return cents_to_decimal(F.sum(money_cents(col)))
 
 
 def band(col: Column, limits: Sequence[tuple[float, str]], otherwise: str, null_band: str | None = None) -> Column:

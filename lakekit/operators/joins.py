@@ -1,8 +1,10 @@
 """Join helpers with an explicit, checked broadcast decision.
 
 A side is broadcast only when its size is proven: either it is a literal
-relation (bounded by construction) or a bounded probe
-``limit(max_rows + 1).count()`` shows it has at most ``max_rows`` rows.
+relation (bounded by construction) or a row-count probe shows it has at
+most ``max_rows`` rows.  The probe is a plain partial/final count (each
+task counts its split, one row per task is merged): it never gathers rows
+into one task, unlike ``limit(n).count()`` whose global limit would.
 Otherwise the join is left to Catalyst: sort-merge on the join keys, with
 adaptive execution free to switch to broadcast from runtime statistics
 and to split a skewed key's partition.
@@ -15,13 +17,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a dimension we accept to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Rows of a (narrow, projected) dimension we accept to ship to every executor.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size probe: scans at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Row-count probe (runs one small job on the projected dimension)."""
+    return df.count() <= max_rows
 
 
 def join_dim(

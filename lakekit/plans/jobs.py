@@ -10,7 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.contracts import EMPLOYEE_CONTRACT, Contract
-from lakekit.functions.columns import as_double, band, flag, legacy_int, load_date, money, pick, surrogate_id
+from lakekit.functions.columns import (
+    as_double,
+    band,
+    cents_to_double,
+    flag,
+    legacy_int,
+    load_date,
+    money_cents,
+    pick,
+    surrogate_id,
+)
 from lakekit.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 
 # --- Fixed values (must equal the reference's employee mapping) ---
@@ -41,10 +51,10 @@ def sales_by_category(
 
     Items join products on ``key`` (inner: orphan items are dropped, a
     NULL category is one group).  ``price`` text is parsed leniently and
-    summed as exact DECIMAL(18,2), returned as double.
+    summed exactly in integer cents, returned as double.
 
     Physical strategy:
-      * products proven small (bounded probe) -> broadcast hash join, then a
+      * products proven small (row-count probe) -> broadcast hash join, then a
         partial/final aggregate by category: the item table is never
         shuffled;
       * otherwise -> pre-aggregate items per product first (map-side
@@ -53,23 +63,23 @@ def sales_by_category(
         key, then aggregate by category.
     Both plans give the same exact result.
     """
-    prices = items.select(key, item, money(as_double(items, price)).alias("_price"))
+    prices = items.select(key, item, money_cents(as_double(items, price)).alias("_cents"))
     dims = products.select(key, category)
 
     if max_broadcast_rows is not None and has_at_most(dims, max_broadcast_rows):
         joined = prices.join(F.broadcast(dims), on=key, how="inner")
         return joined.groupBy(category).agg(
-            F.sum("_price").cast("double").alias(revenue_name),
+            cents_to_double(F.sum("_cents")).alias(revenue_name),
             F.count(item).alias(count_name),
         )
 
     per_product = prices.groupBy(key).agg(
-        F.sum("_price").alias("_revenue"),
+        F.sum("_cents").alias("_revenue"),
         F.count(item).alias("_items"),
     )
     joined = per_product.join(dims, on=key, how="inner")
     return joined.groupBy(category).agg(
-        F.sum("_revenue").cast("double").alias(revenue_name),
+        cents_to_double(F.sum("_revenue")).alias(revenue_name),
         F.sum("_items").cast("bigint").alias(count_name),
     )
 
