@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakekit.contracts import Contract
 
@@ -103,8 +104,14 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 def retain(df: DataFrame, ts_col: str, as_of, days: int = 30) -> DataFrame:
     """Rows whose ``ts_col`` lies within ``days`` before ``as_of``.
 
-    On a ``run_date`` partition column this prunes partitions; on a
-    timestamp column the filter is pushed to the Parquet scan.
+    The bound is built in the column's own type (date, timestamp or
+    timestamp_ntz), so no time-zone conversion happens.  On a ``run_date``
+    partition column this prunes partitions; on a data column the filter
+    is pushed to the Parquet scan.
     """
-    start = F.lit(str(as_of)).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
+    dtype = df.schema[ts_col].dataType
+    if isinstance(dtype, T.DateType):
+        start = F.date_sub(F.lit(str(as_of)).cast("date"), int(days))
+    else:
+        start = F.lit(str(as_of)).cast(dtype) - F.make_dt_interval(F.lit(int(days)))
     return df.filter(F.col(ts_col) >= start)

@@ -1,0 +1,3 @@
+from lakekit.streaming.landing import land_raw_csv
+
+__all__ = ["land_raw_csv"]
