@@ -119,3 +119,24 @@ def conform_employees(
         "data_carga": load_date(load_date_value),
     }
     return raw.select(*[exprs[f.name].cast(f.dataType).alias(f.name) for f in contract.schema.fields])
+
+
+def parse_rejects(raw: DataFrame, columns, keep=(), parser=legacy_int) -> DataFrame:
+    """Raw values that are present but do not parse: (``keep``..., column, value).
+
+    One pass over the sheet: each row is unpivoted into (column, text,
+    parsed) triples and only present-but-NULL-after-parsing ones are kept.
+    Absent columns are skipped.  This is the reject companion of the
+    lenient casts, which turn such values into NULL.
+    """
+    present = [c for c in columns if c in raw.columns]
+    if not present:
+        return raw.sparkSession.createDataFrame([], ", ".join([f"{k} string" for k in keep] + ["column string", "value string"]))
+    triples = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), parser(F.col(c)).alias("parsed")) for c in present]
+    )
+    exploded = raw.select(*keep, F.inline(triples))
+    return exploded.filter(F.col("value").isNotNull() & F.col("parsed").isNull()).select(*keep, "column", "value")
+
+
+NUMERIC_SHEET_COLUMNS = ("Age", "YearsAtCompany", "JobSatisfaction", "MonthlyIncome")

@@ -218,15 +218,19 @@ def audit_grants(actual: DataFrame, expected: DataFrame, sensitive: DataFrame) -
     (database, table, column).
     """
     keys = ["principal", "database", "table", "permission"]
-    a = actual.select(*keys, F.col("columns").alias("actual_columns"), F.lit(True).alias("_present"))
+    a = actual.select(*[F.col(k).alias(f"a_{k}") for k in keys], F.col("columns").alias("actual_columns"), F.lit(True).alias("_present"))
     e = expected.select(*keys, F.col("columns").alias("expected_columns"))
     leaked = (
         actual.select(*keys, F.explode("columns").alias("column"))
         .join(sensitive, ["database", "table", "column"], "inner")
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_set("column")).alias("leaked"))
+        .select(*[F.col(k).alias(f"l_{k}") for k in keys], "leaked")
     )
-    j = e.join(a, keys, "left").join(leaked, keys, "left")
+    # database / table are NULL for location grants: match them null-safely
+    on_a = [e[k].eqNullSafe(a[f"a_{k}"]) for k in keys]
+    j = e.join(a, on_a, "left")
+    j = j.join(leaked, [j[k].eqNullSafe(leaked[f"l_{k}"]) for k in keys], "left")
     status = (
         F.when(F.col("_present").isNull(), "FAIL")
         .when(F.col("expected_columns").isNotNull() & F.col("actual_columns").isNull(), "FAIL")

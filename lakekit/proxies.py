@@ -115,6 +115,14 @@ def employee_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
+def dirty_employee_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full sheet where every 7th employee's Age is typed as words ('41 anos')."""
+    sheet = employee_sheet(spark, sf_dir)
+    dirty = F.col("EmployeeNumber").cast("bigint") % 7 == 0
+    return sheet.withColumn("Age", F.when(dirty, F.concat(F.col("Age"), F.lit(" anos"))).otherwise(F.col("Age")))
+
+
 @_per_session
 def reduced_employee_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheet without EmployeeNumber, JobRole, Age, Gender and Attrition."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lakekit import expect as X
 from lakekit import policy as G
 from lakekit.contracts import ANALYTICS, EMPLOYEE_CONTRACT, SALES_CONTRACT
+from lakekit.plans.jobs import NUMERIC_SHEET_COLUMNS, parse_rejects
 
 
 def _decision_rows(spark: SparkSession, rows) -> DataFrame:
@@ -67,7 +68,10 @@ def validate_lake(
     policy: G.Policy,
     expected_grants: list[G.Grant] | None = None,
     expected_metrics: DataFrame | None = None,
+    raw_sheet: DataFrame | None = None,
 ) -> DataFrame:
+    """All checks as one DataFrame; ``raw_sheet`` adds HR input checks
+    (unknown incomes silently land in the top band; unparseable numbers)."""
     checks = [
         X.expect_present(raw_inputs),
         X.expect_rows(sales, f"refined:{SALES_CONTRACT.qualified_name}"),
@@ -77,6 +81,15 @@ def validate_lake(
         X.expect_unique(employees, "employee_id"),
         governance_checks(spark, employees, policy),
     ]
+    if raw_sheet is not None:
+        if "MonthlyIncome" in raw_sheet.columns:
+            checks.append(X.expect_no_nulls(raw_sheet, "MonthlyIncome", "raw:unknown_income"))
+        rejects = parse_rejects(raw_sheet, NUMERIC_SHEET_COLUMNS)
+        checks.append(X.expect_rows(rejects, "raw:unparseable_numbers", 1).select(
+            "check",
+            F.when(F.col("status") == "OK", "WARN").otherwise("OK").alias("status"),
+            "detail",
+        ))
     if expected_grants is not None:
         checks.append(grant_checks(spark, policy, expected_grants))
     if expected_metrics is not None:
