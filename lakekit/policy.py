@@ -125,6 +125,10 @@ class Policy:
             for g in self.grants
         )
 
+    def ddl_guard(self, principal: str) -> Callable[[str, str], bool]:
+        """``allowed(permission, database)`` for DDL such as ``apply_drift``."""
+        return lambda permission, database: self.allows(principal, permission, database)
+
     def write_guard(self, principal: str) -> Callable[[str], None]:
         def guard(path: str) -> None:
             if not self.may_write(principal, path):

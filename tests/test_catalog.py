@@ -1,10 +1,13 @@
+import os
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 from lakekit import catalog as C
+from lakekit import policy as G
 from lakekit import sinks as K
-from lakekit.contracts import SALES_CONTRACT
+from lakekit.contracts import ANALYTICS, SALES, SALES_CONTRACT
 
 
 def test_drift_actions(spark):
@@ -43,7 +46,15 @@ def test_register_write_repoint_and_drift(spark, tmp_dir):
         C.schema_frame(spark, SALES_CONTRACT.schema),
         C.schema_frame(spark, [(f.name, f.dataType.simpleString()) for f in SALES_CONTRACT.schema.fields] + [("canal", "string")]),
     )
-    stmts = C.apply_drift(spark, SALES_CONTRACT.qualified_name, drift, allowed=lambda p, db: True)
-    assert len(stmts) == 1 and "canal" in spark.table(SALES_CONTRACT.qualified_name).columns
+    policy = G.Policy(G.reference_grants(tmp_dir))
     with pytest.raises(PermissionError):
-        C.apply_drift(spark, SALES_CONTRACT.qualified_name, drift, allowed=lambda p, db: False)
+        C.apply_drift(spark, SALES_CONTRACT.qualified_name, drift, allowed=policy.ddl_guard(ANALYTICS))
+    stmts = C.apply_drift(spark, SALES_CONTRACT.qualified_name, drift, allowed=policy.ddl_guard(SALES.producer))
+    assert len(stmts) == 1 and "canal" in spark.table(SALES_CONTRACT.qualified_name).columns
+    assert spark.table(SALES_CONTRACT.qualified_name).filter("canal IS NOT NULL").count() == 0
+    files = [f for f in os.listdir(v2) if f.endswith(".parquet")]
+    assert files and all(".snappy." in f for f in files)
+    guard = policy.write_guard(SALES.producer)
+    with pytest.raises(G.AccessDenied):
+        K.write_refined(df, SALES_CONTRACT, tmp_dir + "/elsewhere", guard=guard)
+    assert K.write_refined(df, SALES_CONTRACT, loc, guard=guard).startswith(loc)
