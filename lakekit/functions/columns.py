@@ -73,7 +73,7 @@ def money_cents(col: Column | str) -> Column:
     arithmetic (an overflow beyond ~9.2e16 currency units raises under ANSI).
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.rint(c.cast("double") * F.lit(100.0)).try_cast("bigint")
+    return F.rint(c.try_cast("double") * F.lit(100.0)).try_cast("bigint")
 
 
 def money(col: Column | str) -> Column:
@@ -136,7 +136,7 @@ def surrogate_id(
     if natural in present:
         return F.col(natural).cast("string")
     if not strict:
-        return F.sha2(F.concat_ws(sep, *[pick(present, p, default="") for p in parts]), 256)
+        return F.sha2(F.concat_ws(sep, *[pick(present, p, default="").cast("string") for p in parts]), 256)
     encoded = []
     for p in parts:
         v = pick(present, p, default="").cast("string")

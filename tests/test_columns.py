@@ -92,3 +92,19 @@ def test_safe_ratio_and_pct(spark):
     assert out[0]["r"] is None and out[0]["p"] is None
     assert out[1]["r"] == 2.5 and out[1]["p"] == 250.0
     assert out[2]["p"] == 33.3
+
+
+def test_money_is_lenient_and_exact(spark):
+    from lakekit.functions import money_cents, money_sum, money_total
+
+    df = spark.createDataFrame([("58.90",), ("abc",), ("0.1",), ("0.2",), (None,)], "p string")
+    assert [r[0] for r in df.select(money_cents("p")).collect()] == [5890, None, 10, 20, None]
+    r = df.agg(money_sum("p").alias("s"), money_total("p").alias("t")).first()
+    assert r.s == 59.2 and str(r.t) == "59.20"
+
+
+def test_hash_id_on_typed_sheet(spark):
+    typed = spark.createDataFrame([(41, "Sales", 5000, 3, "No")], "Age int, Department string, MonthlyIncome int, YearsAtCompany int, Attrition string")
+    parts = ["Age", "Department", "MonthlyIncome", "YearsAtCompany", "Attrition"]
+    got = typed.select(surrogate_id(typed, "EmployeeNumber", parts)).first()[0]
+    assert got == hashlib.sha256(b"41|Sales|5000|3|No").hexdigest()
