@@ -30,6 +30,18 @@ def test_jobs_query_and_validate_end_to_end(spark, tmp_dir, capsys):
     assert out[0] == "categoria,departamento,total_receita,qtd_itens,media_satisfacao,total_funcionarios"
     assert out[1].startswith("perfumaria,Sales,58.9,1,4.0,1")
     assert os.path.isdir(os.path.join(results, "cross_domain", "run_date=2024-01-02"))
+    sql = os.path.join(tmp_dir, "cross.sql")
+    from lakekit.plans.business import cross_domain_sql
+
+    _write(sql, "-- cross-domain as the analytics principal\n" + cross_domain_sql() + ";\n")
+    assert main(["sql", sql, "--sales", sales_path, "--employees", emp_path, "--results", results, "--run-date", "2024-01-02"]) == 0
+    assert capsys.readouterr().out.strip().splitlines()[1].startswith("perfumaria,Sales,58.9,1,4.0,1")
+    denied = os.path.join(tmp_dir, "denied.sql")
+    _write(denied, "SELECT departamento, faixa_salarial FROM funcionarios")
+    from lakekit.policy import AccessDenied
+
+    with pytest.raises(AccessDenied):
+        main(["sql", denied, "--sales", sales_path, "--employees", emp_path])
     rc = main(["validate", "--sales", sales_path, "--employees", emp_path, "--raw", f"items={items}", "--raw", f"products={products}"])
     text = capsys.readouterr().out
     assert rc == 0 and "verdict: OK" in text and "governance:denied:faixa_salarial,OK" in text
