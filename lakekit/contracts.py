@@ -50,6 +50,26 @@ class Contract:
         return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
 
 
+def conform(df, contract: "Contract", fill_missing: bool = False):
+    """Select the contract's columns, in order and cast to the declared types.
+
+    Undeclared columns are dropped.  A declared column that is absent raises,
+    unless ``fill_missing`` fills it with a typed NULL.
+    """
+    from pyspark.sql import functions as F
+
+    present = set(df.columns)
+    missing = [f.name for f in contract.schema.fields if f.name not in present]
+    if missing and not fill_missing:
+        raise ValueError(f"{contract.qualified_name}: missing columns {missing}")
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in contract.schema.fields
+        ]
+    )
+
+
 def zone_path(lake_root: str, domain: Domain, zone: str, table: str, file: str | None = None) -> str:
     """``<root>/dominio=<d>/<zone>/<table>/[file]``.
 

@@ -38,6 +38,36 @@ def expect_present(inputs: Mapping[str, DataFrame], min_rows: int = 1) -> DataFr
     return union_checks([expect_rows(df, f"input:{name}", min_rows) for name, df in inputs.items()])
 
 
+def expect_files(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """Each named raw location holds at least one non-empty file.
+
+    Lists file metadata only (content is never read); a missing location is
+    a FAIL row, not an error.
+    """
+    from pyspark.errors import AnalysisException
+
+    from lakekit.sources.manifest import raw_file_manifest
+
+    checks = []
+    for name, path in paths.items():
+        try:
+            files = raw_file_manifest(spark, path, with_md5=False)
+        except AnalysisException:
+            checks.append(spark.createDataFrame([(f"files:{name}", "FAIL", "missing")], CHECKS_SCHEMA))
+            continue
+        agg = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+        checks.append(
+            agg.select(
+                *_row(
+                    f"files:{name}",
+                    F.when((F.col("n") > 0) & (F.col("bytes") > 0), "OK").otherwise("FAIL"),
+                    F.concat(F.lit("files="), F.col("n"), F.lit(" bytes="), F.col("bytes")),
+                )
+            )
+        )
+    return union_checks(checks)
+
+
 def expect_tables(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     rows = [(f"table:{n}", "OK" if spark.catalog.tableExists(n) else "FAIL", "registered") for n in names]
     return spark.createDataFrame(rows, CHECKS_SCHEMA)

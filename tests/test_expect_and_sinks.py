@@ -60,3 +60,30 @@ def test_result_sink_retention_and_preview(spark, tmp_dir):
     assert kept.count() == 20
     assert K.read_results(spark, tmp_dir, "q1", schema="k int, name string", run_date="2024-01-01").count() == 5
     assert [r.k for r in K.preview(df.orderBy(F.desc("k")), 3).collect()] == [19, 18, 17]
+
+
+def test_expect_files(spark, tmp_dir):
+    full = os.path.join(tmp_dir, "full")
+    empty = os.path.join(tmp_dir, "empty")
+    os.makedirs(full)
+    os.makedirs(empty)
+    with open(os.path.join(full, "a.csv"), "w") as f:
+        f.write("x\n1\n")
+    with open(os.path.join(empty, "b.csv"), "w") as f:
+        f.write("")
+    got = {r.check: (r.status, r.detail) for r in X.expect_files(spark, {"full": full, "empty": empty, "gone": os.path.join(tmp_dir, "nope")}).collect()}
+    assert got["files:full"] == ("OK", "files=1 bytes=4")
+    assert got["files:empty"][0] == "FAIL" and got["files:gone"] == ("FAIL", "missing")
+
+
+def test_conform_to_contract(spark):
+    import pytest
+
+    from lakekit.contracts import conform
+
+    df = spark.createDataFrame([("1.5", "a", "2", "x")], "total_receita string, product_category_name string, qtd_itens string, extra string")
+    out = conform(df, SALES_CONTRACT)
+    assert out.dtypes == [("product_category_name", "string"), ("total_receita", "double"), ("qtd_itens", "bigint")]
+    with pytest.raises(ValueError):
+        conform(df.drop("qtd_itens"), SALES_CONTRACT)
+    assert conform(df.drop("qtd_itens"), SALES_CONTRACT, fill_missing=True).first().qtd_itens is None
