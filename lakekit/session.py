@@ -60,8 +60,10 @@ def get_session(
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared working folder (``spark.checkpoint.dir``).
 
-    Read from the session; only where it is unset (local runs and tests)
-    a folder is created and registered as the checkpoint dir.
+    Read from the session; only where it is unset *and* the master is
+    local (tests, single-machine runs) a folder is created and registered as
+    the checkpoint dir.  On a cluster an unset value is an error: a
+    driver-local folder is invisible to executors.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -71,6 +73,8 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a random sub-folder; its parent is ours.
         return os.path.dirname(current.rstrip("/"))
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder (e.g. on the cluster file system)")
     base = tempfile.mkdtemp(prefix="lakekit-ckpt-")
     sc.setCheckpointDir(base)
     return base
