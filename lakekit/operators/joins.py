@@ -40,9 +40,17 @@ def join_dim(
     return fact.join(dim, on=on, how=how)
 
 
-def join_literal(fact: DataFrame, literal: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join to an inline literal relation (bounded by construction)."""
-    return fact.join(F.broadcast(literal), on=on, how=how)
+def join_literal(
+    fact: DataFrame,
+    small: DataFrame,
+    on,
+    how: str = "inner",
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join to a small (usually inline literal) relation, broadcast behind
+    the same row-count check as ``join_dim`` (a literal is counted on its
+    local rows, so the check is nearly free)."""
+    return join_dim(fact, small, on, how, max_broadcast_rows=max_rows)
 
 
 def unmatched(left: DataFrame, right: DataFrame, on) -> DataFrame:
