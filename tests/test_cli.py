@@ -50,3 +50,22 @@ def test_jobs_query_and_validate_end_to_end(spark, tmp_dir, capsys):
 def test_query_refuses_unknown_name():
     with pytest.raises(SystemExit):
         main(["query", "nope", "--sales", "x", "--employees", "y"])
+
+
+def test_refresh_whole_lake(spark, tmp_dir, capsys):
+    items, products, sheet = (os.path.join(tmp_dir, n) for n in ("items.csv", "products.csv", "hr.csv"))
+    _write(items, "order_id,order_item_id,product_id,price\no1,1,p1,58.90\no1,2,p2,10\n")
+    _write(products, "product_id,product_category_name\np1,perfumaria\np2,\n")
+    _write(sheet, "Department,EducationField,Age,MonthlyIncome\nSales,Marketing,30,\nSales,Medical,x,4000\n")
+    root = os.path.join(tmp_dir, "lake")
+    for db in ("vendas_db", "rh_db"):
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    rc = main(["refresh", "--lake-root", root, "--items", items, "--products", products, "--sheet", sheet, "--load-date", "2024-01-01"])
+    out = capsys.readouterr().out
+    assert rc == 0 and "verdict: WARN" in out  # unknown income + unparseable age are warnings
+    assert "dominio=vendas/refined/vendas_por_categoria/version=" in out
+    assert "raw:unparseable_numbers,WARN,rows=1" in out and "grant:role-analytics:rh_db:funcionarios:SELECT,OK" in out
+    got = {r.product_category_name: (r.total_receita, r.qtd_itens) for r in spark.table("vendas_db.vendas_por_categoria").collect()}
+    assert got == {"perfumaria": (58.9, 1), None: (10.0, 1)}
+    emp = spark.table("rh_db.funcionarios").orderBy("idade").collect()
+    assert [(e.cargo, e.idade, e.faixa_salarial) for e in emp] == [("Medical", None, "baixa"), ("Marketing", 30, "alta")]
