@@ -84,8 +84,8 @@ def zone_path(lake_root: str, domain: Domain, zone: str, table: str, file: str |
 
 # --- Fixed values: names and declared schemas that must equal the
 # --- reference's contracts (two domains, two refined tables).
-SALES = Domain(name="vendas", database="vendas_db", producer="role-glue-vendas")
-HR = Domain(name="rh", database="rh_db", producer="role-glue-rh")
+SALES = Domain(name="vendas", database="vendas_db", producer="producer-vendas")
+HR = Domain(name="rh", database="rh_db", producer="producer-rh")
 ANALYTICS = "role-analytics"
 
 SALES_CONTRACT = Contract(
