@@ -56,3 +56,42 @@ def join_literal(
 def unmatched(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Rows of ``left`` without a partner in ``right`` (left anti join)."""
     return left.join(right, on=on, how="left_anti")
+
+
+def hot_keys(fact: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """Keys carrying at least ``min_rows`` rows (partial/final count).
+
+    The result is bounded by construction: at most ``rows / min_rows`` keys.
+    """
+    return fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows).select(key)
+
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    how: str = "inner",
+    buckets: int = 32,
+    min_hot_rows: int = 1_000_000,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Equi-join on ``key`` that spreads hot keys over ``buckets`` tasks.
+
+    Fact rows of a hot key get a salt in [0, buckets) from a hash of the
+    row itself (deterministic, so a re-run task after an executor loss
+    routes every row exactly as before); the matching
+    dimension rows are replicated once per salt; all other keys keep salt 0,
+    so only hot keys are replicated.  The hot-key list is small by
+    construction (see ``hot_keys``) and broadcast.  Use where adaptive
+    skew-join splitting is unavailable; results equal the plain join.
+    """
+    if how not in ("inner", "left", "left_outer"):
+        raise ValueError("salted_join supports inner and left joins")
+    hot = (hot if hot is not None else hot_keys(fact, key, min_hot_rows)).select(key).withColumn("_hot", F.lit(True))
+    f = fact.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(buckets)).cast("int")).otherwise(F.lit(0))
+    )
+    d = dim.join(F.broadcast(hot), key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0))))
+    )
+    return f.drop("_hot").join(d.drop("_hot"), [key, "_salt"], how).drop("_salt")
