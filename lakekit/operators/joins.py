@@ -32,11 +32,21 @@ def join_dim(
     on: str | Sequence[str] | Column,
     how: str = "inner",
     max_broadcast_rows: int | None = None,
+    salt_buckets: int | None = None,
+    min_hot_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Fact x dimension join; broadcast the dimension only behind a check."""
+    """Fact x dimension join; broadcast the dimension only behind a check.
+
+    When the dimension is too large to broadcast, the join is a shuffle
+    join; adaptive execution splits skewed partitions by default, and
+    ``salt_buckets`` (single key column only) salts the hot keys
+    explicitly instead.
+    """
     if max_broadcast_rows is not None and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         if has_at_most(dim, max_broadcast_rows):
-            dim = F.broadcast(dim)
+            return fact.join(F.broadcast(dim), on=on, how=how)
+    if salt_buckets and isinstance(on, str) and how in ("inner", "left", "left_outer"):
+        return salted_join(fact, dim, on, how, buckets=salt_buckets, min_hot_rows=min_hot_rows)
     return fact.join(dim, on=on, how=how)
 
 

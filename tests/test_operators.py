@@ -53,6 +53,8 @@ def test_salted_join_equals_plain_join_and_spreads_hot_key(spark):
         # the hot key's rows land in several shuffle partitions instead of one
         per_part = salted.filter(F.col("k") == 0).withColumn("p", F.spark_partition_id()).select("p").distinct().count()
         assert per_part > 1
+        via_dim = join_dim(fact, dim, "k", max_broadcast_rows=10, salt_buckets=8, min_hot_rows=1000)
+        assert sorted(via_dim.collect()) == sorted(plain.collect())
         left = salted_join(fact, dim.filter(F.col("k") != 7), "k", "left", buckets=8, min_hot_rows=1000)
         assert left.count() == n and left.filter(F.col("w").isNull()).count() == fact.filter(F.col("k") == 7).count()
     finally:
