@@ -12,9 +12,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,61 +70,68 @@ def type_rank(t: Column) -> Column:
     return expr.otherwise(F.lit(0.0))
 
 
-def _arrow_to_spark(t) -> str:
-    import pyarrow as pa
-
-    if pa.types.is_int8(t):
-        return "tinyint"
-    if pa.types.is_int16(t):
-        return "smallint"
-    if pa.types.is_int32(t) or pa.types.is_uint16(t) or pa.types.is_uint8(t):
-        return "int"
-    if pa.types.is_int64(t) or pa.types.is_uint32(t):
-        return "bigint"
-    if pa.types.is_uint64(t):
-        return "decimal(20,0)"
-    if pa.types.is_float32(t):
-        return "float"
-    if pa.types.is_float64(t):
-        return "double"
-    if pa.types.is_decimal(t):
-        return f"decimal({t.precision},{t.scale})"
-    if pa.types.is_string(t) or pa.types.is_large_string(t):
-        return "string"
-    if pa.types.is_binary(t) or pa.types.is_large_binary(t):
-        return "binary"
-    if pa.types.is_boolean(t):
-        return "boolean"
-    if pa.types.is_date(t):
-        return "date"
-    if pa.types.is_timestamp(t):
-        return "timestamp" if t.tz is not None else "timestamp_ntz"
-    if pa.types.is_list(t) or pa.types.is_large_list(t):
-        return f"array<{_arrow_to_spark(t.value_type)}>"
-    if pa.types.is_map(t):
-        return f"map<{_arrow_to_spark(t.key_type)},{_arrow_to_spark(t.item_type)}>"
-    if pa.types.is_struct(t):
-        return "struct<" + ",".join(f"{f.name}:{_arrow_to_spark(f.type)}" for f in t) + ">"
-    return str(t)
-
-
-def _footer_columns(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-    """Executor side: read the Parquet footer of each listed file."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        out = []
-        for path in batch["path"]:
-            if path.startswith("file:"):
-                filesystem, local = fs.LocalFileSystem(), path[len("file:") :].lstrip("/")
-                local = "/" + local
-            else:
-                filesystem, local = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            schema = pq.read_schema(local, filesystem=filesystem)
-            for i, field in enumerate(schema):
-                out.append((path, i, field.name, _arrow_to_spark(field.type)))
-        yield pd.DataFrame(out, columns=["path", "position", "column", "type"])
+def _footer_reader():
+    """Executor-side footer reader.
+
+    Built as a closure so Spark ships its code with the task: executors only
+    need pyarrow and pandas, not an installed copy of this package.
+    """
+
+    def arrow_to_spark(t) -> str:
+        import pyarrow as pa
+
+        if pa.types.is_int8(t):
+            return "tinyint"
+        if pa.types.is_int16(t):
+            return "smallint"
+        if pa.types.is_int32(t) or pa.types.is_uint16(t) or pa.types.is_uint8(t):
+            return "int"
+        if pa.types.is_int64(t) or pa.types.is_uint32(t):
+            return "bigint"
+        if pa.types.is_uint64(t):
+            return "decimal(20,0)"
+        if pa.types.is_float32(t):
+            return "float"
+        if pa.types.is_float64(t):
+            return "double"
+        if pa.types.is_decimal(t):
+            return f"decimal({t.precision},{t.scale})"
+        if pa.types.is_string(t) or pa.types.is_large_string(t):
+            return "string"
+        if pa.types.is_binary(t) or pa.types.is_large_binary(t):
+            return "binary"
+        if pa.types.is_boolean(t):
+            return "boolean"
+        if pa.types.is_date(t):
+            return "date"
+        if pa.types.is_timestamp(t):
+            return "timestamp" if t.tz is not None else "timestamp_ntz"
+        if pa.types.is_list(t) or pa.types.is_large_list(t):
+            return f"array<{arrow_to_spark(t.value_type)}>"
+        if pa.types.is_map(t):
+            return f"map<{arrow_to_spark(t.key_type)},{arrow_to_spark(t.item_type)}>"
+        if pa.types.is_struct(t):
+            return "struct<" + ",".join(f"{f.name}:{arrow_to_spark(f.type)}" for f in t) + ">"
+        return str(t)
+
+    def read_footers(batches):
+        import pandas
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for path in batch["path"]:
+                if path.startswith("file:"):
+                    filesystem, local = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+                else:
+                    filesystem, local = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+                schema = pq.read_schema(local, filesystem=filesystem)
+                for i, field in enumerate(schema):
+                    out.append((path, i, field.name, arrow_to_spark(field.type)))
+            yield pandas.DataFrame(out, columns=["path", "position", "column", "type"])
+
+    return read_footers
 
 
 def file_columns(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
@@ -137,7 +143,7 @@ def file_columns(spark: SparkSession, path: str, glob: str = "*.parquet") -> Dat
         .load(path)
         .select("path")
     )
-    return listing.mapInPandas(_footer_columns, COLUMN_TYPES)
+    return listing.mapInPandas(_footer_reader(), COLUMN_TYPES)
 
 
 def discover_schema(spark: SparkSession, path: str, glob: str = "*.parquet", allow_string: bool = False) -> DataFrame:
