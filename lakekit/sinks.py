@@ -40,7 +40,9 @@ def check_contract(df: DataFrame, contract: Contract) -> None:
 
 
 def new_version_path(location: str) -> str:
-    stamp = time.strftime("%Y%m%dT%H%M%S", time.gmtime())
+    """Fresh ``version=<UTC stamp to the microsecond>-<random>`` folder; the
+    stamps sort chronologically."""
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     return f"{location.rstrip('/')}/version={stamp}-{uuid.uuid4().hex[:8]}"
 
 

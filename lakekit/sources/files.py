@@ -47,5 +47,21 @@ def read_refined(spark: SparkSession, contract: Contract, path: str) -> DataFram
     return spark.read.schema(contract.schema).parquet(path)
 
 
+def read_current(spark: SparkSession, contract: Contract, location: str) -> DataFrame:
+    """The newest published version under a table location, without a catalog.
+
+    Versions are ``version=<stamp>`` folders (see ``write_refined``); the
+    newest stamp is found by a scalar subquery over the partition column and
+    partition pruning restricts the scan to that version's files.
+    """
+    from pyspark.sql import functions as F
+
+    versions = spark.read.parquet(location)
+    newest = versions.agg(F.max("version")).scalar()
+    with_version = T.StructType([*contract.schema.fields, T.StructField("version", T.StringType())])
+    current = spark.read.schema(with_version).parquet(location)
+    return current.filter(F.col("version") == newest).select(*contract.columns)
+
+
 def catalog_scan(spark: SparkSession, qualified_name: str) -> DataFrame:
     return spark.table(qualified_name)

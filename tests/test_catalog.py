@@ -58,3 +58,16 @@ def test_register_write_repoint_and_drift(spark, tmp_dir):
     with pytest.raises(G.AccessDenied):
         K.write_refined(df, SALES_CONTRACT, tmp_dir + "/elsewhere", guard=guard)
     assert K.write_refined(df, SALES_CONTRACT, loc, guard=guard).startswith(loc)
+
+
+def test_read_current_version_without_catalog(spark, tmp_dir):
+    from lakekit.sources.files import read_current
+
+    loc = tmp_dir + "/sales"
+    for i in range(3):
+        K.write_refined(spark.createDataFrame([(f"c{i}", float(i), i)], SALES_CONTRACT.schema), SALES_CONTRACT, loc)
+    cur = read_current(spark, SALES_CONTRACT, loc)
+    assert cur.columns == SALES_CONTRACT.columns and [r[0] for r in cur.collect()] == ["c2"]
+    assert len(SALES_CONTRACT.schema.fields) == 3
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(version" in plan
