@@ -8,7 +8,6 @@ runs, so a table is never overwritten in place.
 from __future__ import annotations
 
 import datetime as _dt
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
