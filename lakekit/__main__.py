@@ -38,7 +38,7 @@ QUERIES = {
     "satisfaction_by_department": lambda s, e, spark: B.satisfaction_by(e),
     "turnover_by_department": lambda s, e, spark: B.turnover_by(e),
     "low_satisfaction": lambda s, e, spark: B.low_satisfaction(e),
-    "cross_domain": lambda s, e, spark: B.cross_domain(s, e, B.business_map(spark)),
+    "cross_domain": lambda s, e, spark: B.cross_domain(s, e, B.REFERENCE_BUSINESS_MAP),
     "sales_totals": lambda s, e, spark: B.sales_totals(s),
     "headcount": lambda s, e, spark: B.headcount(e),
     "top5_categories": lambda s, e, spark: B.top_categories_raw(s, 5),

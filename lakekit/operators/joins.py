@@ -56,10 +56,18 @@ def join_literal(
     on,
     how: str = "inner",
     max_rows: int = DEFAULT_BROADCAST_ROWS,
+    known_rows: int | None = None,
 ) -> DataFrame:
-    """Join to a small (usually inline literal) relation, broadcast behind
-    the same row-count check as ``join_dim`` (a literal is counted on its
-    local rows, so the check is nearly free)."""
+    """Join to a small (usually inline literal) relation.
+
+    ``known_rows``: the caller built the relation from that many local rows,
+    which is a proven bound without running a job; otherwise the same
+    row-count check as ``join_dim`` decides.
+    """
+    if known_rows is not None and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        if known_rows <= max_rows:
+            return fact.join(F.broadcast(small), on=on, how=how)
+        return fact.join(small, on=on, how=how)
     return join_dim(fact, small, on, how, max_broadcast_rows=max_rows)
 
 
