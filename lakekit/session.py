@@ -83,3 +83,30 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder under the shared working folder."""
     return f"{shared_dir(spark)}/lakekit/{purpose}/{uuid.uuid4().hex}"
+
+
+def scale_conf(
+    input_bytes: int,
+    target_partition_bytes: int = 256 * 1024**2,
+    min_partitions: int = 200,
+    max_partitions: int = 200_000,
+) -> dict[str, str]:
+    """Session settings sized for a job reading ``input_bytes``.
+
+    Shuffle partitions start at one per ``target_partition_bytes`` of input
+    (clamped), so even an un-reduced shuffle of the whole input fits in
+    executor memory per task; adaptive execution then coalesces small
+    partitions and splits skewed ones (a partition five times the median and
+    above 1 GiB is split).  Scan splits match the target size.
+    """
+    partitions = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    mib = target_partition_bytes // 1024**2
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mib}m",
+        "spark.sql.files.maxPartitionBytes": f"{mib}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }

@@ -108,3 +108,13 @@ def test_hash_id_on_typed_sheet(spark):
     parts = ["Age", "Department", "MonthlyIncome", "YearsAtCompany", "Attrition"]
     got = typed.select(surrogate_id(typed, "EmployeeNumber", parts)).first()[0]
     assert got == hashlib.sha256(b"41|Sales|5000|3|No").hexdigest()
+
+
+def test_scale_conf_sizes_partitions():
+    from lakekit.session import scale_conf
+
+    big = scale_conf(100 * 1024**4)  # 409,600 splits of 256 MiB, clamped
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert scale_conf(10 * 1024**2)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_conf(1024**4)["spark.sql.shuffle.partitions"] == "4096"
