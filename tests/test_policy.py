@@ -101,3 +101,18 @@ def test_audit_grants(spark):
     leaky = [G.Grant(ANALYTICS, "SELECT", HR.database, EMPLOYEE_CONTRACT.table, tuple(EMPLOYEE_CONTRACT.columns))]
     out2 = G.audit_grants(G.grants_frame(spark, leaky), G.grants_frame(spark, leaky), sensitive).first()
     assert out2.status == "FAIL" and out2.detail == "sensitive: faixa_salarial"
+
+
+def test_governed_catalog_table(spark, tmp_dir):
+    from lakekit import catalog as C
+    from lakekit import sinks as K
+
+    C.register_domain(spark, HR, tmp_dir)
+    path = K.write_refined(_emp(spark), EMPLOYEE_CONTRACT, EMPLOYEE_CONTRACT.location(tmp_dir))
+    C.register_table(spark, EMPLOYEE_CONTRACT, path, replace=True)
+    got = G.governed_table(spark, _policy(), ANALYTICS, EMPLOYEE_CONTRACT.qualified_name)
+    assert got.count() == 1 and "faixa_salarial" not in got.columns
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "faixa_salarial" not in plan.split("ReadSchema:")[1].split("\n")[0]
+    with pytest.raises(G.AccessDenied):
+        G.governed_table(spark, _policy(), ANALYTICS, EMPLOYEE_CONTRACT.qualified_name, ["faixa_salarial"])
