@@ -6,6 +6,8 @@
     python -m lakekit sql FILE.sql --sales LOC --employees LOC --results ROOT
     python -m lakekit validate --sales LOC --employees LOC --raw items=ITEMS.csv ...
     python -m lakekit refresh --lake-root ROOT --items I.csv --products P.csv --sheet HR.csv
+    python -m lakekit discover PATH [--table db.t [--lake-root ROOT --principal P --apply]]
+    python -m lakekit changes DIR [--glob '*.csv'] [--previous MANIFEST] [--save MANIFEST]
 
 Jobs write a fresh version folder under the table location and print its
 path (``--lake-root`` also registers and repoints the catalog table).
@@ -28,6 +30,7 @@ from lakekit.plans import business as B
 from lakekit.plans.jobs import conform_employees, sales_by_category
 from lakekit.plans.lake import RawDeliveries, refresh_lake
 from lakekit.session import get_session
+from lakekit.sources import manifest as M
 from lakekit.sources.files import read_raw_csv, read_refined
 from lakekit.validate import validate_lake
 
@@ -99,7 +102,19 @@ def main(argv=None) -> int:
     r.add_argument("--products", required=True)
     r.add_argument("--sheet", required=True)
     r.add_argument("--load-date")
-    for p in (s, e, q, x, v, r):
+    d = sub.add_parser("discover", help="widened schema of Parquet files; drift against a registered table")
+    d.add_argument("path")
+    d.add_argument("--glob", default="*.parquet")
+    d.add_argument("--table")
+    d.add_argument("--apply", action="store_true")
+    d.add_argument("--lake-root", default="lake")
+    d.add_argument("--principal")
+    c = sub.add_parser("changes", help="raw file manifest and changes since a saved manifest")
+    c.add_argument("dir")
+    c.add_argument("--glob")
+    c.add_argument("--previous")
+    c.add_argument("--save")
+    for p in (s, e, q, x, v, r, d, c):
         p.add_argument("--master")
     args = ap.parse_args(argv)
     spark = get_session(args.master)
@@ -113,6 +128,30 @@ def main(argv=None) -> int:
         _publish(spark, df, EMPLOYEE_CONTRACT, args.output, args.lake_root)
         return 0
 
+    if args.cmd == "discover":
+        found = C.discover_schema(spark, args.path, args.glob)
+        _print_preview(found.orderBy("position", "column").select("column", "type", "files", "status"), 10_000)
+        if args.table:
+            declared = C.schema_frame(spark, spark.table(args.table).schema)
+            drift = C.schema_drift(declared, found.select("column", "type"), args.table)
+            _print_preview(drift.orderBy("column"), 10_000)
+            if args.apply:
+                policy = G.Policy(G.reference_grants(args.lake_root))
+                allowed = policy.ddl_guard(args.principal) if args.principal else None
+                for stmt in C.apply_drift(spark, args.table, drift, allowed=allowed):
+                    print(stmt)
+        return 0
+    if args.cmd == "changes":
+        if args.save and args.previous and args.save.rstrip("/") == args.previous.rstrip("/"):
+            ap.error("--save must differ from --previous (keep one manifest per delivery)")
+        current = M.raw_file_manifest(spark, args.dir, glob=args.glob)
+        if args.previous:
+            _print_preview(M.changed_files(current, spark.read.parquet(args.previous)).orderBy("path"), 100_000)
+        else:
+            _print_preview(current.orderBy("path"), 100_000)
+        if args.save:
+            current.write.mode("overwrite").parquet(args.save)
+        return 0
     if args.cmd == "refresh":
         out = refresh_lake(spark, args.lake_root, RawDeliveries(args.items, args.products, args.sheet), load_date=args.load_date)
         print(out.sales_path)

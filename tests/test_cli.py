@@ -69,3 +69,31 @@ def test_refresh_whole_lake(spark, tmp_dir, capsys):
     assert got == {"perfumaria": (58.9, 1), None: (10.0, 1)}
     emp = spark.table("rh_db.funcionarios").orderBy("idade").collect()
     assert [(e.cargo, e.idade, e.faixa_salarial) for e in emp] == [("Medical", None, "baixa"), ("Marketing", 30, "alta")]
+
+
+def test_discover_and_changes(spark, tmp_dir, capsys):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    data = os.path.join(tmp_dir, "files")
+    os.makedirs(data)
+    pq.write_table(pa.table({"product_category_name": ["a"], "total_receita": [1.0], "qtd_itens": pa.array([1], pa.int32())}), f"{data}/f1.parquet")
+    pq.write_table(pa.table({"product_category_name": ["b"], "total_receita": [2.0], "qtd_itens": pa.array([2], pa.int64()), "canal": ["web"]}), f"{data}/f2.parquet")
+    assert main(["discover", data]) == 0
+    out = capsys.readouterr().out
+    assert "qtd_itens,bigint,2,WIDEN" in out and "canal,string,1,SAME" in out
+
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    _write(os.path.join(raw, "a.csv"), "x\n1\n")
+    m1, m2 = os.path.join(tmp_dir, "m1"), os.path.join(tmp_dir, "m2")
+    assert main(["changes", raw, "--glob", "*.csv", "--save", m1]) == 0
+    _write(os.path.join(raw, "a.csv"), "x\n2\n")
+    _write(os.path.join(raw, "b.csv"), "x\n3\n")
+    capsys.readouterr()
+    assert main(["changes", raw, "--glob", "*.csv", "--previous", m1, "--save", m2]) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    status = {line.split(",")[0].rsplit("/", 1)[-1]: line.split(",")[1] for line in lines[1:]}
+    assert status == {"a.csv": "CHANGED", "b.csv": "ADDED"}
+    with pytest.raises(SystemExit):
+        main(["changes", raw, "--previous", m1, "--save", m1])
