@@ -20,6 +20,22 @@ from lakekit.contracts import ANALYTICS, EMPLOYEE_CONTRACT, SALES_CONTRACT
 from lakekit.plans.jobs import NUMERIC_SHEET_COLUMNS, parse_rejects
 
 
+# --- Fixed values: the reference's documented totals on its full data
+# --- (categories, revenue with a cent-level tolerance of the "~" figure,
+# --- employees, departments).
+REFERENCE_TOTALS = (
+    ("categorias", 74.0, 0.0),
+    ("receita_total", 13591643.70, 0.5),
+    ("funcionarios", 1470.0, 0.0),
+    ("departamentos", 3.0, 0.0),
+)
+
+
+def expected_totals(spark: SparkSession, rows=REFERENCE_TOTALS) -> DataFrame:
+    """Expected metrics (metric, value, tolerance) for ``validate_lake``."""
+    return spark.createDataFrame(list(rows), "metric string, value double, tolerance double")
+
+
 def _decision_rows(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(rows, X.CHECKS_SCHEMA)
 
@@ -72,8 +88,8 @@ def validate_lake(
 ) -> DataFrame:
     """All checks as one DataFrame; ``raw_sheet`` adds HR input checks
     (unknown incomes silently land in the top band; unparseable numbers)."""
-    checks = [
-        X.expect_present(raw_inputs),
+    checks = [X.expect_present(raw_inputs)] if raw_inputs else []
+    checks += [
         X.expect_rows(sales, f"refined:{SALES_CONTRACT.qualified_name}"),
         X.expect_rows(employees, f"refined:{EMPLOYEE_CONTRACT.qualified_name}"),
         X.expect_schema(sales, SALES_CONTRACT),

@@ -78,3 +78,20 @@ def test_validate_lake_on_proxies(spark):
     assert got["governance:denied:faixa_salarial"][0] == "OK"
     assert all(v[0] == "OK" for k, v in got.items() if k.startswith("grant:"))
     assert X.verdict(checks).first().verdict == "WARN"
+
+
+def test_validate_against_expected_totals(spark):
+    from lakekit import policy as G
+    from lakekit.validate import expected_totals, validate_lake
+
+    sales = spark.createDataFrame([(f"c{i}", 100.0, 2) for i in range(74)], "product_category_name string, total_receita double, qtd_itens bigint")
+    checks = validate_lake(
+        spark, {}, sales, P.employees(spark, SF), G.Policy(G.reference_grants("lake")), expected_metrics=expected_totals(spark)
+    )
+    got = {r.check: r.status for r in checks.collect() if r.check.startswith("metric:")}
+    assert got == {
+        "metric:categorias": "OK",
+        "metric:receita_total": "FAIL",
+        "metric:funcionarios": "FAIL",
+        "metric:departamentos": "FAIL",
+    }
