@@ -50,6 +50,7 @@ def refresh_lake(
     raw: RawDeliveries,
     policy: G.Policy | None = None,
     load_date=None,
+    mapping=None,
 ) -> RefreshResult:
     """Refine both domains from their raw deliveries and validate the lake."""
     policy = policy or G.Policy(G.reference_grants(lake_root))
@@ -65,5 +66,6 @@ def refresh_lake(
         policy,
         expected_grants=G.reference_grants(lake_root),
         raw_sheet=sheet,
+        mapping=mapping,
     )
     return RefreshResult(sales_path, emp_path, checks)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lakekit import expect as X
 from lakekit import policy as G
 from lakekit.contracts import ANALYTICS, EMPLOYEE_CONTRACT, SALES_CONTRACT
+from lakekit.plans import business as B
 from lakekit.plans.jobs import NUMERIC_SHEET_COLUMNS, parse_rejects
 
 
@@ -85,9 +86,12 @@ def validate_lake(
     expected_grants: list[G.Grant] | None = None,
     expected_metrics: DataFrame | None = None,
     raw_sheet: DataFrame | None = None,
+    mapping=None,
 ) -> DataFrame:
     """All checks as one DataFrame; ``raw_sheet`` adds HR input checks
-    (unknown incomes silently land in the top band; unparseable numbers)."""
+    (unknown incomes silently land in the top band; unparseable numbers);
+    ``mapping`` (business map, rows or DataFrame) adds a WARN for map rows
+    that match no sales category, which the inner join would hide."""
     checks = [X.expect_present(raw_inputs)] if raw_inputs else []
     checks += [
         X.expect_rows(sales, f"refined:{SALES_CONTRACT.qualified_name}"),
@@ -106,6 +110,13 @@ def validate_lake(
             F.when(F.col("status") == "OK", "WARN").otherwise("OK").alias("status"),
             "detail",
         ))
+    if mapping is not None:
+        unmatched = B.unmatched_map_rows(sales, mapping)
+        checks.append(
+            X.expect_rows(unmatched, "map:unmatched_rows", 1).select(
+                "check", F.when(F.col("status") == "OK", "WARN").otherwise("OK").alias("status"), "detail"
+            )
+        )
     if expected_grants is not None:
         checks.append(grant_checks(spark, policy, expected_grants))
     if expected_metrics is not None:

@@ -72,8 +72,10 @@ def test_validate_lake_on_proxies(spark):
         policy,
         expected_grants=G.reference_grants("lake"),
         raw_sheet=P.dirty_employee_sheet(spark, SF),
+        mapping=P.PROXY_BUSINESS_MAP,
     )
     got = {r.check: (r.status, r.detail) for r in checks.collect()}
+    assert got["map:unmatched_rows"] == ("WARN", "rows=1")
     assert got["raw:unknown_income"][0] == "WARN" and got["raw:unparseable_numbers"] == ("WARN", "rows=215")
     assert got["governance:denied:faixa_salarial"][0] == "OK"
     assert all(v[0] == "OK" for k, v in got.items() if k.startswith("grant:"))
