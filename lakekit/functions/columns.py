@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Integer text with an optional fractional part: the fraction is truncated,
-# as the non-ANSI string -> int cast did ('12.5' -> 12, '-3.9' -> -3).
-_INT_TEXT = r"^([+-]?[0-9]+)([.][0-9]*)?$"
+# as the non-ANSI string -> int cast did ('12.5' -> 12, '-3.9' -> -3,
+# '.5' -> 0).  Groups: sign, integer digits, fraction digits.
+_INT_TEXT = r"^([+-]?)([0-9]*)(?:[.]([0-9]*))?$"
 
 MONEY = "decimal(18,2)"
 
@@ -45,12 +46,17 @@ def typed_null(data_type: str) -> Column:
 def legacy_int(col: Column | str) -> Column:
     """Lenient string -> int: malformed or out-of-range text becomes NULL.
 
-    Integer text with a fraction is truncated toward zero; surrounding
-    blanks are ignored; exponent forms are rejected.
+    Integer text with a fraction is truncated toward zero (an empty integer
+    part before fraction digits reads as 0); surrounding blanks are ignored;
+    exponent forms are rejected.
     """
     c = F.col(col) if isinstance(col, str) else col
-    digits = F.regexp_extract(F.trim(c.cast("string")), _INT_TEXT, 1)
-    return digits.try_cast("int")
+    text = F.trim(c.cast("string"))
+    whole = F.regexp_extract(text, _INT_TEXT, 2)
+    fraction = F.regexp_extract(text, _INT_TEXT, 3)
+    valid = text.rlike(_INT_TEXT) & ((F.length(whole) > 0) | (F.length(fraction) > 0))
+    digits = F.when(F.length(whole) > 0, F.concat(F.regexp_extract(text, _INT_TEXT, 1), whole)).otherwise(F.lit("0"))
+    return F.when(valid, digits.try_cast("int"))
 
 
 def lenient_double(col: Column | str) -> Column:

@@ -12,14 +12,13 @@ INT32 = (-(2**31), 2**31 - 1)
 
 def _expected_int(text):
     t = text.strip()
-    sign = -1 if t.startswith("-") else 1
-    body = t.lstrip("+-")
-    whole = body.split(".")[0]
-    if not whole.isdigit() or t.count(".") > 1 or (t[:1] in "+-" and t[1:2] in "+-"):
+    sign = ""
+    if t[:1] in "+-":
+        sign, t = t[:1], t[1:]
+    whole, dot, frac = t.partition(".")
+    if (whole and not whole.isdigit()) or (frac and not frac.isdigit()) or not (whole or frac):
         return None
-    if "." in body and not body.split(".")[1].isdigit() and body.split(".")[1] != "":
-        return None
-    v = sign * int(whole)
+    v = int(sign + whole) if whole else 0
     return v if INT32[0] <= v <= INT32[1] else None
 
 
@@ -30,7 +29,7 @@ numeric_text = st.builds(
     st.one_of(st.just(""), st.just("."), st.integers(min_value=0, max_value=999).map(lambda f: f".{f}")),
     st.sampled_from(["", " ", "  "]),
 )
-junk_text = st.sampled_from(["abc", "1e3", "--1", "1.2.3", "", " ", "0x10", "1,000", "12a"])
+junk_text = st.sampled_from(["abc", "1e3", "--1", "1.2.3", "", " ", "0x10", "1,000", "12a", ".5", "-.25", ".", "+-1"])
 
 
 @settings(max_examples=5, deadline=None)
