@@ -47,11 +47,12 @@ def legacy_int(col: Column | str) -> Column:
     """Lenient string -> int: malformed or out-of-range text becomes NULL.
 
     Integer text with a fraction is truncated toward zero (an empty integer
-    part before fraction digits reads as 0); surrounding blanks are ignored;
+    part before fraction digits reads as 0); surrounding whitespace (blanks,
+    tabs, line breaks) is ignored;
     exponent forms are rejected.
     """
     c = F.col(col) if isinstance(col, str) else col
-    text = F.trim(c.cast("string"))
+    text = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
     whole = F.regexp_extract(text, _INT_TEXT, 2)
     fraction = F.regexp_extract(text, _INT_TEXT, 3)
     valid = text.rlike(_INT_TEXT) & ((F.length(whole) > 0) | (F.length(fraction) > 0))

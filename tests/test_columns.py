@@ -11,10 +11,10 @@ def _one_col(spark, values, name="x"):
 
 
 def test_legacy_int_edges(spark):
-    values = ["12.5", "abc", " 7 ", "1e3", "99999999999", "", "+4", "-3.9", "5.", None, ".5", "-.5", ".", "+", "1.2.3"]
+    values = ["12.5", "abc", " 7 ", "1e3", "99999999999", "", "+4", "-3.9", "5.", None, ".5", "-.5", ".", "+", "1.2.3", "\t8\t"]
     df = _one_col(spark, values).withColumn("i", legacy_int("x"))
     got = [r["i"] for r in df.collect()]
-    assert got == [12, None, 7, None, None, None, 4, -3, 5, None, 0, 0, None, None, None]
+    assert got == [12, None, 7, None, None, None, 4, -3, 5, None, 0, 0, None, None, None, 8]
 
 
 def test_salary_band_null_is_top_band(spark):
