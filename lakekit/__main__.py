@@ -27,7 +27,7 @@ from lakekit import policy as G
 from lakekit import sinks as K
 from lakekit.contracts import ANALYTICS, EMPLOYEE_CONTRACT, SALES_CONTRACT
 from lakekit.plans import business as B
-from lakekit.plans.jobs import conform_employees, sales_by_category
+from lakekit.plans.jobs import conform_employees, conformance_report, sales_by_category
 from lakekit.plans.lake import RawDeliveries, refresh_lake
 from lakekit.session import get_session
 from lakekit.sources import manifest as M
@@ -124,7 +124,10 @@ def main(argv=None) -> int:
         _publish(spark, df, SALES_CONTRACT, args.output, args.lake_root)
         return 0
     if args.cmd == "employees":
-        df = conform_employees(read_raw_csv(spark, args.sheet, quoted=False), load_date_value=args.load_date)
+        raw = read_raw_csv(spark, args.sheet, quoted=False)
+        for r in conformance_report(raw).collect():  # one row per sheet column
+            print(f"{r.column} <- {r.source} ({r.status})", file=sys.stderr)
+        df = conform_employees(raw, load_date_value=args.load_date)
         _publish(spark, df, EMPLOYEE_CONTRACT, args.output, args.lake_root)
         return 0
 

@@ -121,6 +121,44 @@ def conform_employees(
     return raw.select(*[exprs[f.name].cast(f.dataType).alias(f.name) for f in contract.schema.fields])
 
 
+# How each contract column is fed: (contract column, raw candidates in
+# order, default when none is present).
+_SHEET_SOURCES = (
+    ("employee_id", (EMPLOYEE_NUMBER,), "sha256(" + "|".join(HASH_PARTS) + ")"),
+    ("departamento", ("Department",), UNKNOWN),
+    ("cargo", ("JobRole", "EducationField"), UNKNOWN),
+    ("idade", ("Age",), None),
+    ("genero", ("Gender",), UNKNOWN),
+    ("anos_empresa", ("YearsAtCompany",), None),
+    ("satisfacao", ("JobSatisfaction",), None),
+    ("rotatividade", ("Attrition",), NO_EXIT),
+    ("faixa_salarial", ("MonthlyIncome",), TOP_BAND),
+)
+
+
+def conformance_report(raw: DataFrame) -> DataFrame:
+    """Which raw column (or default) feeds each contract column, and which
+    raw columns are ignored: (column, source, status).
+
+    status: USED (a raw column), DEFAULT (absent: literal or NULL),
+    IGNORED (raw column not in the mapping).  Plan-time metadata only.
+    """
+    present = list(raw.columns)
+    rows = []
+    used = set()
+    for target, candidates, default in _SHEET_SOURCES:
+        hit = next((c for c in candidates if c in present), None)
+        if hit is not None:
+            used.add(hit)
+            rows.append((target, hit, "USED"))
+        else:
+            rows.append((target, "NULL" if default is None else str(default), "DEFAULT"))
+    if EMPLOYEE_NUMBER not in present:
+        used.update(p for p in HASH_PARTS if p in present)
+    rows += [(c, c, "IGNORED") for c in present if c not in used]
+    return raw.sparkSession.createDataFrame(rows, "column string, source string, status string")
+
+
 def parse_rejects(raw: DataFrame, columns, keep=(), parser=legacy_int) -> DataFrame:
     """Raw values that are present but do not parse: (``keep``..., column, value).
 

@@ -25,6 +25,7 @@ def read_raw_csv(
     path: str,
     quoted: bool = True,
     columns: Sequence[str] | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Headered CSV, every column a string.
 
@@ -32,13 +33,17 @@ def read_raw_csv(
     a quoted field is one quote).  ``quoted=False``: Spark's defaults
     (escape ``\\``), where doubled quotes are kept as written.  Empty
     fields, quoted or not, become NULL.  ``columns`` fixes an all-string
-    schema instead of taking it from the header.
+    schema instead of taking it from the header.  ``multiline`` allows line
+    breaks inside quoted fields; such files cannot be split, so each file is
+    read by one task (keep deliveries to many moderate files).
     """
     reader = spark.read.option("header", True)
     if quoted:
         reader = reader.option("quote", '"').option("escape", '"')
     if columns is not None:
         reader = reader.schema(all_text_schema(columns))
+    if multiline:
+        reader = reader.option("multiLine", True)
     return reader.csv(path)
 
 

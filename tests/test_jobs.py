@@ -89,3 +89,21 @@ def test_quoted_csv_round_trip(spark, tmp_dir):
     plain = read_raw_csv(spark, path, quoted=False).orderBy("product_id").collect()
     assert plain[0]["name"] != 'a "q" b'  # doubled quotes are not unescaped without escape='"'
     assert all(t == "string" for _, t in read_raw_csv(spark, path).dtypes)
+
+
+def test_conformance_report(spark):
+    from lakekit.plans.jobs import conformance_report
+
+    raw = spark.createDataFrame([("S", "Life", "30", "x")], "Department string, EducationField string, Age string, WorkLifeBalance string")
+    got = {r.column: (r.source, r.status) for r in conformance_report(raw).collect()}
+    assert got["cargo"] == ("EducationField", "USED") and got["genero"] == ("N/D", "DEFAULT")
+    assert got["employee_id"][1] == "DEFAULT" and got["idade"] == ("Age", "USED") and got["satisfacao"] == ("NULL", "DEFAULT")
+    assert got["WorkLifeBalance"] == ("WorkLifeBalance", "IGNORED") and "Age" not in got
+
+
+def test_multiline_quoted_csv(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "m.csv")
+    with open(path, "w") as f:
+        f.write('id,note\n1,"two\nlines"\n2,x\n')
+    rows = read_raw_csv(spark, path, multiline=True).orderBy("id").collect()
+    assert [(r.id, r.note) for r in rows] == [("1", "two\nlines"), ("2", "x")]
