@@ -65,7 +65,15 @@ def shared_dir(spark: SparkSession) -> str:
     the checkpoint dir.  On a cluster an unset value is an error: a
     driver-local folder is invisible to executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured.rstrip("/")
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
