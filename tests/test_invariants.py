@@ -52,9 +52,9 @@ def test_rejects_report_unparseable_text(spark):
     assert empty.count() == 0 and empty.columns == ["EmployeeNumber", "column", "value"]
 
 
-def test_expect_tables(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS probe_db")
-    spark.sql("CREATE TABLE IF NOT EXISTS probe_db.t (a INT) USING parquet")
+def test_expect_tables(spark, tmp_dir):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS probe_db LOCATION '{tmp_dir}/probe_db'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS probe_db.t (a INT) USING parquet LOCATION '{tmp_dir}/probe_db/t'")
     got = {r.check: r.status for r in X.expect_tables(spark, ["probe_db.t", "probe_db.missing"]).collect()}
     assert got == {"table:probe_db.t": "OK", "table:probe_db.missing": "FAIL"}
 
