@@ -42,8 +42,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 # Keys checked on rows only, and why: arbitrary sample rows (limit without
-# order) or whole-file metadata (bytes and footers of every file).
-ROWS_ONLY = {"sample_rows", "governed_sample", "raw_change_detection", "schema_discovery"}
+# order) or digests of whole file bytes.
+ROWS_ONLY = {"sample_rows", "governed_sample", "raw_change_detection"}
 
 
 def test_every_key_has_an_oracle_or_a_reason():
