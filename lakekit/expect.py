@@ -1,14 +1,17 @@
 """Data expectations that come back as ordinary DataFrames.
 
 Every check is a DataFrame of ``(check, status, detail)`` rows with status
-in OK / FAIL / WARN / SKIP.  Checks over data are one aggregate each (a
-partial + final aggregate, never a collect), so they run at table scale;
-``summarise`` and ``verdict`` roll them up.
+in OK / FAIL / WARN / SKIP.  Checks over data are aggregates (partial +
+final, never a collect); ``expect_all`` evaluates any number of checks on
+one DataFrame in a single aggregation pass, so validating a large table
+scans it once, not once per check.  ``summarise`` and ``verdict`` roll
+the results up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,12 +28,65 @@ def _row(check: str, status: Column, detail: Column) -> list[Column]:
     return [F.lit(check).alias("check"), status.alias("status"), detail.cast("string").alias("detail")]
 
 
+@dataclass(frozen=True)
+class Check:
+    """One check: an aggregate ``measure`` and how it maps to status/detail."""
+
+    name: str
+    measure: Column
+    status: Callable[[Column], Column]
+    detail: Callable[[Column], Column]
+
+
+def rows_at_least(check: str, min_rows: int = 1, severity: str = "FAIL") -> Check:
+    return Check(
+        check,
+        F.count(F.lit(1)),
+        lambda n: F.when(n >= min_rows, "OK").otherwise(severity),
+        lambda n: F.concat(F.lit("rows="), n.cast("string")),
+    )
+
+
+def no_nulls(col: str, check: str | None = None, severity: str = "WARN") -> Check:
+    return Check(
+        check or f"nulls:{col}",
+        F.count_if(F.col(col).isNull()),
+        lambda n: F.when(n == 0, "OK").otherwise(severity),
+        lambda n: F.concat(F.lit("nulls="), n.cast("string")),
+    )
+
+
+def metric_within(check: str, expr: Column, expected: float, tolerance: float = 0.0) -> Check:
+    def status(o: Column) -> Column:
+        return F.when(F.abs(o.cast("double") - F.lit(float(expected))) <= F.lit(float(tolerance)), "OK").otherwise("FAIL")
+
+    return Check(
+        check,
+        expr,
+        status,
+        lambda o: F.concat(F.lit("observed="), o.cast("string"), F.lit(f" expected={expected} tol={tolerance}")),
+    )
+
+
+def expect_all(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Evaluate all ``checks`` on ``df`` in one aggregation pass."""
+    measured = df.agg(*[c.measure.alias(f"_m{i}") for i, c in enumerate(checks)])
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(c.name).alias("check"),
+                c.status(F.col(f"_m{i}")).alias("status"),
+                c.detail(F.col(f"_m{i}")).cast("string").alias("detail"),
+            )
+            for i, c in enumerate(checks)
+        ]
+    )
+    return measured.select(F.inline(rows))
+
+
 def expect_rows(df: DataFrame, check: str, min_rows: int = 1, severity: str = "FAIL") -> DataFrame:
     """At least ``min_rows`` rows."""
-    n = F.count(F.lit(1))
-    return df.agg(n.alias("n")).select(
-        *_row(check, F.when(F.col("n") >= min_rows, "OK").otherwise(severity), F.concat(F.lit("rows="), F.col("n")))
-    )
+    return expect_all(df, [rows_at_least(check, min_rows, severity)])
 
 
 def expect_present(inputs: Mapping[str, DataFrame], min_rows: int = 1) -> DataFrame:
@@ -75,15 +131,7 @@ def expect_tables(spark: SparkSession, names: Sequence[str]) -> DataFrame:
 
 def expect_metric(df: DataFrame, check: str, expr: Column, expected: float, tolerance: float = 0.0) -> DataFrame:
     """Aggregate ``expr`` equals ``expected`` within ``tolerance``."""
-    observed = F.col("observed")
-    ok = F.abs(observed.cast("double") - F.lit(float(expected))) <= F.lit(float(tolerance))
-    return df.agg(expr.alias("observed")).select(
-        *_row(
-            check,
-            F.when(ok, "OK").otherwise("FAIL"),
-            F.concat(F.lit("observed="), observed.cast("string"), F.lit(f" expected={expected} tol={tolerance}")),
-        )
-    )
+    return expect_all(df, [metric_within(check, expr, expected, tolerance)])
 
 
 def expect_metrics(df: DataFrame, expected: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
@@ -119,10 +167,7 @@ def expect_unique(df: DataFrame, key: str, check: str | None = None, severity: s
 
 
 def expect_no_nulls(df: DataFrame, col: str, check: str | None = None, severity: str = "WARN") -> DataFrame:
-    n = F.count_if(F.col(col).isNull())
-    return df.agg(n.alias("n")).select(
-        *_row(check or f"nulls:{col}", F.when(F.col("n") == 0, "OK").otherwise(severity), F.concat(F.lit("nulls="), F.col("n")))
-    )
+    return expect_all(df, [no_nulls(col, check, severity)])
 
 
 def expect_schema(df: DataFrame, contract: Contract) -> DataFrame:

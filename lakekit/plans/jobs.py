@@ -178,3 +178,14 @@ def parse_rejects(raw: DataFrame, columns, keep=(), parser=legacy_int) -> DataFr
 
 
 NUMERIC_SHEET_COLUMNS = ("Age", "YearsAtCompany", "JobSatisfaction", "MonthlyIncome")
+
+
+def reject_count(raw: DataFrame, columns, parser=legacy_int):
+    """Aggregate: number of present-but-unparseable values (as ``parse_rejects``
+    would list them), for use inside a one-pass check."""
+    present = [c for c in columns if c in raw.columns]
+    per_row = sum(
+        (F.when(F.col(c).isNotNull() & parser(F.col(c)).isNull(), F.lit(1)).otherwise(F.lit(0)) for c in present),
+        F.lit(0),
+    )
+    return F.coalesce(F.sum(per_row), F.lit(0)).cast("bigint")

@@ -18,7 +18,7 @@ from lakekit import expect as X
 from lakekit import policy as G
 from lakekit.contracts import ANALYTICS, EMPLOYEE_CONTRACT, SALES_CONTRACT
 from lakekit.plans import business as B
-from lakekit.plans.jobs import NUMERIC_SHEET_COLUMNS, parse_rejects
+from lakekit.plans.jobs import NUMERIC_SHEET_COLUMNS, reject_count
 
 
 # --- Fixed values: the reference's documented totals on its full data
@@ -102,14 +102,18 @@ def validate_lake(
         governance_checks(spark, employees, policy),
     ]
     if raw_sheet is not None:
+        # both sheet checks in one pass over the raw sheet
+        sheet_checks = [
+            X.Check(
+                "raw:unparseable_numbers",
+                reject_count(raw_sheet, NUMERIC_SHEET_COLUMNS),
+                lambda n: F.when(n > 0, "WARN").otherwise("OK"),
+                lambda n: F.concat(F.lit("rows="), n.cast("string")),
+            )
+        ]
         if "MonthlyIncome" in raw_sheet.columns:
-            checks.append(X.expect_no_nulls(raw_sheet, "MonthlyIncome", "raw:unknown_income"))
-        rejects = parse_rejects(raw_sheet, NUMERIC_SHEET_COLUMNS)
-        checks.append(X.expect_rows(rejects, "raw:unparseable_numbers", 1).select(
-            "check",
-            F.when(F.col("status") == "OK", "WARN").otherwise("OK").alias("status"),
-            "detail",
-        ))
+            sheet_checks.insert(0, X.no_nulls("MonthlyIncome", "raw:unknown_income"))
+        checks.append(X.expect_all(raw_sheet, sheet_checks))
     if mapping is not None:
         unmatched = B.unmatched_map_rows(sales, mapping)
         checks.append(

@@ -62,3 +62,22 @@ def test_distinct_count_deduplicates_on_department_and_id(spark):
 def test_employee_conform_is_one_narrow_stage(spark):
     plan = P.employees(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
+def test_all_checks_on_a_table_share_one_scan(spark):
+    from pyspark.sql import functions as F
+
+    from lakekit import expect as X
+
+    items = P.table(spark, SF, "lineitem")
+    checks = X.expect_all(
+        items,
+        [
+            X.rows_at_least("rows"),
+            X.no_nulls("l_partkey"),
+            X.metric_within("lines", F.max("l_linenumber"), 7.0),
+        ],
+    )
+    plan = _plan(checks)
+    assert plan.count("FileScan parquet") == 1
+    assert {r.check: r.status for r in checks.collect()} == {"rows": "OK", "nulls:l_partkey": "OK", "lines": "OK"}
