@@ -92,7 +92,11 @@ def validate_lake(
     (unknown incomes silently land in the top band; unparseable numbers);
     ``mapping`` (business map, rows or DataFrame) adds a WARN for map rows
     that match no sales category, which the inner join would hide."""
-    checks = [X.expect_present(raw_inputs)] if raw_inputs else []
+    # an input that is also the raw sheet gets its presence check in the
+    # sheet's single pass below
+    sheet_name = next((n for n, df in raw_inputs.items() if raw_sheet is not None and df is raw_sheet), None)
+    others = {n: df for n, df in raw_inputs.items() if n != sheet_name}
+    checks = [X.expect_present(others)] if others else []
     checks += [
         X.expect_rows(sales, f"refined:{SALES_CONTRACT.qualified_name}"),
         X.expect_rows(employees, f"refined:{EMPLOYEE_CONTRACT.qualified_name}"),
@@ -113,6 +117,8 @@ def validate_lake(
         ]
         if "MonthlyIncome" in raw_sheet.columns:
             sheet_checks.insert(0, X.no_nulls("MonthlyIncome", "raw:unknown_income"))
+        if sheet_name is not None:
+            sheet_checks.insert(0, X.rows_at_least(f"input:{sheet_name}"))
         checks.append(X.expect_all(raw_sheet, sheet_checks))
     if mapping is not None:
         unmatched = B.unmatched_map_rows(sales, mapping)
