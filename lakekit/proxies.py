@@ -39,8 +39,10 @@ PROXY_BUSINESS_MAP = (
 # The brand that becomes the NULL category, and the sizes whose parts are
 # left out of the product list (their items become orphans).
 NULL_BRAND = "Brand#13"
-# Product that receives a third of all items in the skew scenario.
+# Product that receives a third of all items, and department that holds a
+# third of all employees, in the skew scenarios.
 HOT_PRODUCT = 1
+HOT_DEPARTMENT = "AUTOMOBILE"
 MIN_LISTED_SIZE = 3
 
 
