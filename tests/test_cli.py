@@ -97,3 +97,23 @@ def test_discover_and_changes(spark, tmp_dir, capsys):
     assert status == {"a.csv": "CHANGED", "b.csv": "ADDED"}
     with pytest.raises(SystemExit):
         main(["changes", raw, "--previous", m1, "--save", m1])
+
+
+def test_discover_applies_drift_to_a_registered_table(spark, tmp_dir, capsys):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    data = os.path.join(tmp_dir, "t")
+    os.makedirs(data)
+    pq.write_table(pa.table({"a": pa.array([1], pa.int64())}), f"{data}/f1.parquet")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS probe_drift_db LOCATION '{tmp_dir}/db'")
+    spark.sql("DROP TABLE IF EXISTS probe_drift_db.t")
+    spark.sql(f"CREATE TABLE probe_drift_db.t (a BIGINT) USING parquet LOCATION '{data}'")
+    pq.write_table(pa.table({"a": pa.array([2], pa.int64()), "b": ["x"]}), f"{data}/f2.parquet")
+    with pytest.raises(PermissionError):
+        main(["discover", data, "--table", "probe_drift_db.t", "--apply", "--principal", "role-analytics"])
+    capsys.readouterr()
+    assert main(["discover", data, "--table", "probe_drift_db.t", "--apply"]) == 0
+    out = capsys.readouterr().out
+    assert "probe_drift_db.t,b,,string,ADD" in out and "ALTER TABLE probe_drift_db.t ADD COLUMNS (`b` string)" in out
+    assert spark.table("probe_drift_db.t").columns == ["a", "b"]
