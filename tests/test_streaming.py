@@ -23,3 +23,22 @@ def test_each_delivery_lands_once(spark, tmp_dir):
     assert df.count() == 3
     assert sorted(r.product_id for r in df.collect()) == ["1", "2", "3"]
     assert {os.path.basename(r._source_file) for r in df.select("_source_file").collect()} == {"a.csv", "b.csv"}
+
+
+def test_landed_deliveries_feed_the_sales_job(spark, tmp_dir):
+    from lakekit.plans.jobs import sales_by_category
+
+    items_src, prod_src = os.path.join(tmp_dir, "items"), os.path.join(tmp_dir, "products")
+    os.makedirs(items_src)
+    os.makedirs(prod_src)
+    _write(os.path.join(prod_src, "p.csv"), "product_id,product_category_name\np1,perfumaria\np2,pet_shop\n")
+    _write(os.path.join(items_src, "day1.csv"), 'product_id,order_item_id,price\np1,1,"58.90"\n')
+    items_out, prod_out = os.path.join(tmp_dir, "landed_items"), os.path.join(tmp_dir, "landed_products")
+    cols_i, cols_p = ["product_id", "order_item_id", "price"], ["product_id", "product_category_name"]
+    land_raw_csv(spark, prod_src, cols_p, prod_out, os.path.join(tmp_dir, "ck_p"))
+    land_raw_csv(spark, items_src, cols_i, items_out, os.path.join(tmp_dir, "ck_i"))
+    _write(os.path.join(items_src, "day2.csv"), "product_id,order_item_id,price\np2,1,10\np1,2,1.10\n")
+    land_raw_csv(spark, items_src, cols_i, items_out, os.path.join(tmp_dir, "ck_i"))
+    sales = sales_by_category(spark.read.parquet(items_out), spark.read.parquet(prod_out))
+    got = {r.product_category_name: (r.total_receita, r.qtd_itens) for r in sales.collect()}
+    assert got == {"perfumaria": (60.0, 2), "pet_shop": (10.0, 1)}
