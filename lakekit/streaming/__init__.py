@@ -1,3 +1,4 @@
 from lakekit.streaming.landing import land_raw_csv
+from lakekit.streaming.refresh import stream_sales_by_category
 
-__all__ = ["land_raw_csv"]
+__all__ = ["land_raw_csv", "stream_sales_by_category"]

@@ -42,3 +42,30 @@ def test_landed_deliveries_feed_the_sales_job(spark, tmp_dir):
     sales = sales_by_category(spark.read.parquet(items_out), spark.read.parquet(prod_out))
     got = {r.product_category_name: (r.total_receita, r.qtd_itens) for r in sales.collect()}
     assert got == {"perfumaria": (60.0, 2), "pet_shop": (10.0, 1)}
+
+
+def test_incremental_sales_refresh_equals_full_refresh(spark, tmp_dir):
+    from lakekit.contracts import SALES_CONTRACT
+    from lakekit.plans.jobs import sales_by_category
+    from lakekit.sources.files import read_current, read_raw_csv
+    from lakekit.streaming import stream_sales_by_category
+
+    src = os.path.join(tmp_dir, "items")
+    os.makedirs(src)
+    products = spark.createDataFrame(
+        [("p1", "perfumaria"), ("p2", None), ("p3", "pet_shop")], "product_id string, product_category_name string"
+    )
+    loc, ckpt = os.path.join(tmp_dir, "sales"), os.path.join(tmp_dir, "ck")
+    cols = ["product_id", "order_item_id", "price"]
+    deliveries = [
+        'product_id,order_item_id,price\np1,1,"58.90"\np2,1,1.05\np9,1,7\n',
+        "product_id,order_item_id,price\np1,2,0.10\np3,1,abc\np2,2,\n",
+    ]
+    for i, body in enumerate(deliveries):
+        _write(os.path.join(src, f"d{i}.csv"), body)
+        stream_sales_by_category(spark, src, cols, products, loc, ckpt)
+        full = sales_by_category(read_raw_csv(spark, src), products)
+        cur = read_current(spark, SALES_CONTRACT, loc)
+        assert sorted(cur.collect(), key=str) == sorted(full.collect(), key=str)
+    got = {r.product_category_name: (r.total_receita, r.qtd_itens) for r in read_current(spark, SALES_CONTRACT, loc).collect()}
+    assert got == {"perfumaria": (59.0, 2), None: (1.05, 2), "pet_shop": (None, 1)}
