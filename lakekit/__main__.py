@@ -68,17 +68,17 @@ def _print_preview(df, n=10):
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="lakekit")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    s = sub.add_parser("sales")
+    s = sub.add_parser("sales", help="items + products CSV -> revenue per category (versioned Parquet)")
     s.add_argument("--items", required=True)
     s.add_argument("--products", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--lake-root")
-    e = sub.add_parser("employees")
+    e = sub.add_parser("employees", help="adaptive HR sheet CSV -> 14-column employee table")
     e.add_argument("--sheet", required=True)
     e.add_argument("--output", required=True)
     e.add_argument("--load-date")
     e.add_argument("--lake-root")
-    q = sub.add_parser("query")
+    q = sub.add_parser("query", help="run a business query as a principal; CSV result + preview")
     q.add_argument("name", choices=sorted(QUERIES))
     q.add_argument("--sales", required=True)
     q.add_argument("--employees", required=True)
@@ -92,7 +92,7 @@ def main(argv=None) -> int:
     x.add_argument("--results")
     x.add_argument("--principal", default=ANALYTICS)
     x.add_argument("--run-date", default=str(dt.date.today()))
-    v = sub.add_parser("validate")
+    v = sub.add_parser("validate", help="checks over refined tables, raw inputs and grants")
     v.add_argument("--sales", required=True)
     v.add_argument("--employees", required=True)
     v.add_argument("--raw", action="append", default=[], help="name=path of a raw CSV input")
