@@ -98,7 +98,9 @@ def _powers(n: int) -> np.ndarray:
     cache = worker_cache()
     if len(cache.get("powers", ())) < n:
         size = max(1024, 1 << (n - 1).bit_length())
-        cache["powers"] = np.multiply.accumulate(np.concatenate([[1], np.full(size - 1, 0xD6E8FEB86659FD93, np.uint64)]).astype(np.uint64))
+        factors = np.full(size, 0xD6E8FEB86659FD93, np.uint64)
+        factors[0] = 1
+        cache["powers"] = np.multiply.accumulate(factors)
     return cache["powers"]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import line_dedup, packing, suffix_dedup
+from lakekit.llm import line_dedup, ngram_join, packing, suffix_dedup
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -39,8 +39,12 @@ def op7_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(documents(spark, d), **vocabulary())
 
 
+def op10_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.ngram_groups(documents(spark, d), words=4, num=85, den=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_suffix_dedup, op6_line_dedup, op7_best_fit_packing)}
+    return {f.__name__: f for f in (op4_suffix_dedup, op6_line_dedup, op7_best_fit_packing, op10_ngram_join)}
 
 
 _KEY = r"""translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
@@ -55,6 +59,28 @@ judged AS (SELECT *, length(k) >= 10 AND min(doc_id) OVER (PARTITION BY k) < doc
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op10_ngram_join": r"""
+WITH RECURSIVE
+words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS c FROM documents
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.c)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.c) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.doc_id = d.doc_id
+GROUP BY d.doc_id, s.n""",
 }
 
 
