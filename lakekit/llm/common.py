@@ -29,11 +29,20 @@ def materialize(df: DataFrame, purpose: str, **options) -> DataFrame:
     path = work_path(spark, purpose)
     df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out.lk_path = path
     del df
     release(spark)
     return out
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of materialised tables that no later step reads."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.lk_path)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Collect garbage, so that Spark's cleaner deletes shuffle files nobody can read any more."""
     gc.collect()
@@ -214,14 +223,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     mark = None
     while True:
+        last = e
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         # each vertex hangs below its smallest neighbour; roots keep nothing
         e = materialize(large.where("a <> b").distinct(), "components")
+        discard(last)
+        last = e
         least = e.groupBy("a").agg(F.min("b").alias("low"))
         small = e.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(least.select("a", F.col("low").alias("b")))
         e = materialize(small.where("a <> b").distinct(), "components")
+        discard(last)
         now = e.agg(F.count("*"), F.expr("sum(cast(xxhash64(a, b) as decimal(38, 0)))")).first()
         if now == mark:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -15,10 +15,9 @@ The boundary ``x`` is chosen by cost from the numbers of sets of each size.
 
 Groups of near copies would fill the lists with pairs, so sets that share a
 list are first linked to a few leaders of their minimum-hash group (every such
-link is verified); the lists are then scanned only where they still hold sets
-of different components.  Lists longer than ``hot`` are left out for sets that
-must also meet in a shorter one.  Every pair that is left is verified on the
-whole sets, so no link between different components is lost.
+link is verified).  After that only links between different components are
+missing; for these the sets left are posted under their rarest shingles, and
+every pair that meets there is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import bytes_of, components, materialize, mix64, shingle_sets
+from lakekit.llm.common import bytes_of, components, discard, materialize, mix64, shingle_sets
 
 #: Light sets have at most so many shingles, whatever the cost says (subsets per set stay few).
 MOST_LIGHT = 24
@@ -211,24 +210,36 @@ def _leader_links(sets: DataFrame, rule: Threshold) -> DataFrame:
     return both.select(F.col("rep").alias("a"), F.col("leader").alias("b"))
 
 
-def _candidates(postings: DataFrame, known: DataFrame, rule: Threshold, hot: int) -> DataFrame:
-    """Pairs of sets of different components that share enough posted shingles."""
-    p = postings.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    lists = p.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    p = p.join(lists.select("token", "df"), "token")
-    crowded = p.groupBy("rep").agg(F.sum(F.when(F.col("df") > hot, 1).otherwise(0)).alias("h"))
-    p = materialize(p.join(crowded, "rep").withColumn("least", F.expr(_least_sql("n", rule))), "mixed-lists")
+def _candidates(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs of sets of different components that share one of their rarest shingles.
 
-    def pairs(q: DataFrame) -> DataFrame:
-        a = q.select("token", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("h").alias("ha"), F.col("component").alias("ca"))
-        b = q.select("token", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("h").alias("hb"), F.col("component").alias("cb"))
-        size = f"{rule.num} * greatest(na, nb) <= {rule.den} * least(na, nb)"
-        return a.join(b, "token").where(f"a < b and ca <> cb and {size}").groupBy("a", "b", "na", "nb", "ha", "hb").agg(F.count("*").alias("met"))
+    Shingles that only one component holds can't be common to such a pair.  A
+    set of ``n`` with ``m`` others can meet the threshold only if ``m`` reaches
+    its smallest overlap ``o``, and then shares one of the ``m - o + 1`` rarest.
+    """
 
-    need = "4 + least(na, nb) div 16"
-    short = pairs(p.where(F.col("df") <= hot)).where(f"met >= {need} - least(ha, hb)")
-    long = pairs(p.where((F.col("df") > hot) & (F.col("h") >= F.col("least"))))
-    return short.select("a", "b").unionByName(long.select("a", "b")).distinct()
+    def explode(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                tokens = [np.frombuffer(x, np.int64) for x in part.column(3).to_pylist()]
+                count = [len(t) for t in tokens]
+                columns = [pa.array(np.repeat(part.column(i).to_numpy(), count)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), *columns], ["token", "rep", "n", "component"])
+
+    own = sets.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    own = own.select("rep", "n", F.coalesce("component", "rep").alias("component"), "set")
+    rows = own.mapInArrow(explode, "token bigint, rep bigint, n bigint, component bigint")
+    lists = rows.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = rows.join(lists.where("lo < hi").select("token", "df"), "token")
+    least = f"cast(ceil({rule.num} * n / {rule.den}) as int)"
+    by_set = mixed.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("rest"))
+    by_set = by_set.where(f"size(rest) >= {least}").select("rep", "n", "component", F.expr(f"slice(rest, 1, size(rest) - {least} + 1)").alias("rest"))
+    rare = materialize(by_set.select("rep", "n", "component", F.explode("rest.token").alias("token")), "rarest-shingles")
+    a, b = (rare.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "component")]) for side in "ab")
+    size = f"{rule.num} * greatest(n_a, n_b) <= {rule.den} * least(n_a, n_b)"
+    pairs = a.join(b, "token").where(f"rep_a < rep_b and component_a <> component_b and {size}")
+    return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Threshold) -> DataFrame:
@@ -254,7 +265,6 @@ def ngram_groups(
     words: int = 5,
     num: int = 4,
     den: int = 5,
-    hot: int = 64,
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id)``, one row per input row.
 
@@ -272,26 +282,25 @@ def ngram_groups(
     named = every.where("id is not null and n > 0")
     reps = named.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("first").alias("first"))
     reps = materialize(reps, "set-classes")
+    members = materialize(every.select("id", "n", "digest"), "set-members")
+    discard(every)
+    same = members.join(reps.select("rep", "digest"), "digest").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    same = materialize(same, "links")
     sizes = {r["n"]: r["count"] for r in reps.where(F.col("n") <= MOST_LIGHT).groupBy("n").count().collect()}
     x = light_boundary(sizes, rule)
-    links = _light_links(reps, x, rule)
+    links = materialize(_light_links(reps, x, rule), "links")
 
     posted_rows = _postings(reps, rule.smallest(x + 1), rule)
     again = posted_rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
-    shared = materialize(posted_rows.join(again, "token"), "shared-postings")
-    active = shared.groupBy("rep").agg(F.count("*").alias("k"), F.first("n").alias("n")).where(f"k >= {_least_sql('n', rule)}").select("rep")
+    shared = posted_rows.join(again, "token").groupBy("rep").agg(F.count("*").alias("k"), F.first("n").alias("n"))
+    active = materialize(shared.where(f"k >= {_least_sql('n', rule)}").select("rep"), "active-sets")
+    discard(reps)
+    # rows of one id with other texts: each of the sets is checked
     sets = materialize(_whole_sets(docs, active, id_col, text_col, words).dropDuplicates(["rep", "set"]), "whole-sets")
-    # rows of one id with other texts: every such set is checked
     links = materialize(links.unionByName(_leader_links(sets, rule)), "links")
-    known = components(links)
-    postings = shared.join(active, "rep", "left_semi")
-    found = materialize(_verified(_candidates(postings, known, rule, hot), sets, rule), "links")
-    known = components(links.unionByName(found).unionByName(_same_class(named, reps)))
+    found = _verified(_candidates(sets, components(links), rule), sets, rule)
+    known = components(links.unionByName(found).unionByName(same))
 
-    out = every.select("id", "n").join(known, F.col("id") == F.col("node"), "left")
+    out = members.select("id", "n").join(known, F.col("id") == F.col("node"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
-
-def _same_class(named: DataFrame, reps: DataFrame) -> DataFrame:
-    """Links from each document to the representative of its set."""
-    return named.select("id", "digest").join(reps.select("rep", "digest"), "digest").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
