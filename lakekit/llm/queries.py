@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import line_dedup, ngram_join, packing, suffix_dedup
+from lakekit.llm import language_id, line_dedup, ngram_join, packing, suffix_dedup
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -39,12 +39,30 @@ def op7_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(documents(spark, d), **vocabulary())
 
 
+def language_decisions(docs: DataFrame) -> DataFrame:
+    """Languages of ``documents``: the text, the declared language and the source (as host) are the evidence."""
+    model = language_id.fit_text_model(docs)
+    return language_id.identify(docs, model, declared=language_id.language_code(F.col("lang")), host=F.col("source"))
+
+
+def op9_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return language_decisions(documents(spark, d)).drop("lk_tid")
+
+
+def pages_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of ``pages``: article text, markup language, address suffix and host hierarchy."""
+    model = language_id.fit_text_model(documents(spark, d))
+    pages = spark.read.parquet(f"{d}/pages.parquet").withColumn("text", language_id.page_text(F.col("html")))
+    markup = language_id.language_code(F.regexp_extract("html", r"""(?i)<html[^>]*\slang=["']?([A-Za-z_-]+)""", 1))
+    return language_id.identify(pages, model, "page_id", "text", declared=markup, **language_id.address_parts(F.col("url"))).drop("lk_tid")
+
+
 def op10_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.ngram_groups(documents(spark, d), words=4, num=85, den=100)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_suffix_dedup, op6_line_dedup, op7_best_fit_packing, op10_ngram_join)}
+    return {f.__name__: f for f in (op4_suffix_dedup, op6_line_dedup, op7_best_fit_packing, op9_language_id, pages_language_id, op10_ngram_join)}
 
 
 _KEY = r"""translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
