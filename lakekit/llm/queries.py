@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import language_id, line_dedup, ngram_join, packing, suffix_dedup
+from lakekit.llm import fingerprints, language_id, line_dedup, ngram_join, packing, suffix_dedup, url_filter
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -21,6 +21,14 @@ def vocabulary() -> dict:
     return {"json_path": public.path("byte_bpe_50k.json"), "ranks_path": public.path("byte_bpe_50k.tiktoken"), "pattern": public.PATTERN}
 
 
+def op1_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    return url_filter.judge_urls(spark.read.parquet(f"{d}/pages.parquet"))
+
+
+def op2_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(documents(spark, d))
+
+
 def op4_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return suffix_dedup.dedup_substrings(documents(spark, d))
 
@@ -62,7 +70,17 @@ def op10_ngram_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_suffix_dedup, op6_line_dedup, op7_best_fit_packing, op9_language_id, pages_language_id, op10_ngram_join)}
+    found = (
+        op1_url_filter,
+        op2_fingerprints,
+        op4_suffix_dedup,
+        op6_line_dedup,
+        op7_best_fit_packing,
+        op9_language_id,
+        pages_language_id,
+        op10_ngram_join,
+    )
+    return {f.__name__: f for f in found}
 
 
 _KEY = r"""translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
