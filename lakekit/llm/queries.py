@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import fingerprints, language_id, line_dedup, ngram_join, packing, suffix_dedup, url_filter
+from lakekit.llm import (
+    embedding_dedup,
+    fingerprints,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    piece_lattice,
+    suffix_dedup,
+    url_filter,
+)
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -29,10 +40,20 @@ def op2_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.fingerprint_documents(documents(spark, d))
 
 
+def op3_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, d))
+
+
 def op4_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return suffix_dedup.dedup_substrings(documents(spark, d))
 
 
+def op5_piece_lattice(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers as public
+
+    return piece_lattice.encode_documents(documents(spark, d), public.path("piece_bpe_32k.model"))
+
+
 def op6_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, d).select("doc_id", "text"))
     return out.select(
@@ -47,6 +68,10 @@ def op7_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(documents(spark, d), **vocabulary())
 
 
+def op8_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return embedding_dedup.near_vectors(spark.read.parquet(f"{d}/embeddings.parquet"))
+
+
 def language_decisions(docs: DataFrame) -> DataFrame:
     """Languages of ``documents``: the text, the declared language and the source (as host) are the evidence."""
     model = language_id.fit_text_model(docs)
@@ -73,9 +98,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_url_filter,
         op2_fingerprints,
+        op3_license_scan,
         op4_suffix_dedup,
+        op5_piece_lattice,
         op6_line_dedup,
         op7_best_fit_packing,
+        op8_embedding_dedup,
         op9_language_id,
         pages_language_id,
         op10_ngram_join,
@@ -95,6 +123,23 @@ judged AS (SELECT *, length(k) >= 10 AND min(doc_id) OVER (PARTITION BY k) < doc
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op8_embedding_dedup": """
+WITH RECURSIVE
+v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+fit AS (
+  SELECT vec_id, e, sqrt(list_sum([x * x for x in e])) AS size FROM v
+  WHERE e IS NOT NULL AND len(e) > 0
+    AND len([x for x in e if x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x for x in e if x <> 0]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+   AND list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.95),
+reach AS (
+  SELECT vec_id, vec_id AS c FROM embeddings
+  UNION
+  SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.c)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = r.vec_id) AS n_links, min(c) AS component_id, min(c) = vec_id AS kept
+FROM reach r GROUP BY vec_id""",
     "op10_ngram_join": r"""
 WITH RECURSIVE
 words AS (
