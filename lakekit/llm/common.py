@@ -19,15 +19,16 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def materialize(df: DataFrame, purpose: str, **options) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, parts: int | None = None, **options) -> DataFrame:
     """Write ``df`` to a fresh folder in the shared working folder and read it back.
 
     Cuts the lineage with files that every executor sees, and lets Spark drop
-    the shuffle files of the steps before.
+    the shuffle files of the steps before.  ``parts`` limits the files of a
+    table that is known to be small.
     """
     spark = df.sparkSession
     path = work_path(spark, purpose)
-    df.write.options(**options).parquet(path)
+    (df if parts is None else df.coalesce(parts)).write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.lk_path = path
     del df
@@ -59,6 +60,14 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def small(batches, rows: int = 1000, size: int = 4 << 20):
+    """The batches cut into slices of at most ``rows`` rows and about ``size`` bytes, so that Python objects stay few."""
+    for batch in batches:
+        step = max(1, min(rows, batch.num_rows * size // max(1, batch.nbytes)))
+        for lo in range(0, batch.num_rows, step):
+            yield batch.slice(lo, step)
+
+
 def bytes_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [x if x is not None else b"" for x in column.cast(pa.large_binary()).to_pylist()]
@@ -219,6 +228,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     e = edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where("a <> b")
     e = materialize(e.mapInArrow(_forest, "a bigint, b bigint").where("a <> b"), "components")
+    parts = 1 + e.count() // 250_000  # later steps never have more edges
     if e.isEmpty():
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     mark = None
@@ -228,12 +238,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         # each vertex hangs below its smallest neighbour; roots keep nothing
-        e = materialize(large.where("a <> b").distinct(), "components")
+        e = materialize(large.where("a <> b").distinct(), "components", parts)
         discard(last)
         last = e
         least = e.groupBy("a").agg(F.min("b").alias("low"))
-        small = e.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(least.select("a", F.col("low").alias("b")))
-        e = materialize(small.where("a <> b").distinct(), "components")
+        hung = e.join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(least.select("a", F.col("low").alias("b")))
+        e = materialize(hung.where("a <> b").distinct(), "components", parts)
         discard(last)
         now = e.agg(F.count("*"), F.expr("sum(cast(xxhash64(a, b) as decimal(38, 0)))")).first()
         if now == mark:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import shingle_sets
+from lakekit.llm.common import shingle_sets, small
 
 #: One shingle hash in so many is kept.
 SCALE = 8
@@ -122,7 +122,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(batches):
         held = None  # group, id and text of the last row, whose successor comes next
         pairs, size = [], 0
-        for batch in batches:
+        for batch in small(batches):
             for group, spare, doc, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if held is not None and held[0] == group:
                     pairs.append((held[1], held[2], text))

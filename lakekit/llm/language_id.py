@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import bytes_of, materialize, runs_of
+from lakekit.llm.common import bytes_of, materialize, runs_of, small
 
 BUCKETS = 1 << 15
 UND = "und"
@@ -73,7 +73,7 @@ def fit_text_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def count(batches):
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches):
             for lang, text in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1))):
                 counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 counts[lang] += np.bincount(trigrams([text])[0], minlength=BUCKETS)
@@ -144,7 +144,7 @@ def identify(
     prior = [math.log((1 - UND_PRIOR) / max(1, k - 1))] * (k - 1) + [math.log(UND_PRIOR)]
 
     def score(batches):
-        for batch in batches:
+        for batch in small(batches):
             n, ll = [], []
             for count, scores in model.score(bytes_of(batch.column(2))):
                 n.append(count)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import bytes_of, grams_of, words_of
+from lakekit.llm.common import bytes_of, grams_of, small, words_of
 
 #: Public license notices (fixed values).
 TEMPLATES = {
@@ -170,7 +170,7 @@ def scan_licenses(
     names = [id_col, "license", "coverage", "matched_words", "start", "end", "spans"]
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1))):
                 for name, coverage, matched, spans in index.scan(text, min_coverage):

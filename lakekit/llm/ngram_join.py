@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import bytes_of, components, discard, materialize, mix64, shingle_sets
+from lakekit.llm.common import bytes_of, components, discard, materialize, mix64, shingle_sets, small
 
 #: Light sets have at most so many shingles, whatever the cost says (subsets per set stay few).
 MOST_LIGHT = 24
@@ -85,7 +85,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, rule: Thresho
     """``(id, n, digest, first)`` of each row: size and digest of its set, its first shingles in hash order."""
 
     def sets(batches):
-        for batch in batches:
+        for batch in small(batches):
             n, digest, first = [], [], []
             for s in shingle_sets(bytes_of(batch.column(1)), words):
                 n.append(len(s))
@@ -126,8 +126,7 @@ def _light_links(reps: DataFrame, x: int, rule: Threshold) -> DataFrame:
 def _postings(reps: DataFrame, low: int, rule: Threshold) -> DataFrame:
     def post(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for part in small([batch], 500):
                 ids, sizes = part.column(0).to_numpy(), part.column(1).to_pylist()
                 tokens = [np.frombuffer(f, np.int64)[: n - rule.smallest(n) + shared_least(n)] for n, f in zip(sizes, part.column(2).to_pylist())]
                 count = [len(t) for t in tokens]
@@ -145,7 +144,7 @@ def _whole_sets(docs: DataFrame, active: DataFrame, id_col: str, text_col: str,
     """``(rep, n, set, homes)`` of the active representatives, from their texts."""
 
     def sets(batches):
-        for batch in batches:
+        for batch in small(batches):
             ids, n, data, home = batch.column(0), [], [], []
             for s in shingle_sets(bytes_of(batch.column(1)), words):
                 n.append(len(s))
@@ -173,7 +172,7 @@ def _leaders(rows: DataFrame, rule: Threshold, most: int = 16) -> DataFrame:
 
     def link(batches):
         home, leaders = None, []
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for h, rep, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if h != home:
@@ -220,8 +219,7 @@ def _candidates(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame
 
     def explode(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for part in small([batch], 500):
                 tokens = [np.frombuffer(x, np.int64) for x in part.column(3).to_pylist()]
                 count = [len(t) for t in tokens]
                 columns = [pa.array(np.repeat(part.column(i).to_numpy(), count)) for i in range(3)]
@@ -244,7 +242,7 @@ def _candidates(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Threshold) -> DataFrame:
     def verify(batches):
-        for batch in batches:
+        for batch in small(batches):
             a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
             ok = []
             for p, q in zip(x, y):

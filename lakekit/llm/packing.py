@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import materialize, worker_cache
+from lakekit.llm.common import materialize, small, worker_cache
 
 #: The string that the vocabulary holds as a special token (fixed value).
 END_TEXT = "<|endoftext|>"
@@ -34,11 +34,16 @@ def encoder(json_path: str, ranks_path: str | None, pattern: str | None):
     """
     cache, key = worker_cache(), ("encoder", json_path, ranks_path)
     if key not in cache:
-        from tokenizers import Tokenizer
 
-        full = Tokenizer.from_file(json_path)
+        def full(text: str) -> list[int]:
+            if ("tokenizer", json_path) not in cache:
+                from tokenizers import Tokenizer
+
+                cache["tokenizer", json_path] = Tokenizer.from_file(json_path)
+            return cache["tokenizer", json_path].encode(text, add_special_tokens=False).ids
+
         if ranks_path is None:
-            cache[key] = lambda text: full.encode(text, add_special_tokens=False).ids
+            cache[key] = full
         else:
             import base64
 
@@ -47,7 +52,7 @@ def encoder(json_path: str, ranks_path: str | None, pattern: str | None):
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-            cache[key] = lambda text: full.encode(text, add_special_tokens=False).ids if END_TEXT in text else fast.encode_ordinary(text)
+            cache[key] = lambda text: full(text) if END_TEXT in text else fast.encode_ordinary(text)
     return cache[key]
 
 
@@ -70,7 +75,7 @@ def token_pieces(
 
     def pieces(batches):
         encode = encoder(json_path, ranks_path, pattern)
-        for batch in batches:
+        for batch in small(batches):
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.array([*encode(text or ""), end_id], "<u4")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import mix64, runs_of, worker_cache
+from lakekit.llm.common import mix64, runs_of, small, worker_cache
 
 #: Stands for a space in pieces (fixed value).
 SPACE = "▁"
@@ -291,7 +291,7 @@ def encode_documents(
 
     def run(batches):
         pieces = pieces_of(model_path)
-        for batch in batches:
+        for batch in small(batches):
             docs, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in runs_of([len(t) + 1 for t in texts], batch_chars):
                 rows = []
