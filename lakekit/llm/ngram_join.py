@@ -214,7 +214,8 @@ def _candidates(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame
 
     Shingles that only one component holds can't be common to such a pair.  A
     set of ``n`` with ``m`` others can meet the threshold only if ``m`` reaches
-    its smallest overlap ``o``, and then shares one of the ``m - o + 1`` rarest.
+    its smallest overlap ``o``, and then shares one of the ``m - o + 1`` rarest;
+    a pair only if both sets' ``m`` reach the overlap that their sizes ask for.
     """
 
     def explode(batches):
@@ -232,10 +233,11 @@ def _candidates(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame
     mixed = rows.join(lists.where("lo < hi").select("token", "df"), "token")
     least = f"cast(ceil({rule.num} * n / {rule.den}) as int)"
     by_set = mixed.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("rest"))
-    by_set = by_set.where(f"size(rest) >= {least}").select("rep", "n", "component", F.expr(f"slice(rest, 1, size(rest) - {least} + 1)").alias("rest"))
-    rare = materialize(by_set.select("rep", "n", "component", F.explode("rest.token").alias("token")), "rarest-shingles")
-    a, b = (rare.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "component")]) for side in "ab")
-    size = f"{rule.num} * greatest(n_a, n_b) <= {rule.den} * least(n_a, n_b)"
+    by_set = by_set.where(f"size(rest) >= {least}").select("rep", "n", "component", F.size("rest").alias("m"), F.expr(f"slice(rest, 1, size(rest) - {least} + 1)").alias("rest"))
+    rare = materialize(by_set.select("rep", "n", "component", "m", F.explode("rest.token").alias("token")), "rarest-shingles")
+    a, b = (rare.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "component", "m")]) for side in "ab")
+    # neither has more shingles to share than ``m``
+    size = f"{rule.num} * greatest(n_a, n_b) <= {rule.den} * least(n_a, n_b) and {rule.num + rule.den} * least(m_a, m_b) >= {rule.num} * (n_a + n_b)"
     pairs = a.join(b, "token").where(f"rep_a < rep_b and component_a <> component_b and {size}")
     return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
