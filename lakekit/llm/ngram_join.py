@@ -16,8 +16,9 @@ The boundary ``x`` is chosen by cost from the numbers of sets of each size.
 Groups of near copies would fill the lists with pairs, so sets that share a
 list are first linked to a few leaders of their minimum-hash group (every such
 link is verified).  After that only links between different components are
-missing; for these the sets left are posted under their rarest shingles, and
-every pair that meets there is verified on the whole sets.
+missing; for these the sets left are posted under their rarest shingles.  Sets
+that meet a component there are first verified against its hub, then every
+pair of components still apart that meets is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -209,8 +210,14 @@ def _leader_links(sets: DataFrame, rule: Threshold) -> DataFrame:
     return both.select(F.col("rep").alias("a"), F.col("leader").alias("b"))
 
 
-def _candidates(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame:
-    """Pairs of sets of different components that share one of their rarest shingles.
+def _with_component(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Add each ``rep``'s component: its own id where it has no link yet."""
+    joined = rows.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    return joined.withColumn("component", F.coalesce("component", "rep"))
+
+
+def _rarest(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame:
+    """``(rep, n, m, token)``: the shingles under which a set can still meet one of another component.
 
     Shingles that only one component holds can't be common to such a pair.  A
     set of ``n`` with ``m`` others can meet the threshold only if ``m`` reaches
@@ -226,19 +233,35 @@ def _candidates(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame
                 columns = [pa.array(np.repeat(part.column(i).to_numpy(), count)) for i in range(3)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), *columns], ["token", "rep", "n", "component"])
 
-    own = sets.join(known.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    own = own.select("rep", "n", F.coalesce("component", "rep").alias("component"), "set")
-    rows = own.mapInArrow(explode, "token bigint, rep bigint, n bigint, component bigint")
+    rows = _with_component(sets, known).select("rep", "n", "component", "set").mapInArrow(explode, "token bigint, rep bigint, n bigint, component bigint")
     lists = rows.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = rows.join(lists.where("lo < hi").select("token", "df"), "token")
     least = f"cast(ceil({rule.num} * n / {rule.den}) as int)"
-    by_set = mixed.groupBy("rep", "n", "component").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("rest"))
-    by_set = by_set.where(f"size(rest) >= {least}").select("rep", "n", "component", F.size("rest").alias("m"), F.expr(f"slice(rest, 1, size(rest) - {least} + 1)").alias("rest"))
-    rare = materialize(by_set.select("rep", "n", "component", "m", F.explode("rest.token").alias("token")), "rarest-shingles")
-    a, b = (rare.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "component", "m")]) for side in "ab")
-    # neither has more shingles to share than ``m``
+    by_set = mixed.groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("rest"))
+    by_set = by_set.where(f"size(rest) >= {least}").select("rep", "n", F.size("rest").alias("m"), F.expr(f"slice(rest, 1, size(rest) - {least} + 1)").alias("rest"))
+    return materialize(by_set.select("rep", "n", "m", F.explode("rest.token").alias("token")), "rarest-shingles")
+
+
+def _hub_pairs(rare: DataFrame, links: DataFrame, known: DataFrame) -> DataFrame:
+    """Each set beside the hubs (members with most links) of the components that it shares a rarest shingle with."""
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+    degree = ends.groupBy("node").agg(F.count("*").alias("k")).join(known, "node")
+    hubs = degree.groupBy("component").agg(F.max_by("node", F.struct("k", "node")).alias("hub"))
+    own = _with_component(rare.select("rep", "token"), known)
+    near = own.join(hubs, "component").select("token", F.col("component").alias("near"), "hub").distinct()
+    return own.join(near, "token").where("component <> near").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+
+
+def _candidates(rare: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs of sets of different components that share a rarest shingle and could reach their overlap."""
+    rows = _with_component(rare, known)
+    lists = rows.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
+    rows = rows.join(lists, "token").groupBy("rep", "n", "m", "component").agg(F.collect_list("token").alias("rest"))
+    rows = rows.select("*", F.explode("rest").alias("token"))
+    a, b = (rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "component", "m", "rest")]) for side in "ab")
+    # neither has more shingles to share than ``m``; a pair is made at its first common shingle only
     size = f"{rule.num} * greatest(n_a, n_b) <= {rule.den} * least(n_a, n_b) and {rule.num + rule.den} * least(m_a, m_b) >= {rule.num} * (n_a + n_b)"
-    pairs = a.join(b, "token").where(f"rep_a < rep_b and component_a <> component_b and {size}")
+    pairs = a.join(b, "token").where(f"rep_a < rep_b and component_a <> component_b and {size} and array_min(array_intersect(rest_a, rest_b)) = token")
     return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
@@ -298,7 +321,10 @@ def ngram_groups(
     # rows of one id with other texts: each of the sets is checked
     sets = materialize(_whole_sets(docs, active, id_col, text_col, words).dropDuplicates(["rep", "set"]), "whole-sets")
     links = materialize(links.unionByName(_leader_links(sets, rule)), "links")
-    found = _verified(_candidates(sets, components(links), rule), sets, rule)
+    known = components(links)
+    rare = _rarest(sets, known, rule)
+    links = materialize(links.unionByName(_verified(_hub_pairs(rare, links, known), sets, rule)), "links")
+    found = _verified(_candidates(rare, components(links), rule), sets, rule)
     known = components(links.unionByName(found).unionByName(same))
 
     out = members.select("id", "n").join(known, F.col("id") == F.col("node"), "left")
