@@ -16,9 +16,8 @@ The boundary ``x`` is chosen by cost from the numbers of sets of each size.
 Groups of near copies would fill the lists with pairs, so sets that share a
 list are first linked to a few leaders of their minimum-hash group (every such
 link is verified).  After that only links between different components are
-missing; for these the sets left are posted under their rarest shingles.  Sets
-that meet a component there are first verified against its hub, then every
-pair of components still apart that meets is verified on the whole sets.
+missing; for these the sets left are posted under their rarest shingles, and
+every pair that meets there is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -242,16 +241,6 @@ def _rarest(sets: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame:
     return materialize(by_set.select("rep", "n", "m", F.explode("rest.token").alias("token")), "rarest-shingles")
 
 
-def _hub_pairs(rare: DataFrame, links: DataFrame, known: DataFrame) -> DataFrame:
-    """Each set beside the hubs (members with most links) of the components that it shares a rarest shingle with."""
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count("*").alias("k")).join(known, "node")
-    hubs = degree.groupBy("component").agg(F.max_by("node", F.struct("k", "node")).alias("hub"))
-    own = _with_component(rare.select("rep", "token"), known)
-    near = own.join(hubs, "component").select("token", F.col("component").alias("near"), "hub").distinct()
-    return own.join(near, "token").where("component <> near").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-
-
 def _candidates(rare: DataFrame, known: DataFrame, rule: Threshold) -> DataFrame:
     """Pairs of sets of different components that share a rarest shingle and could reach their overlap."""
     rows = _with_component(rare, known)
@@ -322,9 +311,7 @@ def ngram_groups(
     sets = materialize(_whole_sets(docs, active, id_col, text_col, words).dropDuplicates(["rep", "set"]), "whole-sets")
     links = materialize(links.unionByName(_leader_links(sets, rule)), "links")
     known = components(links)
-    rare = _rarest(sets, known, rule)
-    links = materialize(links.unionByName(_verified(_hub_pairs(rare, links, known), sets, rule)), "links")
-    found = _verified(_candidates(rare, components(links), rule), sets, rule)
+    found = _verified(_candidates(_rarest(sets, known, rule), known, rule), sets, rule)
     known = components(links.unionByName(found).unionByName(same))
 
     out = members.select("id", "n").join(known, F.col("id") == F.col("node"), "left")
