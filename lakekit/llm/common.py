@@ -44,6 +44,17 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def bounded_batches(table: DataFrame) -> SparkSession:
+    """Keep the Arrow batches that go to Python small, as rows can be long texts; returns the session.
+
+    Lowers two settings of the session; the operators call it before they plan.
+    """
+    spark = table.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return spark
+
+
 def release(spark: SparkSession) -> None:
     """Collect garbage, so that Spark's cleaner deletes shuffle files nobody can read any more."""
     gc.collect()

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import components, materialize
+from lakekit.llm.common import bounded_batches, components, materialize
 
 
 def near_distance(cosine: float) -> float:
@@ -111,7 +111,7 @@ def near_vectors(
     count once and get equal results; an id with several vectors is one node
     whose links add up.  Extra columns are not read.
     """
-    spark = vectors.sparkSession
+    spark = bounded_batches(vectors)
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     bad = "v is null or size(v) = 0 or exists(v, x -> x is null or isnan(x) or abs(x) = double('inf')) or forall(v, x -> x = 0)"
     good = rows.where(f"id is not null and not coalesce({bad}, true)").distinct()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import shingle_sets, small
+from lakekit.llm.common import bounded_batches, shingle_sets, small
 
 #: One shingle hash in so many is kept.
 SCALE = 8
@@ -62,7 +62,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", g
     row.  The last group is followed by the first row of all.  The driver sees
     one row of ids per group.
     """
-    spark = docs.sparkSession
+    spark = bounded_batches(docs)
     groups = groups or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"))

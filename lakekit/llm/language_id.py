@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import bytes_of, materialize, runs_of, small
+from lakekit.llm.common import bounded_batches, bytes_of, materialize, runs_of, small
 
 BUCKETS = 1 << 15
 UND = "und"
@@ -51,7 +51,7 @@ class TextModel:
     languages: list[str]
     table: np.ndarray
 
-    def score(self, texts: list[bytes], limit: int = 1 << 20):
+    def score(self, texts: list[bytes], limit: int = 1 << 18):
         """Trigram counts and log likelihoods (one row per class) of each text."""
         for lo, hi in runs_of([len(t) for t in texts], limit):
             bucket, cuts = trigrams(texts[lo:hi])
@@ -63,6 +63,7 @@ class TextModel:
 
 def fit_text_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 2000) -> TextModel:
     """Count trigrams of about ``per_language`` labelled rows of each language, picked by a hash of the id."""
+    bounded_batches(docs)
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     known = {r["l"]: r["n"] for r in labelled.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).collect()}
     names = sorted(known)
@@ -138,6 +139,7 @@ def identify(
     ``lk_tid`` (hash of the text) tells rows of one id apart; repeated rows
     get equal results.  Extra columns are not read.
     """
+    bounded_batches(docs)
     names = [*model.languages, UND]
     k = len(names)
     none = F.lit(None).cast("string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import bytes_of, grams_of, small, words_of
+from lakekit.llm.common import bounded_batches, bytes_of, grams_of, small, words_of
 
 #: Public license notices (fixed values).
 TEMPLATES = {
@@ -164,6 +164,7 @@ def scan_licenses(
     repeated rows are kept, extra columns are not read; without templates
     there are no rows.  Templates of fewer than ``RUN`` words match as a whole.
     """
+    bounded_batches(docs)
     index = Index(TEMPLATES if templates is None else templates)
     schema = f"`{id_col}` bigint, license string, coverage double, matched_words bigint, start bigint, end bigint, spans array<array<bigint>>"
     types = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64()))]

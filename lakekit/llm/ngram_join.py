@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import bytes_of, components, discard, materialize, mix64, shingle_sets, small
+from lakekit.llm.common import bounded_batches, bytes_of, components, discard, materialize, mix64, shingle_sets, small
 
 #: Light sets have at most so many shingles, whatever the cost says (subsets per set stay few).
 MOST_LIGHT = 24
@@ -165,47 +165,57 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _leaders(rows: DataFrame, rule: Threshold, most: int = 16) -> DataFrame:
-    """Link each set to a leader of its home, in one pass over rows sorted by home.
+    """Link each set to a leader of its home, in one pass over rows ``(home, rep, set, hits)`` sorted by home.
 
-    Rows out with ``leader`` null are leaders left at the end of a home.
+    The ``most`` leaders with most links are at hand; a set that links with
+    none of them becomes a leader.  Rows out with ``leader`` null are the
+    leaders of a task, with their links as ``hits``.
     """
 
     def link(batches):
-        home, leaders = None, []
+        home, leaders = None, []  # [rep, shingles, hits], most hits first
         for batch in small(batches):
             out = []
-            for h, rep, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for h, rep, data, hits in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if h != home:
-                    out += [(home, r, None, s.tobytes()) for r, s in leaders]
+                    out += gone(home, leaders)
                     home, leaders = h, []
                 s = np.frombuffer(data, np.uint64)
-                for i, (r, other) in enumerate(leaders):
+                for i, (r, other, _) in enumerate(leaders):
                     if rule.smallest(max(len(s), len(other))) <= min(len(s), len(other)) and _common(s, other) >= rule.overlap(len(s), len(other)):
                         if r != rep:
-                            out.append((h, rep, r, None))
-                        leaders.insert(0, leaders.pop(i))
+                            out.append((h, rep, r, None, 0))
+                        leaders[i][2] += hits + 1
+                        leaders.sort(key=lambda x: -x[2])
                         break
                 else:
-                    leaders = [(rep, s), *leaders[: most - 1]]
+                    out += gone(home, leaders[most - 1 :])
+                    leaders = [*leaders[: most - 1], [rep, s, hits]]
+                    leaders.sort(key=lambda x: -x[2])
             yield table(out)
-        yield table([(home, r, None, s.tobytes()) for r, s in leaders])
+        yield table(gone(home, leaders))
+
+    def gone(home, leaders):
+        return [(home, r, None, s.tobytes(), hits) for r, s, hits in leaders]
 
     def table(out):
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 4, types)], ["home", "rep", "leader", "set"])
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 5, types)], ["home", "rep", "leader", "set", "hits"])
 
-    return rows.mapInArrow(link, "home bigint, rep bigint, leader bigint, set binary")
+    return rows.mapInArrow(link, "home bigint, rep bigint, leader bigint, set binary, hits bigint")
 
 
 def _leader_links(sets: DataFrame, rule: Threshold) -> DataFrame:
     """Verified links ``(a, b)`` within minimum-hash groups; groups over several tasks meet through their leaders."""
-    rows = sets.select(F.explode("homes").alias("home"), "rep", "set")
+    rows = sets.select(F.explode("homes").alias("home"), "rep", "set", F.lit(0).cast("bigint").alias("hits"))
     first = materialize(_leaders(rows.repartitionByRange("home", "rep").sortWithinPartitions("home", "rep"), rule), "leaders")
-    again = first.where("leader is null").select("home", "rep", "set")
+    again = first.where("leader is null").select("home", "rep", "set", "hits")
     several = again.groupBy("home").agg(F.count("*").alias("k")).where("k > 1").select("home")
     again = again.join(several, "home", "left_semi")
-    second = _leaders(again.repartitionByRange("home").sortWithinPartitions("home", "rep"), rule)
-    both = first.where("leader is not null").unionByName(second.where("leader is not null"))
+    # those with most links in any task come first, so that they stay at hand
+    second = _leaders(again.repartitionByRange("home").sortWithinPartitions("home", F.desc("hits"), "rep"), rule)
+    second = materialize(second.where("leader is not null").drop("set"), "leaders")
+    both = first.where("leader is not null").drop("set").unionByName(second)
     return both.select(F.col("rep").alias("a"), F.col("leader").alias("b"))
 
 
@@ -289,6 +299,7 @@ def ngram_groups(
     a null id link with nothing and have a null component.  Rows of one id are
     one node.  Extra columns are not read; an empty table gives no rows.
     """
+    bounded_batches(docs)
     rule = Threshold(num, den)
     every = materialize(_sets(docs, id_col, text_col, words, rule), "shingle-sets")
     named = every.where("id is not null and n > 0")
@@ -311,7 +322,7 @@ def ngram_groups(
     sets = materialize(_whole_sets(docs, active, id_col, text_col, words).dropDuplicates(["rep", "set"]), "whole-sets")
     links = materialize(links.unionByName(_leader_links(sets, rule)), "links")
     known = components(links)
-    found = _verified(_candidates(_rarest(sets, known, rule), known, rule), sets, rule)
+    found = materialize(_verified(_candidates(_rarest(sets, known, rule), known, rule), sets, rule), "links")
     known = components(links.unionByName(found).unionByName(same))
 
     out = members.select("id", "n").join(known, F.col("id") == F.col("node"), "left")

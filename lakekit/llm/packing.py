@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import materialize, small, worker_cache
+from lakekit.llm.common import bounded_batches, materialize, small, worker_cache
 
 #: The string that the vocabulary holds as a special token (fixed value).
 END_TEXT = "<|endoftext|>"
@@ -71,6 +71,7 @@ def token_pieces(
 
     All pieces but the first hold ``capacity`` ids.  A null text is empty.
     """
+    bounded_batches(docs)
     schema = "id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids array<int>" if with_ids else "")
 
     def pieces(batches):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import mix64, runs_of, small, worker_cache
+from lakekit.llm.common import bounded_batches, mix64, runs_of, small, worker_cache
 
 #: Stands for a space in pieces (fixed value).
 SPACE = "▁"
@@ -283,6 +283,7 @@ def encode_documents(
     scores come in a fixed order for equal texts.  Null ids and repeated rows are
     kept, extra columns are not read.
     """
+    bounded_batches(docs)
     schema = f"`{id_col}` bigint, n_pieces bigint, ids_crc32 bigint, scores array<double>, nbest_crc32 array<bigint>, round_trip boolean"
     types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.bool_()]
     if with_ids:
