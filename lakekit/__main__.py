@@ -65,6 +65,13 @@ def _print_preview(df, n=10):
         print(",".join("" if v is None else str(v) for v in r))
 
 
+def _print_all(df):
+    """Every row, fetched partition by partition."""
+    print(",".join(df.columns))
+    for r in df.toLocalIterator():
+        print(",".join("" if v is None else str(v) for v in r))
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="lakekit")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -85,7 +92,7 @@ def main(argv=None) -> int:
     q.add_argument("--results")
     q.add_argument("--principal", default=ANALYTICS)
     q.add_argument("--run-date", default=str(dt.date.today()))
-    x = sub.add_parser("sql", help="run one Spark SQL statement as a principal")
+    x = sub.add_parser("sql", help="run the Spark SQL statements of a file as a principal")
     x.add_argument("file")
     x.add_argument("--sales", required=True)
     x.add_argument("--employees", required=True)
@@ -133,13 +140,15 @@ def main(argv=None) -> int:
 
     if args.cmd == "discover":
         found = C.discover_schema(spark, args.path, args.glob)
-        _print_preview(found.orderBy("position", "column").select("column", "type", "files", "status"), 10_000)
+        _print_all(found.orderBy("position", "column").select("column", "type", "files", "status"))
         if args.table:
             declared = C.schema_frame(spark, spark.table(args.table).schema)
             drift = C.schema_drift(declared, found.select("column", "type"), args.table)
-            _print_preview(drift.orderBy("column"), 10_000)
+            _print_all(drift.orderBy("column"))
             if args.apply:
                 policy = G.Policy(G.reference_grants(args.lake_root))
+                if not args.principal and args.table.split(".")[0] in {g.database for g in policy.grants}:
+                    ap.error("--apply to a governed database needs --principal, whose DDL grants are checked")
                 allowed = policy.ddl_guard(args.principal) if args.principal else None
                 for stmt in C.apply_drift(spark, args.table, drift, allowed=allowed):
                     print(stmt)
@@ -149,9 +158,9 @@ def main(argv=None) -> int:
             ap.error("--save must differ from --previous (keep one manifest per delivery)")
         current = M.raw_file_manifest(spark, args.dir, glob=args.glob)
         if args.previous:
-            _print_preview(M.changed_files(current, spark.read.parquet(args.previous)).orderBy("path"), 100_000)
+            _print_all(M.changed_files(current, spark.read.parquet(args.previous)).orderBy("path"))
         else:
-            _print_preview(current.orderBy("path"), 100_000)
+            _print_all(current.orderBy("path"))
         if args.save:
             current.write.mode("overwrite").parquet(args.save)
         return 0
@@ -159,7 +168,7 @@ def main(argv=None) -> int:
         out = refresh_lake(spark, args.lake_root, RawDeliveries(args.items, args.products, args.sheet), load_date=args.load_date)
         print(out.sales_path)
         print(out.employees_path)
-        _print_preview(out.checks.orderBy("check"), 1000)
+        _print_all(out.checks.orderBy("check"))
         verdict = X.verdict(out.checks).first()
         print(f"verdict: {verdict['verdict']} (ok={verdict['ok']} fail={verdict['fail']} warn={verdict['warn']})")
         return 0 if verdict["verdict"] != "FAIL" else 1
@@ -168,10 +177,10 @@ def main(argv=None) -> int:
     # enough for reading.
     policy = G.Policy(G.reference_grants("lake"))
     if args.cmd == "sql":
-        # One statement; the principal session exposes the governed tables as
-        # views named after the bare table names.
+        # The principal session exposes the governed tables; statements run one
+        # by one and may name them bare or with their database.
         with open(args.file) as fh:
-            text = fh.read().strip().rstrip(";")
+            statements = G.split_statements(fh.read())
         session = G.as_principal(
             spark,
             policy,
@@ -182,11 +191,13 @@ def main(argv=None) -> int:
             },
         )
         cols = {c.qualified_name: c.columns for c in (SALES_CONTRACT, EMPLOYEE_CONTRACT)}
-        result = G.run_as(session, policy, args.principal, text, cols)
         name = args.file.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-        if args.results:
-            print(K.save_result(result, args.results, name, args.run_date), file=sys.stderr)
-        _print_preview(result)
+        for i, statement in enumerate(statements, 1):
+            result = G.run_as(session, policy, args.principal, statement, cols)
+            if args.results:
+                query_id = name if len(statements) == 1 else f"{name}_{i}"
+                print(K.save_result(result, args.results, query_id, args.run_date), file=sys.stderr)
+            _print_preview(result)
         return 0
     sales = read_refined(spark, SALES_CONTRACT, args.sales)
     emp = read_refined(spark, EMPLOYEE_CONTRACT, args.employees)
@@ -204,7 +215,7 @@ def main(argv=None) -> int:
         name, path = item.split("=", 1)
         raw[name] = read_raw_csv(spark, path)
     checks = validate_lake(spark, raw, sales, emp, policy)
-    _print_preview(checks.orderBy("check"), 1000)
+    _print_all(checks.orderBy("check"))
     verdict = X.verdict(checks).first()
     print(f"verdict: {verdict['verdict']} (ok={verdict['ok']} fail={verdict['fail']} warn={verdict['warn']})")
     return 0 if verdict["verdict"] != "FAIL" else 1

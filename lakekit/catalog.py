@@ -54,20 +54,54 @@ def check_partitions(spark: SparkSession, contract: Contract) -> list[str]:
 # type lattice (Spark SQL type names)
 # ---------------------------------------------------------------------------
 
-# Widening order inside the numeric family; anything else only matches itself.
-_NUMERIC_RANK = (("tinyint", 1), ("smallint", 2), ("int", 3), ("bigint", 4), ("float", 6), ("double", 7))
+# Digits that a whole-number type needs.
+_WHOLE_DIGITS = (("tinyint", 3), ("smallint", 5), ("int", 10), ("bigint", 19))
 
 
 def type_family(t: Column) -> Column:
-    numeric = t.isin(*[n for n, _ in _NUMERIC_RANK]) | t.startswith("decimal")
+    numeric = t.isin(*[n for n, _ in _WHOLE_DIGITS], "float", "double") | t.startswith("decimal")
     return F.when(numeric, F.lit("numeric")).when(t.isin("timestamp", "timestamp_ntz"), F.lit("timestamp")).otherwise(t)
 
 
-def type_rank(t: Column) -> Column:
-    expr = F.when(t.startswith("decimal"), F.lit(5.0) + F.regexp_extract(t, r"decimal\((\d+)", 1).cast("double") / 100)
-    for name, rank in _NUMERIC_RANK:
-        expr = expr.when(t == name, F.lit(float(rank)))
-    return expr.otherwise(F.lit(0.0))
+def _digits(t: Column) -> Column:
+    """Digits before the point that a numeric type holds; 0 for others."""
+    decimal = F.regexp_extract(t, r"decimal\((\d+),", 1).try_cast("int") - F.regexp_extract(t, r",\s*(\d+)\)", 1).try_cast("int")
+    expr = F.when(t.startswith("decimal"), decimal)
+    for name, n in _WHOLE_DIGITS:
+        expr = expr.when(t == name, F.lit(n))
+    return expr.otherwise(F.lit(0))
+
+
+def _scale(t: Column) -> Column:
+    return F.when(t.startswith("decimal"), F.regexp_extract(t, r",\s*(\d+)\)", 1).try_cast("int")).otherwise(F.lit(0))
+
+
+def _bound(digits: Column, scale: Column, decimals: Column, floats: Column, doubles: Column) -> Column:
+    """The least numeric type that holds them all; NULL where no decimal has the digits.
+
+    A float holds whole numbers of up to five digits; with more, or with decimals, it widens to double.
+    """
+    whole = F.lit("bigint")
+    for name, n in reversed(_WHOLE_DIGITS[:-1]):
+        whole = F.when(digits <= n, F.lit(name)).otherwise(whole)
+    wide = F.when(digits + scale <= 38, F.concat(F.lit("decimal("), digits + scale, F.lit(","), scale, F.lit(")")))
+    approximate = F.when(doubles | decimals | (digits > 5), F.lit("double")).otherwise(F.lit("float"))
+    return F.when(floats | doubles, approximate).when(decimals, wide).otherwise(whole)
+
+
+def bound_of(a: Column, b: Column) -> Column:
+    """The least type that holds both numeric types."""
+
+    def either(test):
+        return test(a) | test(b)
+
+    return _bound(
+        F.greatest(_digits(a), _digits(b)),
+        F.greatest(_scale(a), _scale(b)),
+        either(lambda t: t.startswith("decimal")),
+        either(lambda t: t == "float"),
+        either(lambda t: t == "double"),
+    )
 
 
 def _footer_reader():
@@ -149,22 +183,24 @@ def file_columns(spark: SparkSession, path: str, glob: str = "*.parquet") -> Dat
 def discover_schema(spark: SparkSession, path: str, glob: str = "*.parquet", allow_string: bool = False) -> DataFrame:
     """Widened schema over all files: (column, type, files, types, status).
 
-    status: SAME (one type), WIDEN (numeric types widened to the largest),
-    CONFLICT (incompatible families; ``allow_string`` resolves to string).
+    status: SAME (one type), WIDEN (numeric types widened to the least that holds them all),
+    CONFLICT (incompatible families, or more digits than a decimal has; ``allow_string`` resolves to string).
     """
     cols = file_columns(spark, path, glob)
-    ranked = cols.withColumn("_rank", type_rank(F.col("type"))).withColumn("_family", type_family(F.col("type")))
-    agg = ranked.groupBy("column").agg(
+    t = F.col("type")
+    agg = cols.withColumn("_family", type_family(t)).groupBy("column").agg(
         F.min("position").alias("position"),
         F.countDistinct("path").alias("files"),
         F.array_sort(F.collect_set("type")).alias("types"),
-        F.max_by("type", "_rank").alias("_widest"),
+        F.max("type").alias("_any"),
+        F.max("_family").alias("_family"),
         F.countDistinct("_family").alias("_families"),
+        _bound(F.max(_digits(t)), F.max(_scale(t)), F.max(t.startswith("decimal")), F.max(t == "float"), F.max(t == "double")).alias("_bound"),
     )
-    conflict = F.col("_families") > 1
-    resolved = F.when(conflict, F.lit("string") if allow_string else F.lit(None).cast("string")).otherwise(
-        F.col("_widest")
-    )
+    one = F.size("types") == 1
+    widest = F.when(one, F.col("_any")).when(F.col("_family") == "numeric", F.col("_bound")).otherwise(F.col("_any"))
+    conflict = (F.col("_families") > 1) | widest.isNull()
+    resolved = F.when(conflict, F.lit("string") if allow_string else F.lit(None).cast("string")).otherwise(widest)
     status = F.when(conflict, F.lit("CONFLICT")).when(F.size("types") > 1, F.lit("WIDEN")).otherwise(F.lit("SAME"))
     return agg.select("column", resolved.alias("type"), "files", "types", status.alias("status"), "position")
 
@@ -206,14 +242,14 @@ def schema_drift(declared: DataFrame, observed: DataFrame, table: str | None = N
     d = declared.select(F.col("column"), F.col("type").alias("declared"))
     o = observed.select(F.col("column"), F.col("type").alias("observed"))
     j = d.join(o, on="column", how="full_outer")
-    dr, orank = type_rank(F.col("declared")), type_rank(F.col("observed"))
-    same_family = type_family(F.col("declared")) == type_family(F.col("observed"))
+    numeric = (type_family(F.col("declared")) == "numeric") & (type_family(F.col("observed")) == "numeric")
+    bound = bound_of(F.col("declared"), F.col("observed"))
     action = (
         F.when(F.col("declared").isNull(), "ADD")
         .when(F.col("observed").isNull(), "LOG")
         .when(F.col("declared") == F.col("observed"), "SAME")
-        .when(same_family & (orank > dr) & (dr > 0), "WIDEN")
-        .when(same_family & (orank <= dr) & (orank > 0), "SAME")
+        .when(numeric & (bound == F.col("declared")), "SAME")
+        .when(numeric & bound.isNotNull(), "WIDEN")
         .otherwise("CONFLICT")
     )
     out = j.select("column", "declared", "observed", action.alias("action"))

@@ -138,17 +138,18 @@ def expect_metrics(df: DataFrame, expected: DataFrame, measures: Mapping[str, Co
     """Many metrics in one aggregate pass over ``df``.
 
     ``expected``: (metric, value, tolerance).  Returns (check, status,
-    observed, expected, tolerance); metrics without a measure are SKIP.
+    observed, expected, tolerance).  Metrics without a measure are SKIP; a
+    measure that comes out NULL fails.
     """
     observed = df.agg(*[e.cast("double").alias(name) for name, e in measures.items()])
     stacked = observed.select(
         F.explode(
-            F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).alias("observed")) for name in measures])
+            F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).alias("observed"), F.lit(True).alias("measured")) for name in measures])
         ).alias("m")
     ).select("m.*")
     j = expected.join(stacked, "metric", "left")
     ok = F.abs(F.col("observed") - F.col("value")) <= F.col("tolerance")
-    status = F.when(F.col("observed").isNull(), "SKIP").when(ok, "OK").otherwise("FAIL")
+    status = F.when(F.col("measured").isNull(), "SKIP").when(ok, "OK").otherwise("FAIL")
     return j.select(
         F.concat(F.lit("metric:"), F.col("metric")).alias("check"),
         status.alias("status"),

@@ -6,10 +6,8 @@ from lakekit.functions.columns import (
     legacy_int,
     lenient_double,
     load_date,
-    cents_to_decimal,
-    cents_to_double,
+    amount,
     money,
-    money_cents,
     money_sum,
     money_total,
     pct,
@@ -27,10 +25,8 @@ __all__ = [
     "legacy_int",
     "lenient_double",
     "load_date",
-    "cents_to_decimal",
-    "cents_to_double",
+    "amount",
     "money",
-    "money_cents",
     "money_sum",
     "money_total",
     "pct",

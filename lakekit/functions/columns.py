@@ -30,13 +30,8 @@ def pick(cols: DataFrame | Iterable[str], *candidates: str, default=None) -> Col
 
     A present-but-NULL column is returned as is (no value fallback).
     """
-    present = _names(cols)
-    for name in candidates:
-        if name in present:
-            return F.col(name)
-    if default is not None:
-        return F.lit(default)
-    return F.lit(None)
+    found = [name for name in candidates if name in _names(cols)]
+    return F.col(found[0]) if found else F.lit(default)
 
 
 def typed_null(data_type: str) -> Column:
@@ -72,38 +67,45 @@ def as_double(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def money_cents(col: Column | str) -> Column:
-    """Money as exact integer cents (bigint); NULL if unparseable or out of range.
+#: Exact type of a single amount; sums of it have ten more digits in front.
+AMOUNT = "decimal(38,6)"
 
-    Currency amounts with at most two decimals convert exactly; sums of
-    cents are exact, order-independent and stay in fast primitive
-    arithmetic (an overflow beyond ~9.2e16 currency units raises under ANSI).
-    """
+
+def amount(col: Column | str) -> Column:
+    """An amount as exact decimal with six places; NULL if unparseable or too large for it."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.rint(c.try_cast("double") * F.lit(100.0)).try_cast("bigint")
+    return c.try_cast("double").try_cast(AMOUNT)
 
 
 def money(col: Column | str) -> Column:
-    """Exact two-decimal money value as DECIMAL(18,2)."""
-    return (money_cents(col).cast("decimal(20,0)") / F.lit(100)).try_cast(MONEY)
+    """Two-decimal money value as DECIMAL(18,2)."""
+    return amount(col).try_cast(MONEY)
 
 
-def cents_to_double(cents: Column) -> Column:
-    return cents / F.lit(100.0)
+def amount_parts(col: Column | str) -> dict[str, Column]:
+    """Aggregates that merge: exact sum, double sum, and how many values there are and how many are exact."""
+    c = F.col(col) if isinstance(col, str) else col
+    value = c.try_cast("double")
+    return {"exact": F.try_sum(amount(c)), "rough": F.sum(value), "values": F.count(value), "exacts": F.count(amount(c))}
+
 
+def merged_amount(exact: Column, rough: Column, values: Column, exacts: Column) -> Column:
+    """The exact sum as double; the double sum where a value or the sum itself does not fit the exact type.
 
-def cents_to_decimal(cents: Column) -> Column:
-    return (cents.cast("decimal(38,0)") / F.lit(100)).cast(MONEY)
+    Nothing is dropped and nothing wraps, in either ANSI mode.
+    """
+    return F.when((values == exacts) & (exact.isNotNull() | (values == 0)), exact.cast("double")).otherwise(rough)
 
 
 def money_sum(col: Column | str) -> Column:
-    """Order-independent money sum: exact integer cents inside, double outside."""
-    return cents_to_double(F.sum(money_cents(col)))
+    """Order-independent sum of amounts with up to six places, as double (see ``merged_amount``)."""
+    return merged_amount(**amount_parts(col))
 
 
 def money_total(col: Column | str) -> Column:
-    """Exact money sum as DECIMAL(18,2)."""
-    return cents_to_decimal(F.sum(money_cents(col)))
+    """Sum of amounts as DECIMAL(18,2), rounded once at the end."""
+    parts = amount_parts(col)
+    return F.when(parts["values"] == parts["exacts"], parts["exact"].cast(MONEY)).otherwise(parts["rough"].cast(MONEY))
 
 
 def band(col: Column, limits: Sequence[tuple[float, str]], otherwise: str, null_band: str | None = None) -> Column:

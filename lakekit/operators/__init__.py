@@ -1,24 +1,16 @@
 from lakekit.operators.aggregate import count_by, order_desc, rollup_sum, sum_by, top_k, top_sum
 from lakekit.operators.joins import (
-    DEFAULT_BROADCAST_ROWS,
-    has_at_most,
-    hot_keys,
     join_dim,
     join_literal,
-    salted_join,
     unmatched,
 )
 
 __all__ = [
-    "DEFAULT_BROADCAST_ROWS",
     "count_by",
-    "has_at_most",
-    "hot_keys",
     "join_dim",
     "join_literal",
     "order_desc",
     "rollup_sum",
-    "salted_join",
     "sum_by",
     "top_k",
     "top_sum",

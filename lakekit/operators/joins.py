@@ -1,13 +1,8 @@
-"""Join helpers with an explicit, checked broadcast decision.
+"""Join helpers.
 
-A side is broadcast only when its size is proven: either it is a literal
-relation (bounded by construction) or a row-count probe shows it has at
-most ``max_rows`` rows.  The probe is a plain partial/final count (each
-task counts its split, one row per task is merged): it never gathers rows
-into one task, unlike ``limit(n).count()`` whose global limit would.
-Otherwise the join is left to Catalyst: sort-merge on the join keys, with
-adaptive execution free to switch to broadcast from runtime statistics
-and to split a skewed key's partition.
+The strategy is Catalyst's: it broadcasts a side only by its size in bytes,
+and adaptive execution re-plans from what the shuffles really hold and splits
+the partitions of a skewed key.
 """
 
 from __future__ import annotations
@@ -15,101 +10,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# Rows of a (narrow, projected) dimension we accept to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, how: str = "inner", merge: bool = False) -> DataFrame:
+    """Fact x dimension join; ``merge`` asks for a sort-merge join, whose skewed partitions can be split."""
+    return fact.join(dim.hint("merge") if merge else dim, on=on, how=how)
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Row-count probe (runs one small job on the projected dimension)."""
-    return df.count() <= max_rows
 
-
-def join_dim(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "inner",
-    max_broadcast_rows: int | None = None,
-    salt_buckets: int | None = None,
-    min_hot_rows: int = 1_000_000,
-) -> DataFrame:
-    """Fact x dimension join; broadcast the dimension only behind a check.
-
-    When the dimension is too large to broadcast, the join is a shuffle
-    join; adaptive execution splits skewed partitions by default, and
-    ``salt_buckets`` (single key column only) salts the hot keys
-    explicitly instead.
-    """
-    if max_broadcast_rows is not None and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        if has_at_most(dim, max_broadcast_rows):
-            return fact.join(F.broadcast(dim), on=on, how=how)
-    if salt_buckets and isinstance(on, str) and how in ("inner", "left", "left_outer"):
-        return salted_join(fact, dim, on, how, buckets=salt_buckets, min_hot_rows=min_hot_rows)
-    return fact.join(dim, on=on, how=how)
-
-
-def join_literal(
-    fact: DataFrame,
-    small: DataFrame,
-    on,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-    known_rows: int | None = None,
-) -> DataFrame:
-    """Join to a small (usually inline literal) relation.
-
-    ``known_rows``: the caller built the relation from that many local rows,
-    which is a proven bound without running a job; otherwise the same
-    row-count check as ``join_dim`` decides.
-    """
-    if known_rows is not None and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        if known_rows <= max_rows:
-            return fact.join(F.broadcast(small), on=on, how=how)
-        return fact.join(small, on=on, how=how)
-    return join_dim(fact, small, on, how, max_broadcast_rows=max_rows)
+def join_literal(fact: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join to a small (usually inline literal) relation, whose size Catalyst knows."""
+    return fact.join(small, on=on, how=how)
 
 
 def unmatched(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Rows of ``left`` without a partner in ``right`` (left anti join)."""
     return left.join(right, on=on, how="left_anti")
-
-
-def hot_keys(fact: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Keys carrying at least ``min_rows`` rows (partial/final count).
-
-    The result is bounded by construction: at most ``rows / min_rows`` keys.
-    """
-    return fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows).select(key)
-
-
-def salted_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    how: str = "inner",
-    buckets: int = 32,
-    min_hot_rows: int = 1_000_000,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Equi-join on ``key`` that spreads hot keys over ``buckets`` tasks.
-
-    Fact rows of a hot key get a salt in [0, buckets) from a hash of the
-    row itself (deterministic, so a re-run task after an executor loss
-    routes every row exactly as before); the matching
-    dimension rows are replicated once per salt; all other keys keep salt 0,
-    so only hot keys are replicated.  The hot-key list is small by
-    construction (see ``hot_keys``) and broadcast.  Use where adaptive
-    skew-join splitting is unavailable; results equal the plain join.
-    """
-    if how not in ("inner", "left", "left_outer"):
-        raise ValueError("salted_join supports inner and left joins")
-    hot = (hot if hot is not None else hot_keys(fact, key, min_hot_rows)).select(key).withColumn("_hot", F.lit(True))
-    f = fact.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(buckets)).cast("int")).otherwise(F.lit(0))
-    )
-    d = dim.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0))))
-    )
-    return f.drop("_hot").join(d.drop("_hot"), [key, "_salt"], how).drop("_salt")

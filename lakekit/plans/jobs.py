@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 
 from lakekit.contracts import EMPLOYEE_CONTRACT, Contract
 from lakekit.functions.columns import (
+    amount_parts,
     as_double,
     band,
-    cents_to_double,
     flag,
     legacy_int,
     load_date,
-    money_cents,
+    merged_amount,
     pick,
     surrogate_id,
 )
-from lakekit.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most
+from lakekit.operators.joins import join_dim
 
 # --- Fixed values (must equal the reference's employee mapping) ---
 # Raw sheet column names and their defaults when the column is absent.
@@ -45,41 +45,28 @@ def sales_by_category(
     item: str = "order_item_id",
     revenue_name: str = "total_receita",
     count_name: str = "qtd_itens",
-    max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    merge: bool = False,
 ) -> DataFrame:
     """Revenue and item count per product category.
 
     Items join products on ``key`` (inner: orphan items are dropped, a
     NULL category is one group).  ``price`` text is parsed leniently and
-    summed exactly in integer cents, returned as double.
-
-    Physical strategy:
-      * products proven small (row-count probe) -> broadcast hash join, then a
-        partial/final aggregate by category: the item table is never
-        shuffled;
-      * otherwise -> pre-aggregate items per product first (map-side
-        combine collapses a hot product inside each task), shuffle those
-        partial sums on ``key``, join products on the already-partitioned
-        key, then aggregate by category.
-    Both plans give the same exact result.
+    summed exactly with six places (see ``money_sum``), returned as double.
+
+    Items are first aggregated per product (map-side combine collapses a hot
+    product inside each task), the partial sums then join products and are
+    aggregated by category.  Catalyst and adaptive execution pick the join;
+    ``merge`` asks for a sort-merge join.
     """
-    prices = items.select(key, item, money_cents(as_double(items, price)).alias("_cents"))
+    prices = items.select(key, item, as_double(items, price).alias("_price"))
     dims = products.select(key, category)
-
-    if max_broadcast_rows is not None and has_at_most(dims, max_broadcast_rows):
-        joined = prices.join(F.broadcast(dims), on=key, how="inner")
-        return joined.groupBy(category).agg(
-            cents_to_double(F.sum("_cents")).alias(revenue_name),
-            F.count(item).alias(count_name),
-        )
-
-    per_product = prices.groupBy(key).agg(
-        F.sum("_cents").alias("_revenue"),
-        F.count(item).alias("_items"),
-    )
-    joined = per_product.join(dims, on=key, how="inner")
+    per_product = prices.groupBy(key).agg(*[c.alias(f"_{n}") for n, c in amount_parts("_price").items()], F.count(item).alias("_items"))
+    joined = join_dim(per_product, dims, key, merge=merge)
+    parts = {"exact": F.try_sum("_exact"), "rough": F.sum("_rough"), "values": F.sum("_values"), "exacts": F.sum("_exacts")}
+    # a product's own exact sum may be missing where its values fit: then the double sum holds
+    parts["exacts"] = parts["exacts"] - F.count_if(F.col("_exact").isNull() & (F.col("_values") > 0))
     return joined.groupBy(category).agg(
-        cents_to_double(F.sum("_revenue")).alias(revenue_name),
+        merged_amount(**parts).alias(revenue_name),
         F.sum("_items").cast("bigint").alias(count_name),
     )
 

@@ -15,6 +15,8 @@ and storage layer.
 
 from __future__ import annotations
 
+import posixpath
+import re
 import enum
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -121,7 +123,7 @@ class Policy:
             g.principal == principal
             and g.permission == "DATA_LOCATION_ACCESS"
             and g.location
-            and path.rstrip("/").startswith(g.location.rstrip("/"))
+            and _below(path, g.location)
             for g in self.grants
         )
 
@@ -137,6 +139,18 @@ class Policy:
         return guard
 
 
+def _normal(path: str) -> str:
+    """The path without ``.``, ``..`` and repeated slashes, scheme and authority as they are."""
+    scheme, sep, rest = path.rpartition("://") if "://" in path else ("", "", path)
+    return scheme + sep + posixpath.normpath(rest)
+
+
+def _below(path: str, location: str) -> bool:
+    """Whether ``path`` is ``location`` or lies in it (whole path components)."""
+    path, location = _normal(path), _normal(location)
+    return path == location or path.startswith(location.rstrip("/") + "/")
+
+
 def governed(
     table_df: DataFrame,
     policy: Policy,
@@ -168,9 +182,12 @@ def denied_columns(grants: DataFrame, catalog_columns: DataFrame, principal: str
     """(database, table, column) the principal cannot read.
 
     ``catalog_columns``: (database, table, column).  A table grant with NULL
-    columns covers every column.
+    columns covers every column, a grant on the database every table.
     """
     g = grants.filter((F.col("principal") == principal) & F.col("permission").isin("SELECT", "ALL"))
+    databases = g.filter(F.col("table").isNull()).select("database").distinct()
+    catalog_columns = catalog_columns.join(databases, "database", "left_anti")
+    g = g.filter(F.col("table").isNotNull())
     whole = g.filter(F.col("columns").isNull()).select("database", "table").distinct()
     cols = g.filter(F.col("columns").isNotNull()).select("database", "table", F.explode("columns").alias("column"))
     return catalog_columns.join(whole, ["database", "table"], "left_anti").join(
@@ -200,10 +217,53 @@ def as_principal(
     return session
 
 
+# Parts of a statement: comments and quoted text stay as they are, dotted names are looked at.
+_SQL_PARTS = re.compile(r"""(--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|((?:`[^`]+`|\w+)(?:\s*\.\s*(?:`[^`]+`|\w+))+)|(;)""", re.S)
+_FILE_FORMATS = ("parquet", "csv", "json", "orc", "text", "binaryfile", "avro")
+
+
+def _governed_names(session: SparkSession, policy: Policy, principal: str, sql: str, tables: Mapping[str, Sequence[str]]) -> str:
+    known = {q.lower(): q for q in tables}
+
+    def place(match: re.Match) -> str:
+        if match[1] or match[3]:
+            return match[0]
+        parts = [p.strip().strip("`") for p in re.split(r"\s*\.\s*(?=(?:[^`]*`[^`]*`)*[^`]*$)", match[2])]
+        if parts[0].lower() == "spark_catalog" and len(parts) > 2:
+            parts = parts[1:]
+        name = ".".join(parts[:2]).lower()
+        if name in known:
+            if policy.allowed_columns(principal, known[name], tables[known[name]]) is None:
+                raise AccessDenied(principal, known[name])
+            return ".".join(f"`{p}`" for p in parts[1:])
+        if parts[0].lower() in _FILE_FORMATS or session.catalog.databaseExists(parts[0]) and session.catalog.tableExists(".".join(parts[:2])):
+            raise AccessDenied(principal, ".".join(parts[:2]))
+        return match[0]
+
+    return _SQL_PARTS.sub(place, sql)
+
+
+def split_statements(text: str) -> list[str]:
+    """The statements of a SQL file, cut at semicolons outside comments and quoted text."""
+    out, at = [], 0
+    for match in _SQL_PARTS.finditer(text):
+        if match[3]:
+            out.append(text[at : match.start()])
+            at = match.end()
+    out.append(text[at:])
+    bare = [(s, re.sub(r"--[^\n]*|/\*.*?\*/", "", s, flags=re.S).strip()) for s in out]
+    return [s.strip() for s, rest in bare if rest]
+
+
 def run_as(session: SparkSession, policy: Policy, principal: str, sql: str, tables: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Run SQL in a principal session; an unresolved denied column -> AccessDenied."""
+    """Run one SQL statement in a principal session.
+
+    Tables may be named bare or with their database: both mean the governed
+    view.  A table that is not granted, another table of the catalog, a file
+    named as a table, or a denied column raises ``AccessDenied``.
+    """
     try:
-        return session.sql(sql)
+        return session.sql(_governed_names(session, policy, principal, sql, tables))
     except AnalysisException as exc:
         msg = str(exc)
         for qualified, all_columns in tables.items():
@@ -217,13 +277,13 @@ def run_as(session: SparkSession, policy: Policy, principal: str, sql: str, tabl
 def audit_grants(actual: DataFrame, expected: DataFrame, sensitive: DataFrame) -> DataFrame:
     """Expected grants vs actual -> (principal, database, table, permission, status, detail).
 
-    FAIL if the grant is missing, if a column grant became a wildcard, or
-    if a sensitive column of that table is granted.  ``sensitive``:
+    FAIL if the grant is missing or was not expected, if a column grant became
+    a wildcard or other columns are granted, or if a sensitive column of that table is granted.  ``sensitive``:
     (database, table, column).
     """
     keys = ["principal", "database", "table", "permission"]
     a = actual.select(*[F.col(k).alias(f"a_{k}") for k in keys], F.col("columns").alias("actual_columns"), F.lit(True).alias("_present"))
-    e = expected.select(*keys, F.col("columns").alias("expected_columns"))
+    e = expected.select(*keys, F.col("columns").alias("expected_columns"), F.lit(True).alias("_expected"))
     leaked = (
         actual.select(*keys, F.explode("columns").alias("column"))
         .join(sensitive, ["database", "table", "column"], "inner")
@@ -233,18 +293,23 @@ def audit_grants(actual: DataFrame, expected: DataFrame, sensitive: DataFrame) -
     )
     # database / table are NULL for location grants: match them null-safely
     on_a = [e[k].eqNullSafe(a[f"a_{k}"]) for k in keys]
-    j = e.join(a, on_a, "left")
+    j = e.join(a, on_a, "full_outer")
+    j = j.select(*[F.when(F.col("_expected"), F.col(k)).otherwise(F.col(f"a_{k}")).alias(k) for k in keys], "expected_columns", "actual_columns", "_present", "_expected")
+    others = F.size(F.array_except("actual_columns", "expected_columns")) > 0
     j = j.join(leaked, [j[k].eqNullSafe(leaked[f"l_{k}"]) for k in keys], "left")
     status = (
         F.when(F.col("_present").isNull(), "FAIL")
         .when(F.col("expected_columns").isNotNull() & F.col("actual_columns").isNull(), "FAIL")
+        .when(F.col("_expected").isNull() | others, "FAIL")
         .when(F.col("leaked").isNotNull(), "FAIL")
         .otherwise("PASS")
     )
     detail = (
         F.when(F.col("_present").isNull(), F.lit("grant missing"))
         .when(F.col("expected_columns").isNotNull() & F.col("actual_columns").isNull(), F.lit("column wildcard"))
+        .when(F.col("_expected").isNull(), F.lit("grant not expected"))
         .when(F.col("leaked").isNotNull(), F.concat(F.lit("sensitive: "), F.array_join("leaked", ",")))
+        .when(others, F.lit("columns not expected"))
         .otherwise(F.lit("ok"))
     )
     return j.select(*keys, status.alias("status"), detail.alias("detail"))

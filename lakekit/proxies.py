@@ -15,7 +15,7 @@ import weakref
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.operators.joins import DEFAULT_BROADCAST_ROWS, join_dim
+from lakekit.operators.joins import join_dim
 from lakekit.plans.business import business_map
 from lakekit.plans.jobs import conform_employees, sales_by_category
 
@@ -92,8 +92,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
-    # nation is a small reference table: broadcast behind the row-count check
-    return join_dim(customer, nation, customer.c_nationkey == nation.n_nationkey, "inner", DEFAULT_BROADCAST_ROWS)
+    return join_dim(customer, nation, customer.c_nationkey == nation.n_nationkey, "inner")
 
 
 def _income_text() -> F.Column:

@@ -67,34 +67,92 @@ def write_refined(
     write_parquet(df, path)
     spark = spark or df.sparkSession
     check_contract(spark.read.parquet(path), contract)
+    publish_version(spark, location, path)
     if spark.catalog.tableExists(contract.qualified_name):
         spark.sql(f"ALTER TABLE {contract.qualified_name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(contract.qualified_name)
     return path
 
 
+def publish_version(spark: SparkSession, location: str, path: str) -> None:
+    """Name ``path`` the current version of a table location: a new pointer file, the latest of which holds.
+
+    Pointers are small files in ``_current/``, written once and never changed, so readers
+    see the old version or the new one, also where a version has no rows.
+    """
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    hadoop, fs, folder = _file_system(spark, f"{location.rstrip('/')}/_current")
+    fs.create(hadoop.Path(folder, name.split("=", 1)[1]), False).close()
+
+
+def current_version(spark: SparkSession, location: str) -> str | None:
+    """Path of the current version of a table location; None where none was published."""
+    _, fs, folder = _file_system(spark, f"{location.rstrip('/')}/_current")
+    if not fs.exists(folder):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if not s.getPath().getName().startswith((".", "_"))]
+    return f"{location.rstrip('/')}/version={max(names)}" if names else None
+
+
+def expire_versions(spark: SparkSession, location: str, keep: int = 2) -> list[str]:
+    """Delete all but the ``keep`` latest published versions; returns the deleted paths."""
+    hadoop, fs, folder = _file_system(spark, f"{location.rstrip('/')}/_current")
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if not s.getPath().getName().startswith((".", "_")))
+    old = names[: -max(1, keep)]
+    for name in old:
+        fs.delete(hadoop.Path(f"{location.rstrip('/')}/version={name}"), True)
+        fs.delete(hadoop.Path(folder, name), False)
+    return [f"{location.rstrip('/')}/version={name}" for name in old]
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    return hadoop, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def expire_results(spark: SparkSession, root: str, query_id: str, as_of: str | _dt.date, days: int = 30) -> list[str]:
+    """Delete result folders of days more than ``days`` before ``as_of``; returns the deleted paths."""
+    hadoop, fs, folder = _file_system(spark, f"{root.rstrip('/')}/{query_id}")
+    first = (_dt.date.fromisoformat(str(as_of)) - _dt.timedelta(days=days)).isoformat()
+    gone = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        name = status.getPath().getName()
+        if name.startswith("run_date=") and name.split("=", 1)[1] < first:
+            fs.delete(status.getPath(), True)
+            gone.append(f"{root.rstrip('/')}/{query_id}/{name}")
+    return gone
+
+
 def save_result(df: DataFrame, root: str, query_id: str, run_date: str | _dt.date | None = None) -> str:
     """Persist a query result as headered CSV under one results root.
 
-    Results land in ``<root>/<query_id>/run_date=<d>/`` so retention and
-    reads of one day are partition-pruned.
+    Each execution gets a folder of its own,
+    ``<root>/<query_id>/run_date=<d>/execution=<id>/``, so a later run of a day
+    keeps the earlier ones, and retention and reads of one day are
+    partition-pruned.
     """
     day = str(run_date or _dt.date.today())
-    path = f"{root.rstrip('/')}/{query_id}/run_date={day}"
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    path = f"{root.rstrip('/')}/{query_id}/run_date={day}/execution={stamp}-{uuid.uuid4().hex[:8]}"
+    df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     return path
 
 
 def read_results(spark: SparkSession, root: str, query_id: str, schema=None, run_date=None) -> DataFrame:
-    """Saved results of ``query_id``; with ``run_date`` only that day's
-    partition is listed and read, and the partition column is dropped."""
+    """Saved results of ``query_id``, with their ``run_date`` and ``execution``.
+
+    With ``run_date`` only that day's latest execution is read, without these columns.
+    """
+    if run_date is not None:
+        _, fs, folder = _file_system(spark, f"{root.rstrip('/')}/{query_id}/run_date={run_date}")
+        latest = max(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("execution="))
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.csv(f"{root.rstrip('/')}/{query_id}")
-    if run_date is None:
-        return df
-    return df.filter(F.col("run_date") == F.lit(str(run_date)).cast("date")).drop("run_date")
+    if run_date is not None:
+        return reader.csv(f"{root.rstrip('/')}/{query_id}/run_date={run_date}/{latest}")
+    return reader.csv(f"{root.rstrip('/')}/{query_id}")
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

@@ -48,24 +48,28 @@ def read_raw_csv(
 
 
 def read_refined(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
-    """Parquet at ``path`` read under the contract's declared schema."""
-    return spark.read.schema(contract.schema).parquet(path)
+    """Parquet at ``path`` read under the contract's declared schema.
+
+    ``path`` is a version's folder, or a table location: then the current
+    version is read, never several together.
+    """
+    from lakekit.sinks import current_version
+
+    return spark.read.schema(contract.schema).parquet(current_version(spark, path) or path)
 
 
 def read_current(spark: SparkSession, contract: Contract, location: str) -> DataFrame:
-    """The newest published version under a table location, without a catalog.
+    """The current published version under a table location, without a catalog.
 
-    Versions are ``version=<stamp>`` folders (see ``write_refined``); the
-    newest stamp is found by a scalar subquery over the partition column and
-    partition pruning restricts the scan to that version's files.
+    The version's name is looked up once, when the plan is built; only its
+    files are listed and read.  A location without a published version is an error.
     """
-    from pyspark.sql import functions as F
+    from lakekit.sinks import current_version
 
-    versions = spark.read.parquet(location)
-    newest = versions.agg(F.max("version")).scalar()
-    with_version = T.StructType([*contract.schema.fields, T.StructField("version", T.StringType())])
-    current = spark.read.schema(with_version).parquet(location)
-    return current.filter(F.col("version") == newest).select(*contract.columns)
+    path = current_version(spark, location)
+    if path is None:
+        raise FileNotFoundError(f"no published version under {location}")
+    return spark.read.schema(contract.schema).parquet(path)
 
 
 def catalog_scan(spark: SparkSession, qualified_name: str) -> DataFrame:

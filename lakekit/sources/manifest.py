@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def raw_file_manifest(spark: SparkSession, path: str, glob: str | None = None, with_md5: bool = True) -> DataFrame:
+def raw_file_manifest(spark: SparkSession, path: str, glob: str | None = None, with_md5: bool = False) -> DataFrame:
     """(path, length, modified[, md5]) for every file under ``path``.
 
-    With ``with_md5=False`` only file metadata is listed and the file bytes
-    are never read (the ``content`` column is pruned from the scan), which
-    is the cheap change signal for very large deliveries.  MD5 mode reads
+    By default only file metadata is listed and the file bytes are never read
+    (the ``content`` column is pruned from the scan).  ``with_md5`` reads
     each file as one value, so it suits files below ~2 GB.
     """
     reader = spark.read.format("binaryFile")
@@ -36,12 +35,18 @@ def raw_file_manifest(spark: SparkSession, path: str, glob: str | None = None, w
 def changed_files(new: DataFrame, old: DataFrame, key: str = "path") -> DataFrame:
     """Full outer join of two manifests -> (path, status, old_md5, new_md5).
 
-    status: ADDED, REMOVED, CHANGED (digest, or length when no digest) or
+    status: ADDED, REMOVED, CHANGED (digest, or length and modification time without digests) or
     UNCHANGED.
     """
-    sig = "md5" if "md5" in new.columns and "md5" in old.columns else "length"
-    n = new.select(F.col(key).alias("_k"), F.col(sig).cast("string").alias("new_sig"), F.lit(True).alias("_n"))
-    o = old.select(F.col(key).alias("_k"), F.col(sig).cast("string").alias("old_sig"), F.lit(True).alias("_o"))
+    digests = "md5" in new.columns and "md5" in old.columns
+    sig = "md5" if digests else "signature"
+
+    def signature(df):
+        # without digests: length and modification time
+        return F.col("md5") if digests else F.concat_ws("@", *[F.col(c).cast("string") for c in ("length", "modified") if c in new.columns and c in old.columns])
+
+    n = new.select(F.col(key).alias("_k"), signature(new).alias("new_sig"), F.lit(True).alias("_n"))
+    o = old.select(F.col(key).alias("_k"), signature(old).alias("old_sig"), F.lit(True).alias("_o"))
     joined = n.join(o, on="_k", how="full_outer")
     status = (
         F.when(F.col("_o").isNull(), "ADDED")

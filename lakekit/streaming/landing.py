@@ -20,7 +20,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakekit.session import work_path
 from lakekit.sources.files import all_text_schema
 
 
@@ -37,6 +36,8 @@ def land_raw_csv(
     """Append every not-yet-landed CSV under ``source_dir`` to Parquet.
 
     Rows keep their text columns plus ``_source_file`` and ``_landed_at``.
+    The checkpoint lies in the target (a later call on it goes on where the
+    last one stopped) unless another is given.
     """
     reader = spark.readStream.schema(all_text_schema(columns)).option("header", True)
     if quoted:
@@ -52,7 +53,7 @@ def land_raw_csv(
     query = (
         landed.writeStream.format("parquet")
         .option("path", target_path)
-        .option("checkpointLocation", checkpoint or work_path(spark, "checkpoints/landing"))
+        .option("checkpointLocation", checkpoint or f"{target_path.rstrip('/')}/_landing_checkpoint")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakekit.contracts import SALES_CONTRACT, Contract
-from lakekit.functions.columns import cents_to_double, lenient_double, money_cents
-from lakekit.operators.joins import DEFAULT_BROADCAST_ROWS, join_dim
+from lakekit.functions.columns import amount_parts, lenient_double, merged_amount
+from lakekit.operators.joins import join_dim
 from lakekit.session import work_path
 from lakekit.sinks import write_refined
 from lakekit.sources.files import all_text_schema
@@ -50,14 +50,14 @@ def stream_sales_by_category(
         .option("escape", '"')
         .csv(items_dir)
     )
-    prices = items.select(key, item, money_cents(lenient_double(price)).alias("_cents"))
-    joined = join_dim(prices, products.select(key, category), key, "inner", DEFAULT_BROADCAST_ROWS)
-    running = joined.groupBy(category).agg(F.sum("_cents").alias("_cents"), F.count(item).alias("_items"))
+    prices = items.select(key, item, lenient_double(price).alias("_price"))
+    joined = join_dim(prices, products.select(key, category), key, "inner")
+    running = joined.groupBy(category).agg(*[c.alias(n) for n, c in amount_parts("_price").items()], F.count(item).alias("_items"))
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         table = batch.select(
             F.col(category).alias("product_category_name"),
-            cents_to_double(F.col("_cents")).alias("total_receita"),
+            merged_amount(*[F.col(n) for n in ("exact", "rough", "values", "exacts")]).alias("total_receita"),
             F.col("_items").cast("bigint").alias("qtd_itens"),
         )
         write_refined(table, contract, location)

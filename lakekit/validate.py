@@ -135,4 +135,6 @@ def validate_lake(
         for df, measures in ((sales, measures_sales), (employees, measures_emp)):
             wanted = expected_metrics.filter(F.col("metric").isin(*measures))
             checks.append(X.expect_metrics(df, wanted, measures).select("check", "status", F.col("observed").cast("string").alias("detail")))
+        unknown = expected_metrics.filter(~F.col("metric").isin(*measures_sales, *measures_emp))
+        checks.append(unknown.select(F.concat(F.lit("metric:"), F.col("metric")).alias("check"), F.lit("SKIP").alias("status"), F.lit("no such measure").alias("detail")))
     return X.union_checks(checks)

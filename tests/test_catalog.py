@@ -61,7 +61,7 @@ def test_register_write_repoint_and_drift(spark, tmp_dir):
 
 
 def test_read_current_version_without_catalog(spark, tmp_dir):
-    from lakekit.sources.files import read_current
+    from lakekit.sources.files import read_current, read_refined
 
     loc = tmp_dir + "/sales"
     for i in range(3):
@@ -69,5 +69,29 @@ def test_read_current_version_without_catalog(spark, tmp_dir):
     cur = read_current(spark, SALES_CONTRACT, loc)
     assert cur.columns == SALES_CONTRACT.columns and [r[0] for r in cur.collect()] == ["c2"]
     assert len(SALES_CONTRACT.schema.fields) == 3
-    plan = cur._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(version" in plan
+    assert [r[0] for r in read_refined(spark, SALES_CONTRACT, loc).collect()] == ["c2"]  # never several versions together
+    K.write_refined(spark.createDataFrame([], SALES_CONTRACT.schema), SALES_CONTRACT, loc)
+    assert read_current(spark, SALES_CONTRACT, loc).count() == 0  # an empty refresh counts
+    assert len(K.expire_versions(spark, loc, keep=1)) == 3
+    assert read_current(spark, SALES_CONTRACT, loc).count() == 0
+
+
+def test_numeric_bound_loses_nothing(spark):
+    from pyspark.sql import functions as F
+
+    cases = [
+        ("decimal(10,2)", "decimal(12,0)", "decimal(14,2)"),
+        ("bigint", "decimal(5,2)", "decimal(21,2)"),
+        ("bigint", "float", "double"),
+        ("smallint", "float", "float"),
+        ("int", "bigint", "bigint"),
+        ("tinyint", "smallint", "smallint"),
+        ("decimal(5,2)", "double", "double"),
+        ("decimal(38,0)", "decimal(5,4)", None),
+    ]
+    df = spark.createDataFrame(cases, "a string, b string, want string")
+    for x, y in (("a", "b"), ("b", "a")):
+        assert all(r.got == r.want for r in df.select("want", C.bound_of(F.col(x), F.col(y)).alias("got")).collect())
+    declared = C.schema_frame(spark, [("x", "float"), ("y", "decimal(10,2)"), ("z", "bigint")])
+    observed = C.schema_frame(spark, [("x", "bigint"), ("y", "bigint"), ("z", "int")])
+    assert {r.column: r.action for r in C.schema_drift(declared, observed).collect()} == {"x": "WIDEN", "y": "WIDEN", "z": "SAME"}

@@ -1,7 +1,11 @@
 import hashlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from lakekit.functions import amount, money_sum, money_total
+
 from lakekit.functions import band, flag, legacy_int, pct, pick, safe_ratio, surrogate_id
 from lakekit.plans.jobs import conform_employees
 
@@ -95,14 +99,23 @@ def test_safe_ratio_and_pct(spark):
 
 
 def test_money_is_lenient_and_exact(spark):
-    from lakekit.functions import money_cents, money_sum, money_total
-
     df = spark.createDataFrame([("58.90",), ("abc",), ("0.1",), ("0.2",), (None,)], "p string")
-    assert [r[0] for r in df.select(money_cents("p")).collect()] == [5890, None, 10, 20, None]
+    assert [r[0] for r in df.select(amount("p").cast("double")).collect()] == [58.9, None, 0.1, 0.2, None]
     r = df.agg(money_sum("p").alias("s"), money_total("p").alias("t")).first()
     assert r.s == 59.2 and str(r.t) == "59.20"
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_sum_drops_and_wraps_nothing(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for values, total in (([0.004, 0.004, 1e17, 10.0], 1e17), ([9e16, 9e16], 1.8e17), ([0.0004] * 5, 0.002), ([1e40, 1.0], 1e40), ([9e31] * 3, 2.7e32)):
+            df = spark.createDataFrame([(v,) for v in values], "p double")
+            assert df.agg(F.round(money_sum("p"), 6)).first()[0] == pytest.approx(total, rel=1e-12)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_hash_id_on_typed_sheet(spark):
     typed = spark.createDataFrame([(41, "Sales", 5000, 3, "No")], "Age int, Department string, MonthlyIncome int, YearsAtCompany int, Attrition string")
     parts = ["Age", "Department", "MonthlyIncome", "YearsAtCompany", "Attrition"]

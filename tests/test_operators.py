@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from lakekit.operators import count_by, has_at_most, join_dim, rollup_sum, sum_by, top_k, top_sum, unmatched
+from lakekit.operators import count_by, join_dim, rollup_sum, sum_by, top_k, top_sum, unmatched
 
 ITEMS = "k string, v double, item string"
 
@@ -25,38 +25,11 @@ def test_top_k_and_top_sum(spark):
     assert top_sum(df, "r", 5, tie=["c"]).first()[0] == 4.0 * 4 + 3.0
 
 
-def test_join_dim_broadcasts_only_small_checked_side(spark):
+def test_join_dim_leaves_the_strategy_to_catalyst(spark):
     fact = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("z", 3.0)], "k string, v double")
     dim = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, name string")
-    small = join_dim(fact, dim, "k", max_broadcast_rows=10)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert sorted(r.name for r in small.collect()) == ["A", "B"]
-    assert has_at_most(dim, 2) and not has_at_most(dim, 1)
+    assert sorted(r.name for r in join_dim(fact, dim, "k").collect()) == ["A", "B"]
+    merged = join_dim(fact, dim, "k", merge=True)
+    assert "SortMergeJoin" in merged._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.name for r in merged.collect()) == ["A", "B"]
     assert [r.k for r in unmatched(fact, dim, "k").collect()] == ["z"]
-
-
-def test_salted_join_equals_plain_join_and_spreads_hot_key(spark):
-    from lakekit.operators.joins import hot_keys, salted_join
-
-    n = 20000
-    fact = spark.range(n).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v")
-    )
-    dim = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    assert [r.k for r in hot_keys(fact, "k", 1000).collect()] == [0]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        salted = salted_join(fact, dim, "k", buckets=8, min_hot_rows=1000)
-        plain = fact.join(dim, "k")
-        assert sorted(salted.collect()) == sorted(plain.collect())
-        # the hot key's rows land in several shuffle partitions instead of one
-        per_part = salted.filter(F.col("k") == 0).withColumn("p", F.spark_partition_id()).select("p").distinct().count()
-        assert per_part > 1
-        via_dim = join_dim(fact, dim, "k", max_broadcast_rows=10, salt_buckets=8, min_hot_rows=1000)
-        assert sorted(via_dim.collect()) == sorted(plain.collect())
-        left = salted_join(fact, dim.filter(F.col("k") != 7), "k", "left", buckets=8, min_hot_rows=1000)
-        assert left.count() == n and left.filter(F.col("w").isNull()).count() == fact.filter(F.col("k") == 7).count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -5,7 +5,7 @@ import decimal
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lakekit.functions import legacy_int, money_cents
+from lakekit.functions import amount, legacy_int
 
 INT32 = (-(2**31), 2**31 - 1)
 
@@ -45,7 +45,7 @@ def test_legacy_int_matches_truncating_reference(spark, values):
 def test_cents_are_exact_for_two_decimal_amounts(spark, cents):
     texts = [str(decimal.Decimal(c).scaleb(-2)) for c in cents]
     df = spark.createDataFrame([(t,) for t in texts], "p string")
-    got = [r[0] for r in df.select(money_cents("p")).collect()]
-    assert got == cents
+    got = [r[0] for r in df.select(amount("p")).collect()]
+    assert got == [decimal.Decimal(c).scaleb(-2) for c in cents]
     total = df.agg({"p": "count"}).first()[0]
     assert total == len(cents)
