@@ -13,6 +13,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,17 +67,20 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", g
     groups = groups or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"))
-    cuts = sorted(set(rows.approxQuantile("id", [i / groups for i in range(1, groups)], 0.25 / groups)))
-    cut = F.array(*[F.lit(int(c)) for c in cuts]).cast("array<bigint>")
+    cuts = sorted(set(rows.approxQuantile("id", [i / groups for i in range(1, groups)], 0.25 / groups))) if groups > 1 else []
     # rows without an id come first, in group 0
-    group = F.when(F.col("id").isNull(), 0).otherwise(F.size(F.filter(cut, lambda c: c < F.col("id"))))
-    rows = rows.withColumn("group", group).withColumn("digest", F.xxhash64("text"))
+    rows = rows.withColumn("at", F.coalesce(F.col("id").cast("double"), F.lit(float("-inf")))).withColumn("digest", F.xxhash64("text"))
+    if cuts:
+        ranges = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="at", outputCol="range")
+        rows = ranges.transform(rows).withColumn("group", F.col("range").cast("int"))
+    else:
+        rows = rows.withColumn("group", F.lit(0))
     firsts = rows.groupBy("group").agg(F.min(F.struct(F.col("id").isNotNull().alias("some"), "id", "digest")).alias("first")).orderBy("group").collect()
-    target = F.lit(None).cast("int")
-    for i, r in enumerate(firsts):
-        before = firsts[i - 1]["group"]  # the first group's first row follows the last group
-        is_first = (F.col("group") == r["group"]) & F.col("id").eqNullSafe(F.lit(r["first"]["id"]).cast("bigint")) & (F.col("digest") == r["first"]["digest"])
-        target = F.when(is_first, F.lit(before)).otherwise(target)
+    # the first group's first row follows the last group
+    heads = [(r["group"], r["first"]["id"], r["first"]["digest"], firsts[i - 1]["group"]) for i, r in enumerate(firsts)]
+    heads = spark.createDataFrame(heads, "group int, head_id bigint, head bigint, before int")
+    rows = rows.join(F.broadcast(heads), "group", "left")  # one row a group
+    target = F.when(F.col("id").eqNullSafe(F.col("head_id")) & (F.col("digest") == F.col("head")), F.col("before"))
     copies = F.array(
         F.struct(F.col("group").alias("group"), F.lit(False).alias("spare")),
         F.struct(target.alias("group"), F.lit(True).alias("spare")),
