@@ -12,6 +12,8 @@ tasks' code.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -90,6 +92,54 @@ def align(doc: np.ndarray, template: np.ndarray, low: int, high: int) -> list[tu
     return pairs[::-1]
 
 
+def search(words: np.ndarray, template: np.ndarray, hits: list[tuple[int, int]], begin: int, end: int, band: int, least: float) -> list[list[tuple[int, int]]]:
+    """Alignments in the words ``begin..end`` near hits ``(diagonal, word)``, none overlapping another, in order.
+
+    The best one is taken first; what lies before and after it is searched on.
+    """
+    hits = [h for h in hits if begin <= h[1] < end]
+    if not hits:
+        return []
+    low, high = min(hits)[0] - band, max(hits)[0] + band
+    begin, end = max(begin, low), min(end, high + len(template))
+    pairs = [(begin + d, t) for d, t in align(words[begin:end], template, low - begin, high - begin)]
+    if len(pairs) < least * len(template):
+        return []
+    before = search(words, template, hits, begin, pairs[0][0], band, least)
+    return [*before, pairs, *search(words, template, hits, pairs[-1][0] + 1, end, band, least)]
+
+
+def notices(words: np.ndarray, template: np.ndarray, hits: list[tuple[int, int]], least: float):
+    """The alignments of one template with a document, from all its hits ``(diagonal, word)``.
+
+    Hits on nearby diagonals are met together.  A chain of them that is much
+    longer than the template is met in windows that overlap by half, so the
+    work follows the number of hits.
+    """
+    hits, n, band = sorted(hits), len(template), max(4, len(template) // 8)
+    diagonal = [g for g, _ in hits]
+    i = done = 0
+    while i < len(hits):
+        until = bisect_left(diagonal, diagonal[i] + 2 * n + 1)
+        cut = next((j for j in range(i + 1, until) if diagonal[j] - diagonal[j - 1] > band), until)
+        chained = cut == until < len(hits) and diagonal[until] - diagonal[until - 1] <= band
+        for pairs in search(words, template, hits[i:cut], done, len(words), band, least):
+            # one that starts in a window's second half lies whole in the next
+            if not chained or pairs[0][0] - pairs[0][1] < diagonal[i] + n:
+                yield pairs
+                done = max(done, pairs[-1][0] + 1)
+        i = max(i + 1, bisect_left(diagonal, diagonal[i] + n)) if chained else cut
+
+
+def code_points(text: bytes, offsets) -> dict[int, int]:
+    """Number of code points before each byte offset."""
+    buf, out, at, n = np.frombuffer(text, np.uint8), {}, 0, 0
+    for o in sorted(set(offsets)):
+        n, at = n + int(np.count_nonzero((buf[at:o] & 0xC0) != 0x80)), o
+        out[o] = n
+    return out
+
+
 class Index:
     """The inverted index of the templates' winnowed runs."""
 
@@ -120,28 +170,16 @@ class Index:
         for p, a, b in zip(kept.tolist(), lo.tolist(), hi.tolist()):
             for r in range(a, b):
                 hits.setdefault(int(self.owner[r]), []).append((p - int(self.place[r]), p))
-        for owner, diagonals in hits.items():
+        for owner, places in hits.items():
             template = self.words[owner]
-            band = max(4, len(template) // 8)
-            diagonals.sort()
-            groups = [[diagonals[0][0], diagonals[0][0]]]
-            for g, _ in diagonals[1:]:
-                if g - groups[-1][1] > band:
-                    groups.append([g, g])
-                groups[-1][1] = g
-            for first, last in groups:
-                begin = max(0, first - band)
-                piece = words[begin : last + len(template) + band]
-                pairs = align(piece, template, first - band - begin, last + band - begin)
-                coverage = len(pairs) / len(template)
-                if coverage >= min_coverage:
-                    spans: list[list[int]] = []
-                    for n, (d, t) in enumerate(pairs):
-                        if n and d == pairs[n - 1][0] + 1 and t == pairs[n - 1][1] + 1:
-                            spans[-1][1] = int(ends[begin + d])
-                        else:
-                            spans.append([int(starts[begin + d]), int(ends[begin + d])])
-                    out.append((self.names[owner], coverage, len(pairs), spans))
+            for pairs in notices(words, template, places, min_coverage):
+                spans: list[list[int]] = []
+                for n, (d, t) in enumerate(pairs):
+                    if n and d == pairs[n - 1][0] + 1 and t == pairs[n - 1][1] + 1:
+                        spans[-1][1] = int(ends[d])
+                    else:
+                        spans.append([int(starts[d]), int(ends[d])])
+                out.append((self.names[owner], len(pairs) / len(template), len(pairs), spans))
         return sorted(out, key=lambda x: (x[3][0][0], x[0]))
 
 
@@ -174,8 +212,10 @@ def scan_licenses(
         for batch in small(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1))):
-                for name, coverage, matched, spans in index.scan(text, min_coverage):
-                    spans = [[len(text[:a].decode()), len(text[:b].decode())] for a, b in spans]
+                found = index.scan(text, min_coverage)
+                place = code_points(text, (x for *_, spans in found for span in spans for x in span))
+                for name, coverage, matched, spans in found:
+                    spans = [[place[a], place[b]] for a, b in spans]
                     rows.append((doc, name, coverage, matched, spans[0][0], spans[-1][1], spans))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 7, types)], names)
 
