@@ -205,8 +205,11 @@ def shingle_sets(texts: list[bytes], n: int, limit: int = 1 << 20):
 # --- connected components -----------------------------------------------------
 
 
-def _forest(batches):
-    """Spanning forest of the edges of one partition: union-find with the smallest id as root."""
+def _forest(batches, most: int = 1_000_000):
+    """Spanning forests of the edges of one partition: union-find with the smallest id as root.
+
+    A forest goes out once it has ``most`` nodes, so memory doesn't follow the partition.
+    """
     parent: dict[int, int] = {}
 
     def root(x):
@@ -217,15 +220,21 @@ def _forest(batches):
             parent[x], x = top, parent[x]
         return top
 
+    def forest():
+        nodes = list(parent)
+        for lo in range(0, len(nodes), 100_000):
+            part = nodes[lo : lo + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
+
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    nodes = list(parent)
-    for lo in range(0, len(nodes), 100_000):
-        part = nodes[lo : lo + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
+        if len(parent) >= most:
+            yield from forest()
+            parent.clear()
+    yield from forest()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -234,8 +243,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Edges are first thinned to a spanning forest in each partition, then
     alternating large-star and small-star steps (joins on the smallest
     neighbour) run until nothing changes.  Each step is written to the shared
-    working folder.  Nodes without a link are not returned; nulls and loops
-    are ignored.
+    working folder.  Nodes without a link and each component's smallest id are not
+    returned; nulls and loops are ignored.
     """
     e = edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where("a <> b")
     e = materialize(e.mapInArrow(_forest, "a bigint, b bigint").where("a <> b"), "components")

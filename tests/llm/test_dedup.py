@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import order, roots, shingles, substrings
 from oracle_check import compare
 
-from lakekit.llm import embedding_dedup, line_dedup, ngram_join, queries, suffix_dedup
+from lakekit.llm import common, embedding_dedup, line_dedup, ngram_join, queries, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,6 +25,18 @@ def test_every_operator_has_one_query():
     assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11))
 
 
+def test_components_of_forests_that_go_out_in_parts(spark):
+    rng = random.Random(5)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)]
+    edges = pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
+    parts = [b for b in common._forest((edges.slice(i, 10) for i in range(0, 250, 10)), most=7)]
+    forest = [(a, b) for p in parts for a, b in zip(*(c.to_pylist() for c in p.columns))]
+    assert len(parts) > 5 and roots(range(400), forest) == roots(range(400), links)
+    top = roots(range(400), links)
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {x: c for x, c in top.items() if x != c}
+
+
 # --- lines
 
 

@@ -86,6 +86,10 @@ def test_fingerprints(spark, sample, awkward, empty):
             off.append(abs(r.near_edited - len(a & b) / min(len(a), len(b))))
     assert np.mean(off) < 0.08
     assert len({r.fingerprint for r in got.values()}) >= len({tuple(sorted(shingles(t, 5))) for _, t in rows}) - 2
+    for groups in (1, 2, 50):
+        spare = fingerprints.with_next(docs, groups=groups).where("spare").count()
+        held = fingerprints.with_next(docs, groups=groups).where("not spare").agg(F.count("*"), F.countDistinct("group")).first()
+        assert held[0] == len(rows) and spare == held[1] <= groups
     odd = fingerprints.fingerprint_documents(awkward).collect()
     assert len(odd) == awkward.count()
     assert {r.fingerprint for r in odd if r.doc_id in (3, 4, 5)} == {""}
@@ -121,6 +125,17 @@ def test_license_scan(spark, awkward, empty):
     assert license_scan.scan_licenses(docs, {}).count() == 0
 
 
+def test_every_copy_of_a_notice_is_found():
+    template = "to any person the copies of this and the copies of that and the copies of all to any person without end"
+    index = license_scan.Index({"notice": template})
+    for gap in ("", "and the copies of ", "other words é in between "):
+        text = (gap + template + " ") * 40
+        got = index.scan(text.encode(), 0.75)
+        assert [(n, c) for n, c, _, _ in got] == [("notice", 1.0)] * 40
+        place = license_scan.code_points(text.encode(), (x for *_, spans in got for span in spans for x in span))
+        assert {text[place[s[0][0]] : place[s[-1][1]]] for *_, s in got} == {template}
+
+
 def test_license_lines_match_plain_search(spark):
     docs = queries.documents(spark, "/root/testdata/sf0.01")
     got = {(r.doc_id, r.license) for r in queries.op3_license_scan(spark, "/root/testdata/sf0.01").collect()}
