@@ -79,6 +79,15 @@ def test_suffix_array_and_common_prefixes():
             assert lcp[b] == same
 
 
+@pytest.mark.parametrize("kind", ["<u2", "<u4", "<u8"])
+def test_planes_give_back_the_numbers(kind):
+    x = np.random.default_rng(4).integers(0, np.iinfo(kind).max, 1000, dtype=kind, endpoint=True)
+    for part in (x, x[:1], x[:0]):
+        assert (suffix_dedup._from_planes(suffix_dedup._planes(part), kind) == part).all()
+    keys = np.sort(x.astype("<u8"))
+    assert (np.cumsum(suffix_dedup._from_planes(suffix_dedup._planes(np.diff(keys, prepend=np.uint64(0))), "<u8")) == keys).all()
+
+
 @pytest.mark.parametrize("block_bytes", [4 << 20, 20_000])
 def test_substrings_match_brute_force(spark, sample, block_bytes):
     docs = spark.createDataFrame(sample, "doc_id bigint, text string").repartition(3)
