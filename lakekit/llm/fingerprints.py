@@ -1,10 +1,14 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fixed share of the hash range, so
-its size follows the document, sketches merge by union, and the share of one
-sketch found in another estimates containment also between documents of very
-unequal length.  The least hash is always kept, so only empty texts have an
-empty sketch.
+A sketch keeps every shingle hash below a fixed share of the hash range, and
+at least the ``FLOOR`` least ones (all, where there are fewer).  So its size
+follows the document, sketches merge by union, and the share of one sketch
+found in another estimates containment also between documents of very unequal
+length; sets of up to ``FLOOR`` shingles are compared whole.
+
+A sketch is an ascending array: the hashes, then its limit.  It holds every
+hash of its document up to the limit, which is the greatest number where it
+holds the whole set.  Only empty texts have an empty sketch, without a limit.
 """
 
 from __future__ import annotations
@@ -19,31 +23,60 @@ from pyspark.sql import functions as F
 
 from lakekit.llm.common import bounded_batches, shingle_sets, small
 
-#: One shingle hash in so many is kept.
-SCALE = 8
+#: One shingle hash in so many is kept, and so many at least.
+SCALE, FLOOR = 2, 256
+#: The limit of sketches that hold the whole set.
+WHOLE = np.uint64((1 << 64) - 1)
+
+
+def _cut(hashes: np.ndarray, whole: bool, scale: int) -> np.ndarray:
+    if not len(hashes):
+        return hashes
+    limit = np.uint64((1 << 64) // scale - 1)
+    keep = int(np.searchsorted(hashes, limit, "right"))
+    if keep < FLOOR:
+        keep = min(FLOOR, len(hashes))
+        limit = hashes[keep - 1]
+    if whole and keep == len(hashes):
+        limit = WHOLE
+    return np.append(hashes[:keep], limit)
 
 
 def scaled(hashes: np.ndarray, scale: int = SCALE) -> np.ndarray:
     """The sketch of a sorted set of shingle hashes."""
-    keep = int(np.searchsorted(hashes, np.uint64((1 << 64) // scale)))
-    return hashes[: max(1, keep)]
+    return _cut(hashes, True, scale)
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """The hashes of two sketches up to the smaller of both limits, and that limit."""
+    limit = min(a[-1], b[-1])
+    return *(x[:-1][: np.searchsorted(x[:-1], limit, "right")] for x in (a, b)), limit
 
 
 def merge(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
     """The sketch of both documents' shingles together."""
-    return scaled(np.union1d(a, b), scale)
+    if not len(a) or not len(b):
+        return a if len(a) else b
+    a, b, limit = _common(a, b)
+    return _cut(np.union1d(a, b), limit == WHOLE, scale)
 
 
-def containment(a: np.ndarray, b: np.ndarray) -> float:
+def containment(a: np.ndarray, b: np.ndarray) -> float | None:
     """Estimated share of the smaller set's shingles that the other one has (0 to 1).
 
-    Judged on the smaller sketch.  Two empty sketches are alike (1), an empty
-    and another one are not (0).
+    Judged on the hashes up to the smaller of both limits; exact where both
+    sketches hold their whole sets.  Two empty sketches are alike (1), an empty
+    and another one are not (0).  None where the smaller set has no hash up to
+    that limit; its n shingles leave none against a long document with a
+    probability of about (1 - 1 / SCALE) ** n.
     """
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    a, b, _ = _common(a, b)
     if len(a) > len(b):
         a, b = b, a
     if not len(a):
-        return float(not len(b))
+        return None
     at = np.minimum(np.searchsorted(b, a), len(b) - 1)
     return float((b[at] == a).mean())
 
@@ -97,7 +130,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Shingles are runs of ``words`` words (A-Z lower-cased).  The edited text
     has its last quarter of code points replaced by as many first ones (or
     all) of the next document in ascending id order; after the last comes the
-    first.  ``near_*`` are containment estimates.
+    first.  ``near_*`` are containment estimates, null where the sketches leave
+    nothing to compare (see ``containment``).
 
     Null texts are empty: their sketch is the empty string, alike only to
     another empty one.  Rows without an id come first; rows of one id are in
@@ -115,7 +149,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
             n = len(text) // 4
             edits.append(text[: len(text) - n] + following[:n])
         data = [t.encode() for t in texts + edits]
-        sketches = [scaled(s, scale) if len(s) else s for s in shingle_sets(data, words)]
+        sketches = [scaled(s, scale) for s in shingle_sets(data, words)]
         out = []
         for i, (doc, text, following) in enumerate(pairs):
             own, edited = sketches[i], sketches[len(texts) + i]

@@ -106,6 +106,38 @@ def test_sketches_merge():
     assert fingerprints.containment(fingerprints.scaled(a), whole) == 1.0
 
 
+def test_sketches_of_short_sets():
+    rng = np.random.default_rng(1)
+    numbers = lambda n: np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+    long, none = numbers(20_000), []
+    for n in range(1, 201):
+        short, other = numbers(n), numbers(n)
+        half = np.union1d(short[: n // 2], other[n // 2 :])
+        a, b = fingerprints.scaled(short), fingerprints.scaled(half)
+        assert fingerprints.containment(a, b) == np.isin(short, half).mean() == n // 2 / n
+        assert (fingerprints.merge(a, b) == fingerprints.scaled(np.union1d(short, half))).all()
+        within = fingerprints.scaled(np.union1d(short, long))
+        assert (fingerprints.merge(a, fingerprints.scaled(long)) == within).all()
+        found = [fingerprints.containment(fingerprints.scaled(numbers(n)), fingerprints.scaled(long)), fingerprints.containment(a, within)]
+        assert found[0] in (0.0, None) and found[1] in (1.0, None)
+        none += [n] * (found[1] is None)
+    assert len(none) <= 5 and max(none, default=0) < 12
+    empty = np.empty(0, np.uint64)
+    assert fingerprints.containment(empty, empty) == 1 and fingerprints.containment(empty, within) == fingerprints.containment(a, empty) == 0
+
+
+def test_fingerprints_of_short_documents(spark, sample):
+    long = max((t for _, t in sample), key=len)
+    lines = [" ".join(f"w{n}x{i}" for i in range(n + 4)) for n in range(1, 201)]
+    rows = [r for i, line in enumerate(lines) for r in ((2 * i, line), (2 * i + 1, line + " " + long))]
+    got = {r.doc_id: r for r in fingerprints.fingerprint_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, line in enumerate(lines):
+        n = len(line) // 4
+        a, b = shingles(line, 5), shingles(line[: len(line) - n] + rows[2 * i + 1][1][:n], 5)
+        assert got[2 * i].near_edited == len(a & b) / min(len(a), len(b))
+        assert got[2 * i].near_next == 1 or got[2 * i].near_next is None and i < 12
+
+
 # --- licenses
 
 
