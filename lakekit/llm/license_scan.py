@@ -4,7 +4,8 @@ Templates are cut into words; the hashes of their word runs are winnowed (the
 least hash of each window of runs is kept) into an inverted index.  A
 document's runs are winnowed alike, looked up, and hits on nearby diagonals of
 (document word, template word) form a candidate.  Each candidate is aligned
-with its template in a band around its diagonals.
+with its template in a band around its diagonals.  Short templates are looked
+up by all their runs.  Of alignments with the same words the best one counts.
 
 The index is as large as the templates, not the documents, and goes with the
 tasks' code.
@@ -20,38 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.llm.common import bounded_batches, bytes_of, grams_of, small, words_of
+from lakekit.llm.license_templates import REQUIRED, TEMPLATES
 
-#: Public license notices (fixed values).
-TEMPLATES = {
-    "MIT-line": "Released under the MIT License.",
-    "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
-    "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
-    "MIT": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
-        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
-        "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
-        "notice and this permission notice shall be included in all copies or substantial portions of the Software."
-    ),
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
-        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
-        "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
-        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."
-    ),
-    "GPL-3.0-or-later": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
-    ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
-        "conditions and the following disclaimer."
-    ),
-}
 #: Words in a run, and runs in a window: any common stretch of 5 words gives a hit.
 RUN, WINDOW = 3, 3
+#: Templates of at most so many words have all their runs in the index, so any common run gives a hit.
+SHORT = 32
 
 
 def winnowed(words: np.ndarray, run: int = RUN, window: int = WINDOW) -> np.ndarray:
@@ -140,46 +115,94 @@ def code_points(text: bytes, offsets) -> dict[int, int]:
     return out
 
 
+class Runs:
+    """Hashes of word runs, with the template and the place of each."""
+
+    def __init__(self, rows: list[tuple[int, int, int]]):
+        rows = sorted(rows)
+        self.hashes = np.array([r[0] for r in rows], np.uint64)
+        self.owner = [r[1] for r in rows]
+        self.place = [r[2] for r in rows]
+
+    def hits(self, hashes: np.ndarray, places: np.ndarray):
+        """``(template, diagonal, word)`` of the document's runs found here."""
+        if not len(self.hashes) or not len(hashes):
+            return
+        lo = np.searchsorted(self.hashes, hashes)
+        found = np.flatnonzero(self.hashes[np.minimum(lo, len(self.hashes) - 1)] == hashes)
+        hi = np.searchsorted(self.hashes, hashes[found], "right")
+        for p, a, b in zip(places[found].tolist(), lo[found].tolist(), hi.tolist()):
+            for r in range(a, b):
+                yield self.owner[r], p - self.place[r], p
+
+
+def _phrase(words: np.ndarray, phrase: str) -> range:
+    """The places of a phrase in a template."""
+    want = words_of(phrase.encode(), alnum=True)[0]
+    n = len(want)
+    for i in range(len(words) - n + 1):
+        if n and (words[i : i + n] == want).all():
+            return range(i, i + n)
+    raise ValueError(f"not in the template: {phrase!r}")
+
+
 class Index:
-    """The inverted index of the templates' winnowed runs."""
+    """The inverted index of the templates' winnowed runs, and of all runs of the short ones."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], required: dict[str, tuple[str, ...]] | None = None):
         self.names = sorted(templates)
         self.words = [words_of(templates[n].encode(), alnum=True)[0] for n in self.names]
-        rows = []
+        self.required = [[_phrase(w, p) for p in (required or {}).get(n, ())] for n, w in zip(self.names, self.words)]
+        self.needs = [{int(w[t]) for places in phrases for t in places} for w, phrases in zip(self.words, self.required)]
+        kept, every = [], []
         for i, w in enumerate(self.words):
             hashes = grams_of(w, RUN)
-            rows += [(int(hashes[p]), i, int(p)) for p in winnowed(w)]
-        rows.sort()
-        self.hashes = np.array([r[0] for r in rows], np.uint64)
-        self.owner = np.array([r[1] for r in rows], np.int64)
-        self.place = np.array([r[2] for r in rows], np.int64)
+            if len(w) > SHORT:
+                kept += [(int(hashes[p]), i, int(p)) for p in winnowed(w)]
+            else:
+                every += [(int(h), i, p) for p, h in enumerate(hashes)]
+        self.kept, self.every = Runs(kept), Runs(every)
+
+    def named(self, owner: int, pairs: list[tuple[int, int]]) -> bool:
+        """Whether the template's required phrases are matched without a gap."""
+        at = {t: d for d, t in pairs}
+        return all(at.get(t, -1) - at.get(places[0], -1) == t - places[0] and t in at for places in self.required[owner] for t in places)
 
     def scan(self, text: bytes, min_coverage: float):
         """``(name, coverage, matched words, [(start, end) bytes])`` of each notice found."""
         words, starts, ends = words_of(text, alnum=True)
+        hashes = grams_of(words, RUN)
         kept = winnowed(words)
-        if not len(kept) or not len(self.hashes):
-            return []
-        hashes = grams_of(words, RUN)[kept]
-        lo, hi = np.searchsorted(self.hashes, hashes), np.searchsorted(self.hashes, hashes, "right")
-        if not (hi > lo).any():
-            return []
-        out = []
         hits: dict[int, list[tuple[int, int]]] = {}
-        for p, a, b in zip(kept.tolist(), lo.tolist(), hi.tolist()):
-            for r in range(a, b):
-                hits.setdefault(int(self.owner[r]), []).append((p - int(self.place[r]), p))
+        for runs, places in ((self.kept, kept), (self.every, np.arange(len(hashes)))):
+            for owner, diagonal, p in runs.hits(hashes[places], places):
+                hits.setdefault(owner, []).append((diagonal, p))
+        if not hits:
+            return []
+        there = set(words.tolist())
+        found = []
         for owner, places in hits.items():
             template = self.words[owner]
+            if not self.needs[owner] <= there:
+                continue
             for pairs in notices(words, template, places, min_coverage):
-                spans: list[list[int]] = []
-                for n, (d, t) in enumerate(pairs):
-                    if n and d == pairs[n - 1][0] + 1 and t == pairs[n - 1][1] + 1:
-                        spans[-1][1] = int(ends[d])
-                    else:
-                        spans.append([int(starts[d]), int(ends[d])])
-                out.append((self.names[owner], len(pairs) / len(template), len(pairs), spans))
+                if self.named(owner, pairs):
+                    # matches, less the words left out on either side
+                    score = 4 * len(pairs) - len(template) - (pairs[-1][0] - pairs[0][0] + 1)
+                    found.append((-score, -len(pairs) / len(template), self.names[owner], owner, pairs))
+        out, taken = [], set()
+        for *_, owner, pairs in sorted(found):
+            # one with most of its words in a better one is a relative of that
+            if 2 * sum(d in taken for d, _ in pairs) > len(pairs):
+                continue
+            taken.update(d for d, _ in pairs)
+            spans: list[list[int]] = []
+            for n, (d, t) in enumerate(pairs):
+                if n and d == pairs[n - 1][0] + 1 and t == pairs[n - 1][1] + 1:
+                    spans[-1][1] = int(ends[d])
+                else:
+                    spans.append([int(starts[d]), int(ends[d])])
+            out.append((self.names[owner], len(pairs) / len(self.words[owner]), len(pairs), spans))
         return sorted(out, key=lambda x: (x[3][0][0], x[0]))
 
 
@@ -189,6 +212,7 @@ def scan_licenses(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_coverage: float = 0.75,
+    required: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
     """One row per notice found: ``id_col, license, coverage, matched_words, start, end, spans``.
 
@@ -197,13 +221,18 @@ def scan_licenses(
     stretches without a gap on either side.  Words are ASCII letters (A-Z
     lower-cased), digits and non-ASCII characters; all else separates.
 
+    ``required`` lists phrases of a template that must be matched without a
+    gap, as a version; the given templates come with theirs.  Where templates
+    match the same words, the one with the most matches, less the words left
+    out on either side, gives the row.
+
     Null and empty texts have no notices.  A notice that occurs several times
-    gives several rows; one text may match several templates.  Null ids and
+    gives several rows; one text may hold several notices.  Null ids and
     repeated rows are kept, extra columns are not read; without templates
     there are no rows.  Templates of fewer than ``RUN`` words match as a whole.
     """
     bounded_batches(docs)
-    index = Index(TEMPLATES if templates is None else templates)
+    index = Index(TEMPLATES, REQUIRED if required is None else required) if templates is None else Index(templates, required)
     schema = f"`{id_col}` bigint, license string, coverage double, matched_words bigint, start bigint, end bigint, spans array<array<bigint>>"
     types = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64()))]
     names = [id_col, "license", "coverage", "matched_words", "start", "end", "spans"]

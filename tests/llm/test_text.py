@@ -177,6 +177,35 @@ def test_license_lines_match_plain_search(spark):
             assert {d for d, n in got if n == name} == want
 
 
+def test_every_license_line_has_a_row(spark):
+    docs = queries.documents(spark, "/root/testdata/sf0.01")
+    rows = queries.op3_license_scan(spark, "/root/testdata/sf0.01").collect()
+    named = docs.where(F.col("text").rlike(r"(?i)\b(rights\s+reserved|licen[cs]ed?|copyright)\b"))
+    assert {r.doc_id for r in named.collect()} == {r.doc_id for r in rows}
+    got = Counter((r.doc_id, r.license) for r in rows)
+    for r in docs.where(F.col("text").contains("All rights reserved.")).collect():
+        assert got[r.doc_id, "All-rights-reserved-line"] == r.text.count("All rights reserved.")
+
+
+def test_licenses_are_told_from_their_relatives():
+    index = license_scan.Index(license_scan.TEMPLATES, license_scan.REQUIRED)
+    for name, text in license_scan.TEMPLATES.items():
+        assert [(n, c) for n, c, *_ in index.scan(f"Some words before. {text} Others after.".encode(), 0.75)] == [(name, 1.0)]
+    for text, want in {
+        "This work is licensed under the GNU Lesser General Public License, version 3.": ["LGPL-3.0-line"],
+        "licensed under the GNU Lesser General Public License, version 2.1": ["LGPL-2.1-line"],
+        "Licensed under the Apache License, Version 1.1.": ["Apache-1.1-line"],
+        "Released under the Apache License, Version 2.0.": ["Apache-2.0-line"],
+        "Distributed under the MIT license": ["MIT-line"],
+        "Released under the Imagined License.": [],
+        "Licensed under the Imagined License, Version 2.0.": [],
+        "Licensed under CC BY-NC 5.0.": [],
+        "Licensed under CC BY 4.0. All rights reserved. Licensed under CC BY-SA 4.0.": ["CC-BY-4.0-line", "All-rights-reserved-line", "CC-BY-SA-4.0-line"],
+        "This work is licensed under the GNU Imagined General Public License, version 3.": [],
+    }.items():
+        assert [n for n, *_ in index.scan(text.encode(), 0.75)] == want
+
+
 # --- pieces
 
 
