@@ -5,11 +5,13 @@ Vectors are scaled to length one, where a cosine of ``c`` is a distance of
 deviation.  A pair collides on a projection when the second vector lies in the
 window centred at the first.  Windows are two deviations wide to each side,
 and a pair is verified when it collides on as many projections as a pair just
-at the threshold does with the wanted recall.
+at the threshold does with the wanted recall; what is lost because its blocks
+don't meet counts towards that.
 
 Equal vectors form a class with a multiplicity.  Classes are sorted by the
 first projection and cut into blocks; a block meets the blocks its (wider)
-window reaches.  Pairs are counted and verified inside a task, which returns
+window reaches.  Only that projection is sorted: collisions on the others are
+counted by comparing all vectors of the blocks that meet.  Pairs are counted and verified inside a task, which returns
 the number of links of each vector and a spanning forest of its links, never
 the pairs themselves.
 """
@@ -17,6 +19,7 @@ the pairs themselves.
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +34,26 @@ def near_distance(cosine: float) -> float:
     return math.sqrt(max(0.0, 2 - 2 * cosine))
 
 
-def calibrated_count(projections: int, deviations: float, recall: float) -> int:
-    """The largest count that pairs just at the threshold reach with probability ``recall``."""
-    p = math.erf(deviations / math.sqrt(2))
-    reached = 0.0
-    for c in range(projections, -1, -1):
-        reached += math.comb(projections, c) * p**c * (1 - p) ** (projections - c)
-        if reached >= recall:
+def calibrated_count(projections: int, deviations: float, recall: float, reach: float = math.inf) -> int:
+    """The largest count that pairs just at the threshold reach with probability ``recall``.
+
+    Pairs more than ``reach`` deviations apart on the first projection are lost, whatever their count.
+    """
+    p, met = math.erf(deviations / math.sqrt(2)), math.erf(reach / math.sqrt(2))
+    others = projections - 1
+    # the other projections' count, for pairs that collide on the first one, and for pairs that only meet there
+    tail = [math.fsum(math.comb(others, i) * p**i * (1 - p) ** (others - i) for i in range(max(0, c), others + 1)) for c in range(projections + 1)]
+    for c in range(projections, 0, -1):
+        if p * tail[c - 1] + (met - p) * tail[c] >= recall:
             return c
     return 0
 
 
+def met_within(deviations: float, recall: float) -> float:
+    """Deviations within which pairs meet on the first projection; of the loss ``recall`` allows, at most half is lost here."""
+    return max(min(4.0, deviations + 1.5), deviations, NormalDist().inv_cdf(1 - (1 - recall) / 4)) if recall < 1 else math.inf
+
+
 def directions(dim: int, count: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, count))
 
@@ -118,7 +130,8 @@ def near_vectors(
     classes = good.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     sigma = near_distance(cosine)
     # a random direction, and so a projection, for each vector length
-    first = min(4.0, deviations + 1.5) * sigma
+    reach = met_within(deviations, recall)
+    first = reach * sigma
 
     def project(batches):
         for batch in batches:
@@ -167,7 +180,7 @@ def near_vectors(
     meets = made.join(pairs, F.col("block") == F.col("source")).select("target", "block", "dim", "reps", "ns", "vectors")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     meets = meets.repartition(parts, "target").sortWithinPartitions("target", "block")
-    need, window = calibrated_count(projections, deviations, recall), deviations * sigma
+    need, window = calibrated_count(projections, deviations, recall, reach), deviations * sigma
 
     def unpack(row):
         dim, reps = row["dim"], np.array(row["reps"], np.int64)

@@ -201,3 +201,18 @@ def test_calibrated_count_keeps_the_recall():
     p = math.erf(2 / math.sqrt(2))
     assert sum(math.comb(24, c) * p**c * (1 - p) ** (24 - c) for c in range(need, 25)) >= 0.999
     assert sum(math.comb(24, c) * p**c * (1 - p) ** (24 - c) for c in range(need + 1, 25)) < 0.999
+
+
+def test_count_allows_for_pairs_that_do_not_meet():
+    rng = np.random.default_rng(11)
+    for projections, deviations, recall in ((24, 2.0, 0.999), (24, 2.0, 0.9999), (8, 2.0, 0.99), (24, 1.0, 0.995), (4, 3.0, 0.99)):
+        reach = embedding_dedup.met_within(deviations, recall)
+        need = embedding_dedup.calibrated_count(projections, deviations, recall, reach)
+        z = np.abs(rng.standard_normal((400_000, projections)))
+        met = z[:, 0] <= reach
+        found, more = (np.mean(met & ((z <= deviations).sum(axis=1) >= n)) for n in (need, need + 1))
+        off = 4 * (recall * (1 - recall) / len(z)) ** 0.5
+        assert need > 0 and found >= recall - off and more < recall + off
+        assert embedding_dedup.calibrated_count(projections, deviations, recall) >= need
+    # a gate that alone takes about all the loss allowed leaves the count less
+    assert embedding_dedup.calibrated_count(24, 2.0, 0.999, 3.3) < embedding_dedup.calibrated_count(24, 2.0, 0.999)
