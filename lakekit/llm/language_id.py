@@ -110,11 +110,25 @@ def address_parts(url: Column) -> dict[str, Column]:
 
 
 def page_text(html: Column) -> Column:
-    """The article of a page if it has one, else the page, without scripts, styles, comments and tags."""
-    article = F.regexp_extract(html, r"(?is)<article[^>]*>(.*?)</article>", 1)
-    body = F.when(article != "", article).otherwise(html)
-    body = F.regexp_replace(body, r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->", " ")
-    return F.regexp_replace(body, r"(?s)<[^>]*>", " ")
+    """The articles of a page if it has any, else the page, without scripts, styles, comments and tags.
+
+    Several articles are joined, nested ones are part of the outer one; one
+    that is not closed goes to the end.
+    """
+    body = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</\1>|<!--.*?-->", " ")
+    mark = r"(?i)</?article(?=[\s/>])[^>]*>"
+    texts = F.split(body, mark)
+    steps = F.transform(F.regexp_extract_all(body, F.lit(f"({mark})"), F.lit(1)), lambda t: F.when(t.startswith("</"), -1).otherwise(1))
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("inside"))
+
+    # the text after each mark is inside where more articles are open than closed
+    def follow(s, x):
+        depth = F.greatest(s["depth"] + x["step"], F.lit(0))
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(s["inside"], F.array(x["text"]))).otherwise(s["inside"]).alias("inside"))
+
+    pieces = F.zip_with(steps, F.slice(texts, 2, F.size(texts)), lambda step, text: F.struct(step.alias("step"), text.alias("text")))
+    article = F.aggregate(pieces, start, follow, lambda s: F.array_join(s["inside"], " "))
+    return F.regexp_replace(F.when(F.trim(article) != "", article).otherwise(body), r"(?s)<[^>]*>", " ")
 
 
 def identify(

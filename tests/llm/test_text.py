@@ -336,6 +336,26 @@ def test_page_evidence(spark):
     assert tuple(none) == (None, None, None, None)
 
 
+def test_text_of_all_articles(spark):
+    pages = {
+        "no <article class='teaser'>das ist kurz</article> no <ARTICLE>this one is longer</article > no": "das ist kurz this one is longer",
+        "no <article>outer <article>inner</article> <b>rest</b> of it</article> no <articles>no</articles>": "outer inner rest of it",
+        "no <!-- <article>no</article> --><article>yes</article> no </article> no <article>open": "yes open",
+        "<p>a page</p> <article></article>without": "a page without",
+        "plain": "plain",
+        "": "",
+    }
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(pages)], "page_id bigint, html string").withColumn("text", language_id.page_text(F.col("html")))
+    got = {r.html: " ".join(r.text.split()) for r in rows.collect()}
+    assert got == pages
+    docs = queries.documents(spark, "/root/testdata/sf0.01")
+    model = language_id.fit_text_model(docs)
+    en, de = (docs.where((F.col("lang") == x) & (F.length("text") > 600)).orderBy("doc_id").first() for x in model.languages[:2])
+    both = f"<html><article>{en.text[:100]}</article><article>{de.text[:600]}</article></html>"
+    page = spark.createDataFrame([(1, both)], "page_id bigint, html string").withColumn("text", language_id.page_text(F.col("html")))
+    assert language_id.identify(page, model, "page_id").first().lang == de.lang
+
+
 # --- the pipeline
 
 
