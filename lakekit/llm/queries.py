@@ -16,6 +16,9 @@ from lakekit.llm import (
     ngram_join,
     packing,
     piece_lattice,
+    prefix_trie,
+    source_mix,
+    structure_repair,
     suffix_dedup,
     url_filter,
 )
@@ -94,6 +97,53 @@ def op10_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.ngram_groups(documents(spark, d), words=4, num=85, den=100)
 
 
+def rebuilt_conversations(turns: DataFrame) -> DataFrame:
+    """Conversations that share openings: the first h turns of conversation c - c % 5, then c's own after its first h.
+
+    h is crc32(c) % 9.  ``(conv, seq, sizes)`` as ``prefix_trie.turn_sequences`` gives them.
+    """
+    own = prefix_trie.turn_sequences(turns)
+    h = (F.crc32(F.col("conv").cast("string").cast("binary")) % 9).cast("int")
+    own = own.withColumn("h", h).withColumn("from", F.col("conv") - F.col("conv") % 5)
+    opening = own.select(F.col("conv").alias("from"), F.col("seq").alias("seq0"), F.col("sizes").alias("sizes0"))
+
+    def joined(first, rest):
+        head = F.slice(F.coalesce(F.col(first), F.array().cast("array<bigint>")), F.lit(1), F.col("h"))
+        return F.concat(head, F.slice(F.col(rest), F.col("h") + 1, F.size(rest))).alias(rest)
+
+    return own.join(opening, "from", "left").select("conv", joined("seq0", "seq"), joined("sizes0", "sizes"))
+
+
+def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.prefix_trie(rebuilt_conversations(spark.read.parquet(f"{d}/conversations.parquet")))
+
+
+def op12_source_mix(spark: SparkSession, d: str) -> DataFrame:
+    return source_mix.taken_words(documents(spark, d))
+
+
+def damaged_conversations(turns: DataFrame) -> DataFrame:
+    """The turns with faults by crc32 of ``conv_id:turn``; ``gone`` marks those that are dropped."""
+    blank = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    code = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce("text", blank)
+    rows = turns.select(
+        "conv_id",
+        "turn",
+        F.when(code == 4, F.lit("user")).otherwise(F.coalesce("role", blank)).alias("role"),
+        F.when(code == 1, F.lit("")).when(code == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (code == 0).alias("gone"),
+        F.explode(F.when(code == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
+    )
+    return rows.drop("col")
+
+
+def op13_structure_repair(spark: SparkSession, d: str) -> DataFrame:
+    turns = damaged_conversations(spark.read.parquet(f"{d}/conversations.parquet"))
+    return structure_repair.repair_conversations(turns, gone_col="gone")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_url_filter,
@@ -107,6 +157,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_language_id,
         pages_language_id,
         op10_ngram_join,
+        op11_prefix_trie,
+        op12_source_mix,
+        op13_structure_repair,
     )
     return {f.__name__: f for f in found}
 
@@ -114,6 +167,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _KEY = r"""translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 
+def _crc32(number: str) -> str:
+    """DuckDB expression: unsigned CRC-32 of the ASCII string ``number``."""
+    bit = "list_reduce(range(8), lambda v, i: xor(v >> 1, (v & 1) * 3988292384), xor(c, b::BIGINT))"
+    return f"xor(list_reduce([unicode(x) FOR x IN string_split({number}, '')], lambda c, b: {bit}, 4294967295::BIGINT), 4294967295)"
+
+
+def _then(value: str, cost: int | str, edit: str) -> str:
+    """DuckDB expression: a value (eight digits of cost, then the audit) after one more edit."""
+    return f"lpad((left({value}, 8)::INT + {cost})::VARCHAR, 8, '0') || substr({value}, 9) || '{edit}'"
+
+
 _ORACLE = {
     "op6_line_dedup": f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -140,6 +204,88 @@ reach AS (
   SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.c)
 SELECT vec_id, (SELECT count(*) FROM links WHERE a = r.vec_id) AS n_links, min(c) AS component_id, min(c) = vec_id AS kept
 FROM reach r GROUP BY vec_id""",
+    "op11_prefix_trie": f"""
+WITH turns AS (
+  SELECT conv_id AS c, turn, strlen(coalesce(text, '')) AS bytes, dense_rank() OVER (ORDER BY coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, {_crc32("c::VARCHAR")} % 9 AS h, list(t ORDER BY turn NULLS FIRST) AS s, list(bytes ORDER BY turn NULLS FIRST) AS b
+  FROM turns GROUP BY c),
+rebuilt AS (
+  SELECT o.c, list_concat(coalesce(f.s, [])[1:o.h], o.s[o.h + 1:]) AS s, list_concat(coalesce(f.b, [])[1:o.h], o.b[o.h + 1:]) AS b
+  FROM own o LEFT JOIN own f ON f.c = o.c - o.c % 5),
+prefixes AS (SELECT c, s, b, unnest(range(0, len(s) + 1)) AS d FROM rebuilt),
+members AS (
+  SELECT c, d, len(s) = d AS ends, CASE WHEN d > 0 THEN b[d] ELSE 0 END AS bytes, min(c) OVER (PARTITION BY s[1:d]) AS node FROM prefixes),
+nodes AS (
+  SELECT node, d, count(*) AS n, any_value(bytes) AS bytes, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '') AS ids
+  FROM members GROUP BY node, d),
+linked AS (SELECT x.*, y.node AS parent FROM nodes x LEFT JOIN members y ON y.c = x.node AND y.d = x.d - 1),
+kids AS (SELECT parent AS node, d - 1 AS d, count(*) AS k FROM linked WHERE d > 0 GROUP BY ALL),
+own_part AS (SELECT l.*, coalesce(k.k, 0) AS k, (l.n - 1) * l.bytes AS saved FROM linked l LEFT JOIN kids k USING (node, d)),
+sums AS (
+  SELECT a.node, a.d, count(*) FILTER (WHERE f.k = 0) AS leaves, sum(f.saved)::BIGINT AS saved
+  FROM own_part f JOIN members a ON a.c = f.node AND a.d <= f.d GROUP BY a.node, a.d)
+SELECT node AS conv_id, d AS depth, parent AS parent_conv_id, n AS n_convs, k AS n_children, leaves AS n_leaves,
+       sums.saved AS saved_tokens, sha256(ids) AS ends_sha256
+FROM own_part JOIN sums USING (node, d)""",
+    "op13_structure_repair": rf"""
+WITH RECURSIVE
+source AS (
+  SELECT conv_id AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k
+  FROM conversations),
+damaged AS (
+  SELECT c, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM source WHERE k <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS r FROM damaged),
+faults AS (
+  SELECT *, lag(r) OVER (PARTITION BY c ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+              WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault
+  FROM placed),
+prices AS (SELECT *, fault NOT IN ('b', 'd') AS may_stay, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS more FROM faults),
+-- cheapest edits up to row i that leave nothing, or end in a system, user or assistant turn
+scan AS (
+  SELECT DISTINCT c, 0::BIGINT AS i, '00000000' AS e, NULL::VARCHAR AS s, '00000005I' AS u, '00000010II' AS a FROM source
+  UNION ALL
+  SELECT c, i, e, s, least(u, {_then("e", 5, "I")}, {_then("s", 5, "I")}, {_then("a", 5, "I")}) AS u2,
+         least(a, {_then("u", 5, "I")}, {_then("e", 10, "II")}, {_then("s", 10, "II")})
+  FROM (
+    SELECT p.c, p.i, {_then("e", 2, "D")} AS e,
+           least({_then("s", 2, "D")}, CASE WHEN may_stay AND r = 's' THEN {_then("e", "more", "K")} END) AS s,
+           least({_then("u", 2, "D")}, CASE WHEN may_stay AND r = 'u' THEN {_then("least(e, s, a)", "more", "K")} END,
+                 CASE WHEN may_stay THEN {_then("least(e, s, a)", "1 + more", "R")} END) AS u,
+           least({_then("a", 2, "D")}, CASE WHEN may_stay AND r = 'a' THEN {_then("u", "more", "K")} END,
+                 CASE WHEN may_stay THEN {_then("u", "1 + more", "R")} END) AS a
+    FROM scan JOIN prices p ON p.c IS NOT DISTINCT FROM scan.c AND p.i = scan.i + 1)),
+best AS (
+  SELECT c, least(e, a) AS v, [x FOR x IN string_split(substr(least(e, a), 9), '')] AS edits FROM scan
+  QUALIFY row_number() OVER (PARTITION BY c ORDER BY i DESC) = 1),
+edits AS (SELECT c, substr(v, 9) AS audit, unnest(edits) AS edit, generate_subscripts(edits, 1) AS j FROM best),
+steps AS (
+  SELECT *, length(replace(left(audit, j), 'I', '')) AS i, length(replace(left(audit, j), 'D', '')) AS place,
+         length(replace(audit, 'D', '')) % 2 AS system
+  FROM edits WHERE edit IN ('K', 'R', 'I')),
+lines AS (
+  SELECT s.c, s.place,
+         CASE WHEN edit = 'K' THEN p.role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+         || CASE WHEN edit = 'I' THEN '' ELSE p.text END AS line
+  FROM steps s LEFT JOIN placed p ON p.c IS NOT DISTINCT FROM s.c AND p.i = s.i),
+texts AS (SELECT c, string_agg(line, chr(10) ORDER BY place) AS t FROM lines GROUP BY c),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'b') AS blank,
+         count(*) FILTER (WHERE fault = 'd') AS duplicate, count(*) FILTER (WHERE fault = 't') AS truncated,
+         count(*) FILTER (WHERE before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY c)
+SELECT b.c AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, left(v, 8)::BIGINT AS cost, substr(v, 9) AS audit,
+       sha256(coalesce(t, '')) AS repaired_sha256
+FROM best b LEFT JOIN counts n ON n.c IS NOT DISTINCT FROM b.c LEFT JOIN texts t ON t.c IS NOT DISTINCT FROM b.c""",
     "op10_ngram_join": r"""
 WITH RECURSIVE
 words AS (
