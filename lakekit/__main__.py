@@ -119,6 +119,7 @@ def main(argv=None) -> int:
     c = sub.add_parser("changes", help="raw file manifest and changes since a saved manifest")
     c.add_argument("dir")
     c.add_argument("--glob")
+    c.add_argument("--digest", action=argparse.BooleanOptionalAction, default=True, help="compare contents (default), or only length and time")
     c.add_argument("--previous")
     c.add_argument("--save")
     for p in (s, e, q, x, v, r, d, c):
@@ -156,7 +157,7 @@ def main(argv=None) -> int:
     if args.cmd == "changes":
         if args.save and args.previous and args.save.rstrip("/") == args.previous.rstrip("/"):
             ap.error("--save must differ from --previous (keep one manifest per delivery)")
-        current = M.raw_file_manifest(spark, args.dir, glob=args.glob)
+        current = M.raw_file_manifest(spark, args.dir, glob=args.glob, with_md5=args.digest)
         if args.previous:
             _print_all(M.changed_files(current, spark.read.parquet(args.previous)).orderBy("path"))
         else:

@@ -9,7 +9,8 @@ and storage layer.
   location); ``columns`` NULL means the whole table.
 * ``governed`` returns the table narrowed to the allowed columns, or
   raises ``AccessDenied`` for a denied column or a missing grant.
-* ``as_principal`` gives a separate session holding only governed views.
+* ``as_principal`` gives a separate session holding only governed views;
+  ``run_as`` runs queries in it that read nothing else, as their analysed plan shows.
 * ``audit_grants`` compares actual with expected grants -> PASS / FAIL.
 """
 
@@ -25,6 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekit import lineage
 from lakekit.contracts import ANALYTICS, EMPLOYEE_CONTRACT, HR, SALES, SALES_CONTRACT
 
 GRANTS_SCHEMA = (
@@ -208,22 +210,28 @@ def as_principal(
     views do not leak between sessions.
     """
     session = spark.newSession()
+    session.lk_views = {}
     for qualified, build in tables.items():
         try:
             view = governed(build(session), policy, principal, qualified)
         except AccessDenied:
             continue
-        view.createOrReplaceTempView(qualified.split(".", 1)[1])
+        name = qualified.split(".", 1)[1]
+        view.createOrReplaceTempView(name)
+        session.lk_views[name] = qualified
     return session
 
 
 # Parts of a statement: comments and quoted text stay as they are, dotted names are looked at.
 _SQL_PARTS = re.compile(r"""(--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|((?:`[^`]+`|\w+)(?:\s*\.\s*(?:`[^`]+`|\w+))+)|(;)""", re.S)
-_FILE_FORMATS = ("parquet", "csv", "json", "orc", "text", "binaryfile", "avro")
 
 
-def _governed_names(session: SparkSession, policy: Policy, principal: str, sql: str, tables: Mapping[str, Sequence[str]]) -> str:
-    known = {q.lower(): q for q in tables}
+def _bare_names(sql: str, tables: Iterable[str]) -> str:
+    """The statement with the database left out before known tables, which then mean the governed views.
+
+    Only a convenience: what a name really stands for is decided on the analysed plan.
+    """
+    known = {q.lower() for q in tables}
 
     def place(match: re.Match) -> str:
         if match[1] or match[3]:
@@ -231,14 +239,7 @@ def _governed_names(session: SparkSession, policy: Policy, principal: str, sql:
         parts = [p.strip().strip("`") for p in re.split(r"\s*\.\s*(?=(?:[^`]*`[^`]*`)*[^`]*$)", match[2])]
         if parts[0].lower() == "spark_catalog" and len(parts) > 2:
             parts = parts[1:]
-        name = ".".join(parts[:2]).lower()
-        if name in known:
-            if policy.allowed_columns(principal, known[name], tables[known[name]]) is None:
-                raise AccessDenied(principal, known[name])
-            return ".".join(f"`{p}`" for p in parts[1:])
-        if parts[0].lower() in _FILE_FORMATS or session.catalog.databaseExists(parts[0]) and session.catalog.tableExists(".".join(parts[:2])):
-            raise AccessDenied(principal, ".".join(parts[:2]))
-        return match[0]
+        return ".".join(f"`{p}`" for p in parts[1:]) if ".".join(parts[:2]).lower() in known else match[0]
 
     return _SQL_PARTS.sub(place, sql)
 
@@ -256,22 +257,53 @@ def split_statements(text: str) -> list[str]:
 
 
 def run_as(session: SparkSession, policy: Policy, principal: str, sql: str, tables: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Run one SQL statement in a principal session.
+    """Run one query in a principal session (see ``as_principal``).
 
     Tables may be named bare or with their database: both mean the governed
-    view.  A table that is not granted, another table of the catalog, a file
-    named as a table, or a denied column raises ``AccessDenied``.
+    view.  ``AccessDenied`` is raised, before anything runs, for a statement
+    that is no query, for any relation but the governed views however it is
+    named, for a table without a grant and for a column that is not granted
+    (by the policy as it is now, also where the session is older).
     """
+    views = {v.lower(): q for v, q in getattr(session, "lk_views", {q.split(".", 1)[1]: q for q in tables}).items()}
+    sql = _bare_names(sql, {*tables, *views.values()})
     try:
-        return session.sql(_governed_names(session, policy, principal, sql, tables))
+        plan = lineage.parsed_query(session, sql)
+        for parts in lineage.named_relations(plan):
+            if len(parts) > 1:
+                raise AccessDenied(principal, ".".join(parts))
+        reads = lineage.query_reads(lineage.analysed_query(session, plan), views)
+    except lineage.Refused as exc:
+        raise AccessDenied(principal, str(exc)) from exc
     except AnalysisException as exc:
-        msg = str(exc)
-        for qualified, all_columns in tables.items():
-            allowed = policy.allowed_columns(principal, qualified, all_columns) or []
-            hidden = [c for c in all_columns if c not in allowed and f"`{c}`" in msg]
-            if hidden:
-                raise AccessDenied(principal, qualified, hidden) from exc
-        raise
+        denied = _denied_by(exc, policy, principal, tables)
+        if denied is None:
+            raise
+        raise denied from exc
+    if reads.others:
+        raise AccessDenied(principal, reads.others[0])
+    for qualified, columns in reads.columns.items():
+        allowed = policy.allowed_columns(principal, qualified, tables.get(qualified, sorted(columns)))
+        if allowed is None:
+            raise AccessDenied(principal, qualified)
+        hidden = sorted(columns - set(allowed))
+        if hidden:
+            raise AccessDenied(principal, qualified, hidden)
+    return session.sql(sql)
+
+
+def _denied_by(exc: AnalysisException, policy: Policy, principal: str, tables: Mapping[str, Sequence[str]]) -> AccessDenied | None:
+    """The denial behind a name that analysis didn't find: a hidden column, or a table without a grant."""
+    condition, told = exc.getCondition() or "", exc.getMessageParameters() or {}
+    name = (told.get("objectName") or told.get("relationName") or told.get("fieldName") or "").replace("`", "").rsplit(".", 1)[-1].lower()
+    for qualified, all_columns in tables.items():
+        allowed = policy.allowed_columns(principal, qualified, all_columns)
+        if condition.startswith("TABLE_OR_VIEW_NOT_FOUND") and allowed is None and name == qualified.split(".", 1)[1].lower():
+            return AccessDenied(principal, qualified)
+        hidden = [c for c in all_columns if c not in (allowed or []) and c.lower() == name]
+        if condition.startswith("UNRESOLVED_COLUMN") and hidden:
+            return AccessDenied(principal, qualified, hidden)
+    return None
 
 
 def audit_grants(actual: DataFrame, expected: DataFrame, sensitive: DataFrame) -> DataFrame:
