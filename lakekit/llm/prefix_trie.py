@@ -45,7 +45,7 @@ def turn_sequences(turns: DataFrame, conv_col="conv_id", turn_col="turn", role_c
     return own.select("conv", F.col("turns.id").alias("seq"), F.col("turns.bytes").alias("sizes"))
 
 
-def _copies(batches, most: int = 4096):
+def _copies(batches, most: int):
     """Rows of one sequence and neighbouring conversations as one: ``(seq, sizes, first, n, ids)``.
 
     ``ids`` are at most ``most`` decimal conversation ids, ascending, joined by commas.
@@ -178,7 +178,7 @@ def shard_nodes(keys: list[tuple], shard: int):
         )
 
 
-def _tries(batches, most: int = 100_000):
+def _tries(batches, most: int):
     """Cut a task's sorted sequences into runs of at most ``most`` ids (or one sequence) and emit their trees' nodes."""
     task = TaskContext.get().partitionId() << 32
     keys: list[tuple] = []
@@ -258,7 +258,7 @@ def _boundary(nodes: DataFrame) -> DataFrame:
     return met.drop("jump").join(parents, "up", "left")
 
 
-def prefix_trie(sequences: DataFrame, ids_per_task: int = 200_000) -> DataFrame:
+def prefix_trie(sequences: DataFrame, ids_per_task: int = 200_000, ids_per_tree: int = 100_000, convs_per_piece: int = 4096) -> DataFrame:
     """One row per node of the trie of ``(conv, seq, sizes)`` (see ``turn_sequences``).
 
     Returns ``conv_id`` (smallest conversation that starts with the node's
@@ -271,17 +271,17 @@ def prefix_trie(sequences: DataFrame, ids_per_task: int = 200_000) -> DataFrame:
     Empty sequences end at the root; equal conversations are one sequence,
     grouped before the trees are built, in pieces that a large group can't
     outgrow; rows without a conversation are left out.  An empty table has no
-    nodes.  A task holds one run of at most ``100_000`` ids or one sequence.
+    nodes.  A task holds one tree of about ``ids_per_tree`` turn ids or one sequence.
     """
     bounded_batches(sequences)
     seqs = materialize(sequences.where("conv is not null").select("conv", "seq", "sizes"), "trie-sequences")
     held = seqs.agg(F.sum(F.size("seq") + 1)).first()[0] or 0
     parts = max(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // ids_per_task))
     ordered = seqs.repartitionByRange(parts, "seq", "conv").sortWithinPartitions("seq", "conv")
-    pieces = materialize(ordered.mapInArrow(_copies, "seq array<bigint>, sizes array<bigint>, first bigint, n bigint, ids string"), "trie-pieces")
+    pieces = materialize(ordered.mapInArrow(lambda batches: _copies(batches, convs_per_piece), "seq array<bigint>, sizes array<bigint>, first bigint, n bigint, ids string"), "trie-pieces")
     discard(seqs)
     runs = pieces.repartitionByRange(parts, "seq").sortWithinPartitions("seq", "first")
-    nodes = materialize(runs.mapInArrow(_tries, _NODE_SCHEMA), "trie-nodes")
+    nodes = materialize(runs.mapInArrow(lambda batches: _tries(batches, ids_per_tree), _NODE_SCHEMA), "trie-nodes")
     discard(pieces)
     merged = materialize(_boundary(nodes), "trie-boundary")
     # an inner node below a boundary node asks by (shard, path), so that the root's children are dealt out

@@ -85,7 +85,7 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, most
     return named.select("source", "number", "source_size", target.alias("target"))
 
 
-def placed_documents(sizes: DataFrame, targets: DataFrame, rows_per_group: int = 2000) -> DataFrame:
+def placed_documents(sizes: DataFrame, targets: DataFrame, rows_per_group: int = 500) -> DataFrame:
     """``sizes`` with its source's figures, a unique ``(salt, nth)`` in the source and the place ``start`` of its first word there.
 
     Documents of a source are placed by hash groups of about ``rows_per_group``,
