@@ -8,7 +8,7 @@ time from ``df.columns``: a column's *presence* decides, never its values.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,8 +67,10 @@ def as_double(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-#: Exact type of a single amount; sums of it have ten more digits in front.
+#: Exact type of a single amount, and of sums of amounts.
 AMOUNT = "decimal(38,6)"
+#: The whole part of an amount is summed as its high bits and this many low ones, both as bigint.
+_LOW_BITS = 20
 
 
 def amount(col: Column | str) -> Column:
@@ -82,30 +84,53 @@ def money(col: Column | str) -> Column:
     return amount(col).try_cast(MONEY)
 
 
-def amount_parts(col: Column | str) -> dict[str, Column]:
-    """Aggregates that merge: exact sum, double sum, and how many values there are and how many are exact."""
-    c = F.col(col) if isinstance(col, str) else col
-    value = c.try_cast("double")
-    return {"exact": F.try_sum(amount(c)), "rough": F.sum(value), "values": F.count(value), "exacts": F.count(amount(c))}
-
+def amount_parts(name: str) -> dict[str, Column]:
+    """Aggregates over column ``name`` from which ``exact_amount`` and ``merged_amount`` make a sum.
 
-def merged_amount(exact: Column, rough: Column, values: Column, exacts: Column) -> Column:
-    """The exact sum as double; the double sum where a value or the sum itself does not fit the exact type.
+    An amount is exact if it is the double nearest to a number of at most six
+    places below 2^60.  ``high``, ``low`` and ``micro`` sum the exact ones'
+    whole parts, in two parts, and millionths; ``rough`` sums all as doubles;
+    ``odd`` counts those that are not exact.  Per row that is arithmetic on
+    primitives, and the expressions are parsed from text, a call each.
+    """
+    value = f"try_cast(`{name}` AS double)"
+    whole = f"CASE WHEN abs({value}) < 1152921504606846976D THEN cast({value} AS bigint) END"
+    micro = f"cast(rint(({value} - {whole}) * 1e6D) AS bigint)"
+    exact = f"{whole} + {micro} / 1e6D = {value}"
+    return {
+        "high": F.expr(f"try_sum(CASE WHEN {exact} THEN shiftright({whole}, {_LOW_BITS}) END)"),
+        "low": F.expr(f"try_sum(CASE WHEN {exact} THEN {whole} & {(1 << _LOW_BITS) - 1}L END)"),
+        "micro": F.expr(f"try_sum(CASE WHEN {exact} THEN {micro} END)"),
+        "rough": F.expr(f"sum({value})"),
+        "odd": F.expr(f"count(CASE WHEN {exact} THEN NULL ELSE {value} END)"),
+    }
+
+
+def exact_amount(parts: Mapping[str, Column]) -> Column:
+    """The exact sum as ``AMOUNT``; NULL without values, if one is not exact or if the sum is beyond about 1e25."""
+    unit, part = F.lit(1 << _LOW_BITS).cast("decimal(7,0)"), "decimal(20,0)"
+    whole = parts["high"].cast(part) * unit + parts["low"].cast(part)
+    total = whole + parts["micro"].cast(part) * F.lit("0.000001").cast("decimal(7,6)")
+    return F.when(parts["odd"] == 0, total.cast(AMOUNT))
+
+
+def merged_amount(parts: Mapping[str, Column]) -> Column:
+    """The sum as double: exact and rounded once, or the double sum where ``exact_amount`` has none.
 
     Nothing is dropped and nothing wraps, in either ANSI mode.
     """
-    return F.when((values == exacts) & (exact.isNotNull() | (values == 0)), exact.cast("double")).otherwise(rough)
+    return F.coalesce(exact_amount(parts).cast("double"), parts["rough"])
 
 
-def money_sum(col: Column | str) -> Column:
-    """Order-independent sum of amounts with up to six places, as double (see ``merged_amount``)."""
-    return merged_amount(**amount_parts(col))
+def money_sum(name: str) -> Column:
+    """Sum of a column of amounts as double: exact, so order-independent, up to six places, else the double sum."""
+    return merged_amount(amount_parts(name))
 
 
-def money_total(col: Column | str) -> Column:
-    """Sum of amounts as DECIMAL(18,2), rounded once at the end."""
-    parts = amount_parts(col)
-    return F.when(parts["values"] == parts["exacts"], parts["exact"].cast(MONEY)).otherwise(parts["rough"].cast(MONEY))
+def money_total(name: str) -> Column:
+    """Sum of a column of amounts as DECIMAL(18,2), rounded once at the end."""
+    parts = amount_parts(name)
+    return F.coalesce(exact_amount(parts).cast(MONEY), parts["rough"].cast(MONEY))
 
 
 def band(col: Column, limits: Sequence[tuple[float, str]], otherwise: str, null_band: str | None = None) -> Column:

@@ -14,10 +14,10 @@ from lakekit.functions.columns import (
     amount_parts,
     as_double,
     band,
+    exact_amount,
     flag,
     legacy_int,
     load_date,
-    merged_amount,
     pick,
     surrogate_id,
 )
@@ -51,7 +51,7 @@ def sales_by_category(
 
     Items join products on ``key`` (inner: orphan items are dropped, a
     NULL category is one group).  ``price`` text is parsed leniently and
-    summed exactly with six places (see ``money_sum``), returned as double.
+    summed exactly up to six places (see ``money_sum``), returned as double.
 
     Items are first aggregated per product (map-side combine collapses a hot
     product inside each task), the partial sums then join products and are
@@ -60,13 +60,15 @@ def sales_by_category(
     """
     prices = items.select(key, item, as_double(items, price).alias("_price"))
     dims = products.select(key, category)
-    per_product = prices.groupBy(key).agg(*[c.alias(f"_{n}") for n, c in amount_parts("_price").items()], F.count(item).alias("_items"))
+    parts = amount_parts("_price")
+    per_product = prices.groupBy(key).agg(*[c.alias(f"_{n}") for n, c in parts.items()], F.count(item).alias("_items"))
+    exact = exact_amount({n: F.col(f"_{n}") for n in parts})
+    per_product = per_product.select(key, exact.alias("_exact"), "_rough", "_items")
     joined = join_dim(per_product, dims, key, merge=merge)
-    parts = {"exact": F.try_sum("_exact"), "rough": F.sum("_rough"), "values": F.sum("_values"), "exacts": F.sum("_exacts")}
-    # a product's own exact sum may be missing where its values fit: then the double sum holds
-    parts["exacts"] = parts["exacts"] - F.count_if(F.col("_exact").isNull() & (F.col("_values") > 0))
+    # a product whose sum is not exact makes its category's the double sum
+    odd = F.count_if(F.col("_exact").isNull() & F.col("_rough").isNotNull())
     return joined.groupBy(category).agg(
-        merged_amount(**parts).alias(revenue_name),
+        F.coalesce(F.when(odd == 0, F.try_sum("_exact").cast("double")), F.sum("_rough")).alias(revenue_name),
         F.sum("_items").cast("bigint").alias(count_name),
     )
 

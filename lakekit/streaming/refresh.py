@@ -57,7 +57,7 @@ def stream_sales_by_category(
     def publish(batch: DataFrame, epoch_id: int) -> None:
         table = batch.select(
             F.col(category).alias("product_category_name"),
-            merged_amount(*[F.col(n) for n in ("exact", "rough", "values", "exacts")]).alias("total_receita"),
+            merged_amount({n: F.col(n) for n in amount_parts("_price")}).alias("total_receita"),
             F.col("_items").cast("bigint").alias("qtd_itens"),
         )
         write_refined(table, contract, location)

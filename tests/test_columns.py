@@ -116,6 +116,37 @@ def test_money_sum_drops_and_wraps_nothing(spark, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_sum_is_exact_or_the_double_sum(spark, ansi):
+    import decimal
+    import random
+
+    rng = random.Random(5)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        # a million times 1e-7: more than six places, so the double sum holds
+        tiny = spark.range(1_000_000).select(F.lit(1e-7).alias("p"))
+        assert tiny.agg(money_sum("p")).first()[0] == pytest.approx(0.1, rel=1e-9)
+        for scale, top in ((2, 10**6), (6, 10**9), (6, 10**15), (0, 10**18), (4, 10**13)):
+            values = [decimal.Decimal(rng.randrange(-top, top)).scaleb(-scale) for _ in range(500)]
+            df = spark.createDataFrame([(float(v),) for v in values], "p double")
+            got = df.agg(money_sum("p")).first()[0]
+            if top <= 2**53:  # each value is one double, so the sum of the decimals is known
+                assert got == float(sum(values))
+                assert abs(df.agg(money_total("p")).first()[0] - sum(values)) <= decimal.Decimal("0.005")
+            assert got == df.orderBy(F.rand(3)).repartition(7).agg(money_sum("p")).first()[0]
+        odd = spark.createDataFrame([(1.0,), (0.12345678,), (None,), (2.5,)], "p double")
+        assert odd.agg(money_sum("p")).first()[0] == pytest.approx(3.62345678, rel=1e-15)
+        special = spark.createDataFrame([(float("nan"),), (1.0,)], "p double")
+        assert str(special.agg(money_sum("p")).first()[0]) == "nan"
+        assert special.where("p > 5 and p < 6").agg(money_sum("p")).first()[0] is None
+        assert spark.createDataFrame([(float("inf"),), (1.0,)], "p double").agg(money_sum("p")).first()[0] == float("inf")
+        huge = spark.range(1000).select(F.lit(1e18).alias("p"))
+        assert huge.agg(money_sum("p")).first()[0] == 1e21
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_hash_id_on_typed_sheet(spark):
     typed = spark.createDataFrame([(41, "Sales", 5000, 3, "No")], "Age int, Department string, MonthlyIncome int, YearsAtCompany int, Attrition string")
     parts = ["Age", "Department", "MonthlyIncome", "YearsAtCompany", "Attrition"]
