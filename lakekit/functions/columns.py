@@ -84,6 +84,21 @@ def money(col: Column | str) -> Column:
     return amount(col).try_cast(MONEY)
 
 
+def amount_units(name: str) -> dict[str, str]:
+    """SQL expressions of one row of column ``name``, by the aggregates of ``amount_parts`` that sum them."""
+    value = f"try_cast(`{name}` AS double)"
+    whole = f"CASE WHEN abs({value}) < 1152921504606846976D THEN cast({value} AS bigint) END"
+    micro = f"cast(rint(({value} - {whole}) * 1e6D) AS bigint)"
+    exact = f"{whole} + {micro} / 1e6D = {value}"
+    return {
+        "high": f"CASE WHEN {exact} THEN shiftright({whole}, {_LOW_BITS}) END",
+        "low": f"CASE WHEN {exact} THEN {whole} & {(1 << _LOW_BITS) - 1}L END",
+        "micro": f"CASE WHEN {exact} THEN {micro} END",
+        "rough": value,
+        "odd": f"CASE WHEN {exact} OR {value} IS NULL THEN 0L ELSE 1L END",
+    }
+
+
 def amount_parts(name: str) -> dict[str, Column]:
     """Aggregates over column ``name`` from which ``exact_amount`` and ``merged_amount`` make a sum.
 
@@ -93,17 +108,8 @@ def amount_parts(name: str) -> dict[str, Column]:
     ``odd`` counts those that are not exact.  Per row that is arithmetic on
     primitives, and the expressions are parsed from text, a call each.
     """
-    value = f"try_cast(`{name}` AS double)"
-    whole = f"CASE WHEN abs({value}) < 1152921504606846976D THEN cast({value} AS bigint) END"
-    micro = f"cast(rint(({value} - {whole}) * 1e6D) AS bigint)"
-    exact = f"{whole} + {micro} / 1e6D = {value}"
-    return {
-        "high": F.expr(f"try_sum(CASE WHEN {exact} THEN shiftright({whole}, {_LOW_BITS}) END)"),
-        "low": F.expr(f"try_sum(CASE WHEN {exact} THEN {whole} & {(1 << _LOW_BITS) - 1}L END)"),
-        "micro": F.expr(f"try_sum(CASE WHEN {exact} THEN {micro} END)"),
-        "rough": F.expr(f"sum({value})"),
-        "odd": F.expr(f"count(CASE WHEN {exact} THEN NULL ELSE {value} END)"),
-    }
+    units = amount_units(name)
+    return {n: F.expr(f"sum({e})" if n in ("rough", "odd") else f"try_sum({e})") for n, e in units.items()}
 
 
 def exact_amount(parts: Mapping[str, Column]) -> Column:

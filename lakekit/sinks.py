@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakekit.commits import CommitLog, file_system
 from lakekit.contracts import Contract
 
 
@@ -51,69 +52,68 @@ def write_refined(
     location: str,
     spark: SparkSession | None = None,
     guard=None,
+    base: int | None = None,
 ) -> str:
     """Full refresh of a refined table.
 
     Writes the contract-shaped data to a fresh version folder under
-    ``location``, re-reads it to check the contract, and, when the table is
-    registered in the catalog, repoints it there (readers switch at once).
-    ``guard(path)`` may veto the write (see ``lakekit.policy``).
-    Returns the version path.
+    ``location``, re-reads it to check the contract, commits it as the next
+    version, and, when the table is registered in the catalog, repoints it there
+    (readers switch at once).  ``guard(path)`` may veto the write (see
+    ``lakekit.policy``).  Returns the version path.
+
+    A version published by another writer since this one started, or since the
+    commit number ``base`` if given (see ``published``), raises
+    ``ConcurrentPublish``; this writer's folder then stays without a name.
     """
+    spark = spark or df.sparkSession
+    base = published(spark, location) if base is None else base
     check_contract(df, contract)
     path = new_version_path(location)
     if guard is not None:
         guard(path)
     write_parquet(df, path)
-    spark = spark or df.sparkSession
     check_contract(spark.read.parquet(path), contract)
-    publish_version(spark, location, path)
+    publish_version(spark, location, path, base)
     if spark.catalog.tableExists(contract.qualified_name):
-        spark.sql(f"ALTER TABLE {contract.qualified_name} SET LOCATION '{path}'")
+        # the location's latest, which need not be this one: another writer may have gone on from it
+        spark.sql(f"ALTER TABLE {contract.qualified_name} SET LOCATION '{current_version(spark, location)}'")
         spark.catalog.refreshTable(contract.qualified_name)
     return path
 
 
-def publish_version(spark: SparkSession, location: str, path: str) -> None:
-    """Name ``path`` the current version of a table location: a new pointer file, the latest of which holds.
+def published(spark: SparkSession, location: str) -> int:
+    """Number of the location's last commit; 0 before the first."""
+    return CommitLog(spark, location).last_number()
 
-    Pointers are small files in ``_current/``, written once and never changed, so readers
-    see the old version or the new one, also where a version has no rows.
-    """
-    name = path.rstrip("/").rsplit("/", 1)[-1]
-    hadoop, fs, folder = _file_system(spark, f"{location.rstrip('/')}/_current")
-    fs.create(hadoop.Path(folder, name.split("=", 1)[1]), False).close()
+
+def publish_version(spark: SparkSession, location: str, path: str, base: int | None = None) -> int:
+    """Commit ``path`` as the version that follows commit ``base`` (default: the last one now); returns its number."""
+    log = CommitLog(spark, location)
+    return log.commit(log.last_number() if base is None else base, {"version": path.rstrip("/").rsplit("/", 1)[-1]})
 
 
 def current_version(spark: SparkSession, location: str) -> str | None:
     """Path of the current version of a table location; None where none was published."""
-    _, fs, folder = _file_system(spark, f"{location.rstrip('/')}/_current")
-    if not fs.exists(folder):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(folder) if not s.getPath().getName().startswith((".", "_"))]
-    return f"{location.rstrip('/')}/version={max(names)}" if names else None
+    last = CommitLog(spark, location).latest()
+    return f"{location.rstrip('/')}/{last.entry['version']}" if last else None
 
 
 def expire_versions(spark: SparkSession, location: str, keep: int = 2) -> list[str]:
-    """Delete all but the ``keep`` latest published versions; returns the deleted paths."""
-    hadoop, fs, folder = _file_system(spark, f"{location.rstrip('/')}/_current")
-    names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if not s.getPath().getName().startswith((".", "_")))
-    old = names[: -max(1, keep)]
-    for name in old:
-        fs.delete(hadoop.Path(f"{location.rstrip('/')}/version={name}"), True)
-        fs.delete(hadoop.Path(folder, name), False)
-    return [f"{location.rstrip('/')}/version={name}" for name in old]
-
-
-def _file_system(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    return hadoop, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+    """Delete all but the ``keep`` latest published versions and their log entries; returns the deleted paths."""
+    log, gone = CommitLog(spark, location), []
+    hadoop, fs, _ = file_system(spark, location)
+    for number in log.numbers()[: -max(1, keep)]:
+        path = f"{location.rstrip('/')}/{log.read(number).entry['version']}"
+        fs.delete(hadoop.Path(path), True)
+        log.forget(number)
+        gone.append(path)
+    return gone
 
 
 def expire_results(spark: SparkSession, root: str, query_id: str, as_of: str | _dt.date, days: int = 30) -> list[str]:
     """Delete result folders of days more than ``days`` before ``as_of``; returns the deleted paths."""
-    hadoop, fs, folder = _file_system(spark, f"{root.rstrip('/')}/{query_id}")
+    hadoop, fs, folder = file_system(spark, f"{root.rstrip('/')}/{query_id}")
     first = (_dt.date.fromisoformat(str(as_of)) - _dt.timedelta(days=days)).isoformat()
     gone = []
     for status in fs.listStatus(folder) if fs.exists(folder) else []:
@@ -145,7 +145,7 @@ def read_results(spark: SparkSession, root: str, query_id: str, schema=None, run
     With ``run_date`` only that day's latest execution is read, without these columns.
     """
     if run_date is not None:
-        _, fs, folder = _file_system(spark, f"{root.rstrip('/')}/{query_id}/run_date={run_date}")
+        _, fs, folder = file_system(spark, f"{root.rstrip('/')}/{query_id}/run_date={run_date}")
         latest = max(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("execution="))
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     if schema is not None:
