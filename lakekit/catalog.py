@@ -7,7 +7,8 @@
   files), so discovery scales with the number of files, not the driver.
 * ``schema_drift``: declared vs observed columns -> ADD / LOG / WIDEN /
   SAME / CONFLICT.  Removed columns are only logged, never dropped.
-* ``apply_drift``: adds new columns to the registered table.
+* ``apply_drift``: adds new columns to the registered table; ``evolve_table``
+  also widens types and changes nested columns, by a rewritten version.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from lakekit.contracts import Contract, Domain
 
-COLUMN_TYPES = "path string, position int, column string, type string"
+COLUMN_TYPES = "path string, rows bigint, position int, column string, type string"
 
 
 # ---------------------------------------------------------------------------
@@ -104,7 +105,7 @@ def bound_of(a: Column, b: Column) -> Column:
     )
 
 
-def _footer_reader():
+def _footer_reader(nested: bool = False):
     """Executor-side footer reader.
 
     Built as a closure so Spark ships its code with the task: executors only
@@ -148,6 +149,25 @@ def _footer_reader():
             return "struct<" + ",".join(f"{f.name}:{arrow_to_spark(f.type)}" for f in t) + ">"
         return str(t)
 
+    def paths_of(name: str, t):
+        """The column and all that is nested in it, as (path, type): a.b for fields, a[] for elements, a{key} and a{value}."""
+        import pyarrow as pa
+
+        if pa.types.is_struct(t):
+            yield name, "struct"
+            for f in t:
+                field = f.name if f.name.replace("_", "a").isalnum() else "`" + f.name.replace("`", "``") + "`"
+                yield from paths_of(f"{name}.{field}", f.type)
+        elif pa.types.is_list(t) or pa.types.is_large_list(t):
+            yield name, "array"
+            yield from paths_of(f"{name}[]", t.value_type)
+        elif pa.types.is_map(t):
+            yield name, "map"
+            yield from paths_of(name + "{key}", t.key_type)
+            yield from paths_of(name + "{value}", t.item_type)
+        else:
+            yield name, arrow_to_spark(t)
+
     def read_footers(batches):
         import pandas
         import pyarrow.parquet as pq
@@ -160,16 +180,26 @@ def _footer_reader():
                     filesystem, local = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
                 else:
                     filesystem, local = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-                schema = pq.read_schema(local, filesystem=filesystem)
+                with pq.ParquetFile(local, filesystem=filesystem) as file:
+                    schema, rows = file.schema.to_arrow_schema(), file.metadata.num_rows
                 for i, field in enumerate(schema):
-                    out.append((path, i, field.name, arrow_to_spark(field.type)))
-            yield pandas.DataFrame(out, columns=["path", "position", "column", "type"])
+                    if nested:
+                        quoted = field.name if field.name.replace("_", "a").isalnum() else "`" + field.name.replace("`", "``") + "`"
+                        out += [(path, rows, i, name, kind) for name, kind in paths_of(quoted, field.type)]
+                    else:
+                        out.append((path, rows, i, field.name, arrow_to_spark(field.type)))
+            yield pandas.DataFrame(out, columns=["path", "rows", "position", "column", "type"])
 
     return read_footers
 
 
-def file_columns(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """(path, position, column, type) for every column of every file."""
+def file_columns(spark: SparkSession, path: str, glob: str = "*.parquet", nested: bool = False) -> DataFrame:
+    """(path, rows, position, column, type) for every column of every file.
+
+    ``nested`` gives the paths inside nested columns rows of their own:
+    ``a.b`` for a field, ``a[]`` for an array's elements, ``a{key}`` and
+    ``a{value}`` for a map's; a name with other characters stands in backticks.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -177,18 +207,16 @@ def file_columns(spark: SparkSession, path: str, glob: str = "*.parquet") -> Dat
         .load(path)
         .select("path")
     )
-    return listing.mapInPandas(_footer_reader(), COLUMN_TYPES)
+    return listing.mapInPandas(_footer_reader(nested), COLUMN_TYPES)
 
 
-def discover_schema(spark: SparkSession, path: str, glob: str = "*.parquet", allow_string: bool = False) -> DataFrame:
-    """Widened schema over all files: (column, type, files, types, status).
+def widened(cols: DataFrame, *keys: str, allow_string: bool = False) -> DataFrame:
+    """One row per (``keys``, column) of ``(keys, path, position, column, type)``: the least type that holds all of a column's.
 
-    status: SAME (one type), WIDEN (numeric types widened to the least that holds them all),
-    CONFLICT (incompatible families, or more digits than a decimal has; ``allow_string`` resolves to string).
+    Adds files, types, status and position, as ``discover_schema`` returns them.
     """
-    cols = file_columns(spark, path, glob)
     t = F.col("type")
-    agg = cols.withColumn("_family", type_family(t)).groupBy("column").agg(
+    agg = cols.withColumn("_family", type_family(t)).groupBy(*keys, "column").agg(
         F.min("position").alias("position"),
         F.countDistinct("path").alias("files"),
         F.array_sort(F.collect_set("type")).alias("types"),
@@ -202,7 +230,18 @@ def discover_schema(spark: SparkSession, path: str, glob: str = "*.parquet", all
     conflict = (F.col("_families") > 1) | widest.isNull()
     resolved = F.when(conflict, F.lit("string") if allow_string else F.lit(None).cast("string")).otherwise(widest)
     status = F.when(conflict, F.lit("CONFLICT")).when(F.size("types") > 1, F.lit("WIDEN")).otherwise(F.lit("SAME"))
-    return agg.select("column", resolved.alias("type"), "files", "types", status.alias("status"), "position")
+    return agg.select(*keys, "column", resolved.alias("type"), "files", "types", status.alias("status"), "position")
+
+
+def discover_schema(spark: SparkSession, path: str, glob: str = "*.parquet", allow_string: bool = False, nested: bool = False) -> DataFrame:
+    """Widened schema over all files: (column, type, files, types, status).
+
+    status: SAME (one type), WIDEN (numeric types widened to the least that holds them all),
+    CONFLICT (incompatible families, or more digits than a decimal has; ``allow_string`` resolves to string).
+    ``nested`` compares nested columns path by path (see ``file_columns``), so that a struct may gain fields
+    and an array's elements may widen.
+    """
+    return widened(file_columns(spark, path, glob, nested), allow_string=allow_string)
 
 
 def to_struct(discovered: DataFrame) -> T.StructType:
@@ -224,14 +263,89 @@ def to_struct(discovered: DataFrame) -> T.StructType:
 # ---------------------------------------------------------------------------
 
 
-def schema_frame(spark: SparkSession, schema: T.StructType | Sequence[tuple[str, str]]) -> DataFrame:
+def schema_frame(spark: SparkSession, schema: T.StructType | Sequence[tuple[str, str]], nested: bool = False) -> DataFrame:
+    """``(column, type)`` rows of a schema; ``nested``: a row per path, as ``file_columns`` names them."""
     if isinstance(schema, T.StructType):
-        pairs = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+        pairs = type_paths(schema) if nested else [(f.name, f.dataType.simpleString()) for f in schema.fields]
     else:
         pairs = list(schema)
     return spark.createDataFrame(pairs, "column string, type string")
 
 
+def _quoted(name: str) -> str:
+    return name if name.replace("_", "a").isalnum() else "`" + name.replace("`", "``") + "`"
+
+
+def type_paths(kind: T.DataType, path: str = "") -> list[tuple[str, str]]:
+    """``(path, type)`` of a type and all that is nested in it; a schema's own path is empty and left out."""
+    if isinstance(kind, T.StructType):
+        below = [p for f in kind.fields for p in type_paths(f.dataType, f"{path}.{_quoted(f.name)}" if path else _quoted(f.name))]
+        return ([(path, "struct")] if path else []) + below
+    if isinstance(kind, T.ArrayType):
+        return [(path, "array"), *type_paths(kind.elementType, f"{path}[]")]
+    if isinstance(kind, T.MapType):
+        return [(path, "map"), *type_paths(kind.keyType, path + "{key}"), *type_paths(kind.valueType, path + "{value}")]
+    return [(path, kind.simpleString())]
+
+
+def evolved(kind: T.DataType, changes: dict[str, str], path: str = "") -> T.DataType:
+    """The type with leaf types replaced and fields added, by path (``changes``: path -> new type)."""
+    if isinstance(kind, T.StructType):
+        fields = []
+        for f in kind.fields:
+            at = f"{path}.{_quoted(f.name)}" if path else _quoted(f.name)
+            fields.append(T.StructField(f.name, evolved(f.dataType, changes, at), True))
+        have = {_quoted(f.name) for f in kind.fields}
+        for at in changes:
+            head = at[len(path) + 1 :] if path and at.startswith(path + ".") else "" if path else at
+            if head and head not in have and _is_name(head):
+                fields.append(T.StructField(_unquoted(head), _built(at, changes), True))
+        return T.StructType(fields)
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(evolved(kind.elementType, changes, f"{path}[]"), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(evolved(kind.keyType, changes, path + "{key}"), evolved(kind.valueType, changes, path + "{value}"), True)
+    return T._parse_datatype_string(changes[path]) if path in changes else kind
+
+
+def _is_name(head: str) -> bool:
+    return head.replace("_", "a").isalnum() or head[0] == "`" and head[-1] == "`" and "`" not in head[1:-1].replace("``", "")
+
+
+def _unquoted(head: str) -> str:
+    return head[1:-1].replace("``", "`") if head.startswith("`") else head
+
+
+def _built(path: str, rows: dict[str, str]) -> T.DataType:
+    """The type at ``path`` made from its path rows."""
+    kind = rows[path]
+    if kind == "struct":
+        heads = [at[len(path) + 1 :] for at in rows if at.startswith(path + ".")]
+        return T.StructType([T.StructField(_unquoted(h), _built(f"{path}.{h}", rows), True) for h in heads if _is_name(h)])
+    if kind == "array":
+        return T.ArrayType(_built(f"{path}[]", rows), True)
+    if kind == "map":
+        return T.MapType(_built(path + "{key}", rows), _built(path + "{value}", rows), True)
+    return T._parse_datatype_string(kind)
+
+
+def conformed_to(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``value`` in the wanted type: fields by name (missing ones null), elements one by one, leaves cast."""
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        mine = {f.name: f.dataType for f in have.fields}
+        fields = [(conformed_to(value[f.name], mine[f.name], f.dataType) if f.name in mine else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return F.transform(value, lambda x: conformed_to(x, have.elementType, want.elementType))
+    if isinstance(want, T.MapType) and isinstance(have, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(conformed_to(e["key"], have.keyType, want.keyType).alias("key"), conformed_to(e["value"], have.valueType, want.valueType).alias("value")),
+        )
+        return F.map_from_entries(entries)
+    return value if have == want else value.cast(want)
+
+
 def schema_drift(declared: DataFrame, observed: DataFrame, table: str | None = None) -> DataFrame:
     """Declared vs observed ``(column, type)`` -> one row per column.
 
@@ -261,17 +375,62 @@ def schema_drift(declared: DataFrame, observed: DataFrame, table: str | None = N
 def apply_drift(spark: SparkSession, qualified_name: str, drift: DataFrame, allowed=None) -> list[str]:
     """Add ADD columns to the registered table; returns the statements run.
 
-    ``allowed(permission, database)`` may veto (DDL grants).  WIDEN and
-    CONFLICT rows are reported by ``schema_drift`` and left to the owner:
-    Parquet tables cannot change a column type in place.
+    ``allowed(permission, database)`` may veto (DDL grants).  WIDEN rows and
+    rows of nested paths need a rewritten version (``evolve_table``); CONFLICT
+    rows are left to the owner.
     """
     database = qualified_name.split(".")[0]
     if allowed is not None and not allowed("ALTER", database):
         raise PermissionError(f"ALTER on {database} not granted")
-    adds = drift.filter(F.col("action") == "ADD").select("column", "observed").collect()
+    adds = drift.filter((F.col("action") == "ADD") & ~F.col("column").rlike(r"[.\[{]")).select("column", "observed").collect()
     stmts = []
     for r in adds:
-        stmt = f"ALTER TABLE {qualified_name} ADD COLUMNS (`{r['column']}` {r['observed']})"
+        if r["observed"] in ("struct", "array", "map"):
+            continue  # its paths tell the type
+        stmt = f"ALTER TABLE {qualified_name} ADD COLUMNS (`{_unquoted(r['column'])}` {r['observed']})"
         spark.sql(stmt)
         stmts.append(stmt)
     return stmts
+
+
+def evolve_table(spark: SparkSession, qualified_name: str, location: str, drift: DataFrame, allowed=None) -> T.StructType:
+    """Carry ADD and WIDEN rows, nested ones too, into a registered table; returns its new schema.
+
+    The current version below ``location`` is rewritten in the new schema (new
+    columns and fields null, leaves cast to the type that holds both), committed
+    as the next version and the table declared anew over it, so that readers
+    see the old table or the new one.  ``drift`` compares path rows
+    (``schema_frame(..., nested=True)`` and ``discover_schema(..., nested=True)``).
+    CONFLICT rows raise ``ValueError``: nothing is changed then.
+    """
+    from lakekit import sinks as K
+
+    database = qualified_name.split(".")[0]
+    if allowed is not None and not allowed("ALTER", database):
+        raise PermissionError(f"ALTER on {database} not granted")
+    rows = drift.filter(F.col("action").isin("ADD", "WIDEN", "CONFLICT")).select("column", "action", "declared", "observed").collect()
+    conflicts = sorted(r["column"] for r in rows if r["action"] == "CONFLICT")
+    if conflicts:
+        raise ValueError(f"{qualified_name}: incompatible types of {conflicts}")
+    declared = spark.table(qualified_name).schema
+    changes = {r["column"]: r["observed"] for r in rows if r["action"] == "ADD"}
+    wider = spark.createDataFrame([r for r in rows if r["action"] == "WIDEN"], "column string, action string, declared string, observed string")
+    changes |= {r["column"]: r["bound"] for r in wider.select("column", bound_of(F.col("declared"), F.col("observed")).alias("bound")).collect()}
+    changes = dict(sorted(changes.items()))
+    target = evolved(declared, changes)
+    if not changes:
+        return declared
+    base = K.published(spark, location)
+    now = spark.read.schema(declared).parquet(K.current_version(spark, location))
+    path = K.new_version_path(location)
+    columns = [
+        (conformed_to(F.col(_quoted(f.name)), declared[f.name].dataType, f.dataType) if f.name in declared.names else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in target
+    ]
+    K.write_parquet(now.select(*columns), path)
+    K.publish_version(spark, location, path, base)
+    keys = [c.name for c in spark.catalog.listColumns(qualified_name) if c.isPartition]
+    parts = f" PARTITIONED BY ({', '.join(keys)})" if keys else ""
+    spark.sql(f"DROP TABLE {qualified_name}")
+    spark.sql(f"CREATE TABLE {qualified_name} ({target.toDDL()}) USING parquet{parts} LOCATION '{path}'")
+    return target
