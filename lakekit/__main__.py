@@ -45,7 +45,7 @@ QUERIES = {
     "sales_totals": lambda s, e, spark: B.sales_totals(s),
     "headcount": lambda s, e, spark: B.headcount(e),
     "top5_categories": lambda s, e, spark: B.top_categories_raw(s, 5),
-    "sample_employees": lambda s, e, spark: B.preview(e.select("departamento", "cargo", "satisfacao", "rotatividade"), 5),
+    "sample_employees": lambda s, e, spark: K.preview(e.select("departamento", "cargo", "satisfacao", "rotatividade"), 5),
 }
 
 
@@ -211,11 +211,9 @@ def main(argv=None) -> int:
             print(K.save_result(result, args.results, args.name, args.run_date), file=sys.stderr)
         _print_preview(result)
         return 0
-    raw = {}
-    for item in args.raw:
-        name, path = item.split("=", 1)
-        raw[name] = read_raw_csv(spark, path)
-    checks = validate_lake(spark, raw, sales, emp, policy)
+    paths = dict(item.split("=", 1) for item in args.raw)
+    raw = {name: read_raw_csv(spark, path) for name, path in paths.items()}
+    checks = validate_lake(spark, raw, sales, emp, policy, raw_paths=paths)
     _print_all(checks.orderBy("check"))
     verdict = X.verdict(checks).first()
     print(f"verdict: {verdict['verdict']} (ok={verdict['ok']} fail={verdict['fail']} warn={verdict['warn']})")

@@ -159,6 +159,12 @@ def expect_metrics(df: DataFrame, expected: DataFrame, measures: Mapping[str, Co
     )
 
 
+def unmeasured(expected: DataFrame, measured: Sequence[str]) -> DataFrame:
+    """A SKIP row for each expected metric (metric, value, tolerance) that nothing measures."""
+    rest = expected.filter(~F.col("metric").isin(*measured)) if measured else expected
+    return rest.select(*_row(F.concat(F.lit("metric:"), F.col("metric")), F.lit("SKIP"), F.lit("no such measure")))
+
+
 def expect_unique(df: DataFrame, key: str, check: str | None = None, severity: str = "WARN") -> DataFrame:
     """No duplicated ``key`` values (e.g. colliding surrogate ids)."""
     dups = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

@@ -99,44 +99,45 @@ def amount_units(name: str) -> dict[str, str]:
     }
 
 
-def amount_parts(name: str) -> dict[str, Column]:
-    """Aggregates over column ``name`` from which ``exact_amount`` and ``merged_amount`` make a sum.
+def amount_sums(name: str) -> dict[str, str]:
+    """SQL aggregates over column ``name`` from which ``exact_sql`` and ``merged_sql`` make a sum.
 
     An amount is exact if it is the double nearest to a number of at most six
     places below 2^60.  ``high``, ``low`` and ``micro`` sum the exact ones'
     whole parts, in two parts, and millionths; ``rough`` sums all as doubles;
     ``odd`` counts those that are not exact.  Per row that is arithmetic on
-    primitives, and the expressions are parsed from text, a call each.
+    primitives.  They are text so that a sum is parsed in one call.
     """
-    units = amount_units(name)
-    return {n: F.expr(f"sum({e})" if n in ("rough", "odd") else f"try_sum({e})") for n, e in units.items()}
+    return {n: f"sum({e})" if n in ("rough", "odd") else f"try_sum({e})" for n, e in amount_units(name).items()}
+
+
+def amount_parts(name: str) -> dict[str, Column]:
+    return {n: F.expr(e) for n, e in amount_sums(name).items()}
 
 
-def exact_amount(parts: Mapping[str, Column]) -> Column:
+def exact_sql(parts: Mapping[str, str]) -> str:
     """The exact sum as ``AMOUNT``; NULL without values, if one is not exact or if the sum is beyond about 1e25."""
-    unit, part = F.lit(1 << _LOW_BITS).cast("decimal(7,0)"), "decimal(20,0)"
-    whole = parts["high"].cast(part) * unit + parts["low"].cast(part)
-    total = whole + parts["micro"].cast(part) * F.lit("0.000001").cast("decimal(7,6)")
-    return F.when(parts["odd"] == 0, total.cast(AMOUNT))
+    high, low, micro = (f"CAST({parts[n]} AS decimal(20,0))" for n in ("high", "low", "micro"))
+    return f"CASE WHEN {parts['odd']} = 0 THEN CAST({high} * {1 << _LOW_BITS}BD + {low} + {micro} * 0.000001BD AS {AMOUNT}) END"
 
 
-def merged_amount(parts: Mapping[str, Column]) -> Column:
-    """The sum as double: exact and rounded once, or the double sum where ``exact_amount`` has none.
+def merged_sql(parts: Mapping[str, str]) -> str:
+    """The sum as double: exact and rounded once, or the double sum where ``exact_sql`` has none.
 
     Nothing is dropped and nothing wraps, in either ANSI mode.
     """
-    return F.coalesce(exact_amount(parts).cast("double"), parts["rough"])
+    return f"coalesce(CAST({exact_sql(parts)} AS double), {parts['rough']})"
 
 
 def money_sum(name: str) -> Column:
     """Sum of a column of amounts as double: exact, so order-independent, up to six places, else the double sum."""
-    return merged_amount(amount_parts(name))
+    return F.expr(merged_sql(amount_sums(name)))
 
 
 def money_total(name: str) -> Column:
     """Sum of a column of amounts as DECIMAL(18,2), rounded once at the end."""
-    parts = amount_parts(name)
-    return F.coalesce(exact_amount(parts).cast(MONEY), parts["rough"].cast(MONEY))
+    parts = amount_sums(name)
+    return F.expr(f"coalesce(CAST({exact_sql(parts)} AS {MONEY}), CAST({parts['rough']} AS {MONEY}))")
 
 
 def band(col: Column, limits: Sequence[tuple[float, str]], otherwise: str, null_band: str | None = None) -> Column:

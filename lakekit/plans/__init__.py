@@ -5,7 +5,6 @@ from lakekit.plans.business import (
     executive_kpis,
     headcount,
     low_satisfaction,
-    preview,
     sales_totals,
     satisfaction_by,
     top_categories,
@@ -23,7 +22,6 @@ __all__ = [
     "executive_kpis",
     "headcount",
     "low_satisfaction",
-    "preview",
     "sales_by_category",
     "sales_totals",
     "satisfaction_by",

@@ -14,7 +14,7 @@ from lakekit.functions.columns import (
     amount_parts,
     as_double,
     band,
-    exact_amount,
+    exact_sql,
     flag,
     legacy_int,
     load_date,
@@ -62,7 +62,7 @@ def sales_by_category(
     dims = products.select(key, category)
     parts = amount_parts("_price")
     per_product = prices.groupBy(key).agg(*[c.alias(f"_{n}") for n, c in parts.items()], F.count(item).alias("_items"))
-    exact = exact_amount({n: F.col(f"_{n}") for n in parts})
+    exact = F.expr(exact_sql({n: f"_{n}" for n in parts}))
     per_product = per_product.select(key, exact.alias("_exact"), "_rough", "_items")
     joined = join_dim(per_product, dims, key, merge=merge)
     # a product whose sum is not exact makes its category's the double sum

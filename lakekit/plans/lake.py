@@ -67,5 +67,7 @@ def refresh_lake(
         expected_grants=G.reference_grants(lake_root),
         raw_sheet=sheet,
         mapping=mapping,
+        raw_paths={"items": raw.items, "products": raw.products, "employees": raw.employees},
+        tables=[SALES_CONTRACT.qualified_name, EMPLOYEE_CONTRACT.qualified_name],
     )
     return RefreshResult(sales_path, emp_path, checks)

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lakekit.commits import file_system
 from lakekit.contracts import SALES_CONTRACT, Contract
-from lakekit.functions.columns import amount_units, merged_amount
+from lakekit.functions.columns import amount_units, merged_sql
 from lakekit.sinks import write_refined
 from lakekit.sources.files import all_text_schema
 
@@ -74,7 +74,8 @@ def _fold(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
     else:
         out = [(was[1], *(-x for x in sums))] if was[0] and sums[-1] else []
         out += [(category, *total)] if known and total[-1] else []
-    yield pd.DataFrame(out, columns=["category", *SUMS])
+    if out:
+        yield pd.DataFrame(out, columns=["category", *SUMS]).astype({"category": object})
 
 
 def maintain_sales(
@@ -144,7 +145,7 @@ def maintain_sales(
             for e in range(base - COMPACT_EVERY, base):
                 if e >= 0:
                     fs.delete(hadoop.Path(f"{stored}/epoch={e}"), True)
-        revenue = merged_amount({n: F.col(n) for n in units})
+        revenue = F.expr(merged_sql({n: n for n in units}))
         table = now.where("n > 0").select(
             F.col("category").alias("product_category_name"),
             F.when(F.col("priced") > 0, revenue).alias("total_receita"),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakekit.contracts import SALES_CONTRACT, Contract
-from lakekit.functions.columns import amount_parts, lenient_double, merged_amount
+from lakekit.functions.columns import amount_parts, lenient_double, merged_sql
 from lakekit.operators.joins import join_dim
 from lakekit.session import work_path
 from lakekit.sinks import write_refined
@@ -57,7 +57,7 @@ def stream_sales_by_category(
     def publish(batch: DataFrame, epoch_id: int) -> None:
         table = batch.select(
             F.col(category).alias("product_category_name"),
-            merged_amount({n: F.col(n) for n in amount_parts("_price")}).alias("total_receita"),
+            F.expr(merged_sql({n: n for n in amount_parts("_price")})).alias("total_receita"),
             F.col("_items").cast("bigint").alias("qtd_itens"),
         )
         write_refined(table, contract, location)
