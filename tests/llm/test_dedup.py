@@ -61,6 +61,31 @@ def test_runs_are_levelled_and_go_on(spark):
     assert runs.seen().count() == runs.seen().distinct().count() == 6
 
 
+def test_runs_are_neither_exchanged_nor_sorted(spark):
+    runs = line_dedup.LineRuns(spark, fanout=4, buckets=4)
+    for i in range(3):
+        runs.add(spark.range(i * 100, i * 100 + 100).selectExpr("unhex(md5(string(id))) AS key"))
+    keys = spark.range(250, 400).selectExpr("unhex(md5(string(id))) AS key", "id").groupBy("key").agg({"id": "min"})
+    fresh = runs.new_of(keys)
+    assert fresh.count() == 100
+    plan = fresh._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    lines = plan.splitlines()
+    assert sum("SortMergeJoin" in x for x in lines) == 3 and sum("Exchange" in x for x in lines) == 1 and sum(" Sort " in x for x in lines) == 1
+    assert sum("Bucketed: true" in x for x in lines) == 3
+    # the fourth run makes the level one run, without an exchange, a sorted file to a bucket
+    runs.add(spark.range(300, 301).selectExpr("unhex(md5(string(id))) AS key"))
+    assert [len(x) for x in runs.levels] == [0, 1] and len(runs.seen().inputFiles()) == 4
+    assert runs.seen().count() == 301 and "lk_run" not in str(spark.catalog.listTables())
+
+
+def test_lines_with_clashing_names(spark):
+    names = "doc_id bigint, lk_n_lines int, __lk_id string, text string, drops string, lk_n_dropped string, `a.b` int, c0 int, kept int"
+    rows = [(i, 77, "id", "a line that is in both documents\nx", "d", "n", 5, 6, 7) for i in (1, 2)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, names), batches=2)
+    assert got.columns == ["doc_id", "__lk_id", "text", "drops", "a.b", "c0", "kept", "lk_n_lines", "lk_n_dropped"]
+    assert sorted(map(tuple, got.collect())) == [(1, "id", rows[0][3], "d", 5, 6, 7, 2, 0), (2, "id", "x", "d", 5, 6, 7, 2, 1)]
+
+
 # --- substrings
 
 
