@@ -25,15 +25,16 @@ from pyspark.sql import functions as F
 from lakekit.llm.common import bounded_batches, shingle_sets, small
 
 #: One shingle hash in so many is kept, and so many at least.
-SCALE, FLOOR = 8, 96
-#: The limit of sketches that hold the whole set.
-WHOLE = np.uint64((1 << 64) - 1)
+SCALE, FLOOR = 5, 256
+#: Bits of a hash that a sketch holds, and the limit of sketches that hold the whole set.
+BITS = 32
+WHOLE = np.uint64((1 << BITS) - 1)
 
 
 def _cut(hashes: np.ndarray, whole: bool, scale: int) -> np.ndarray:
     if not len(hashes):
         return hashes
-    limit = np.uint64((1 << 64) // scale - 1)
+    limit = np.uint64((1 << BITS) // scale - 1)
     keep = int(np.searchsorted(hashes, limit, "right"))
     if keep < FLOOR:
         keep = min(FLOOR, len(hashes))
@@ -44,8 +45,8 @@ def _cut(hashes: np.ndarray, whole: bool, scale: int) -> np.ndarray:
 
 
 def scaled(hashes: np.ndarray, scale: int = SCALE) -> np.ndarray:
-    """The sketch of a sorted set of shingle hashes."""
-    return _cut(hashes, True, scale)
+    """The sketch of a set of 64-bit shingle hashes."""
+    return _cut(np.unique(hashes >> np.uint64(64 - BITS)), True, scale)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.uint64]:
@@ -83,11 +84,11 @@ def containment(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def to_text(sketch: np.ndarray) -> str:
-    return base64.b64encode(sketch.astype(">u8").tobytes()).decode()
+    return base64.b64encode(sketch.astype(">u4").tobytes()).decode()
 
 
 def from_text(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), ">u8").astype(np.uint64)
+    return np.frombuffer(base64.b64decode(text), ">u4").astype(np.uint64)
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: int | None = None) -> DataFrame:

@@ -1,14 +1,17 @@
 """URL filters: fixed host and path rules, and association rules mined from labelled URLs.
 
 Spark's FP-growth mines token combinations of labelled URLs.  Rules whose
-consequence is a label are pruned by support and confidence; a rule also goes
-when a rule with fewer of its tokens says the same at least as surely.  URLs
+consequence is a label are pruned by support, confidence and lift over the
+label's share of all rows; a rule also goes when any part of its tokens says
+the same at least as surely.  Tokens that always come together count as one.  URLs
 match through an inverted index: each rule is filed under its rarest token, a
 URL looks its tokens up there and the rule fires if the URL has all its tokens.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,36 +69,75 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(scheme, parents, words, keys))
 
 
-def mine_rules(labelled: DataFrame, tokens_col: str, label_col: str, min_support: float = 0.01, min_confidence: float = 0.7) -> DataFrame:
-    """``(rule_id, tokens, verdict, confidence, support)`` from rows with a label; materialised.
+def together(baskets: DataFrame, tokens_col: str) -> DataFrame:
+    """``(token, stands_for)``: tokens that are in the same rows stand for one another; the least one of each such set is mined.
+
+    Rows of a token are told by their number and two sums of row hashes.
+    """
+    rows = baskets.withColumn("__row", F.monotonically_increasing_id()).select(F.explode(tokens_col).alias("token"), "__row")
+    one, two = F.xxhash64("__row"), F.xxhash64("__row", F.lit(1))
+    marks = rows.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.shiftright(one, 32)).alias("a"), F.sum(F.shiftright(two, 32)).alias("b"))
+    return marks.withColumn("stands_for", F.min("token").over(Window.partitionBy("n", "a", "b"))).select("token", "stands_for")
+
+
+def mine_rules(labelled: DataFrame, tokens_col: str, label_col: str, min_support: float = 0.01, min_confidence: float = 0.7, min_lift: float = 1.1) -> DataFrame:
+    """``(rule_id, tokens, verdict, confidence, support, lift)`` from rows with a label; materialised.
 
     Label items are ``label=...``.  FP-growth runs over all labelled rows.
-    The number of frequent token sets is bounded through ``min_support``.
+    Tokens that always come together are mined as one, so they don't multiply
+    the frequent sets; their rule holds the least of them.  A rule stays if its
+    verdict is ``min_lift`` times as likely as in all rows (or its confidence
+    is 1), and if none of its parts, down to single tokens, is as sure.
     """
-    label = F.concat(F.lit("label="), F.col(label_col))
-    baskets = labelled.select(F.concat(F.col(tokens_col), F.array(label)).alias("items"))
-    baskets = materialize(baskets, "url-baskets")
-    if baskets.isEmpty():
-        return baskets.sparkSession.createDataFrame([], "rule_id bigint, tokens array<string>, verdict string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.col("consequent")[0].startswith("label="))
-    rules = rules.where(~F.exists("antecedent", lambda x: x.startswith("label=")))
-    rules = rules.select(
-        F.sort_array("antecedent").alias("tokens"),
-        F.substring(F.col("consequent")[0], 7, 1 << 20).alias("verdict"),
-        "confidence",
-        "support",
+    spark = labelled.sparkSession
+    none = "rule_id bigint, tokens array<string>, verdict string, confidence double, support double, lift double"
+    rows = materialize(labelled.select(F.col(tokens_col).alias("tokens"), F.col(label_col).alias("label")), "url-labels")
+    total = rows.count()
+    if not total:
+        return spark.createDataFrame([], none)
+    one_of = materialize(together(rows, "tokens").where("token <> stands_for"), "url-synonyms")
+    baskets = materialize(_without(rows, one_of).select(F.concat("tokens", F.array(F.concat(F.lit("label="), "label"))).alias("items")), "url-baskets")
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets)
+    labels = F.filter("items", lambda x: x.startswith("label="))
+    sets = model.freqItemsets.select(F.sort_array(F.filter("items", lambda x: ~x.startswith("label="))).alias("tokens"), F.get(labels, F.lit(0)).alias("label"), "freq")
+    sets = materialize(sets, "url-itemsets")
+    both = sets.where("label is not null and size(tokens) > 0").withColumnRenamed("freq", "hits")
+    both = both.join(sets.where("label is null").select("tokens", "freq"), "tokens").join(sets.where("label is not null and size(tokens) = 0").select("label", F.col("freq").alias("base")), "label")
+    confidence = F.col("hits") / F.col("freq")
+    rules = both.select(
+        "tokens",
+        F.substring("label", 7, 1 << 20).alias("verdict"),
+        confidence.alias("confidence"),
+        (F.col("hits") / total).alias("support"),
+        (confidence * total / F.col("base")).alias("lift"),
     )
     rules = materialize(rules, "url-rules")
-    # a rule that a part of it makes redundant: found through its parts of one token less
-    parts = rules.select("verdict", "confidence", "tokens", F.explode("tokens").alias("t")).where(F.size("tokens") > 1)
-    parts = parts.select("verdict", "confidence", "tokens", F.array_remove(F.col("tokens"), F.col("t")).alias("part"))
-    less = rules.select(F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("c"))
-    weak = parts.join(less, ["part", "verdict"]).where("c >= confidence").select("tokens", "verdict").distinct()
-    kept = rules.join(weak, ["tokens", "verdict"], "left_anti")
+    # the surest of a rule's parts: every part of a frequent set is frequent, so it is found through parts of one token less
+    longest = rules.agg(F.max(F.size("tokens"))).first()[0] or 0
+    surest = rules.where("size(tokens) = 1").select("tokens", "verdict", "confidence", F.lit(0.0).alias("part"))
+    done = [surest]
+    for size in range(2, longest + 1):
+        parts = rules.where(F.size("tokens") == size).select("tokens", "verdict", "confidence", F.explode("tokens").alias("t"))
+        parts = parts.select("tokens", "verdict", "confidence", F.array_remove(F.col("tokens"), F.col("t")).alias("less"))
+        below = surest.select(F.col("tokens").alias("less"), "verdict", F.greatest("confidence", "part").alias("c"))
+        surest = parts.join(below, ["less", "verdict"], "left").groupBy("tokens", "verdict").agg(F.first("confidence").alias("confidence"), F.coalesce(F.max("c"), F.lit(0.0)).alias("part"))
+        surest = materialize(surest, "url-parts-of-rules")
+        done.append(surest)
+    part = reduce(DataFrame.unionByName, done).select("tokens", "verdict", "part")
+    kept = rules.join(part, ["tokens", "verdict"]).where("confidence > part")
+    kept = kept.where((F.col("confidence") >= min_confidence) & ((F.col("lift") >= min_lift) | (F.col("confidence") == 1)))
     order = Window.partitionBy("tokens").orderBy(F.desc("confidence"), F.desc("support"), "verdict")
     kept = kept.withColumn("r", F.row_number().over(order)).where("r = 1").drop("r")
-    return materialize(kept.withColumn("rule_id", F.xxhash64(F.array_join("tokens", " "))).select("rule_id", "tokens", "verdict", "confidence", "support"), "url-rules")
+    return materialize(kept.withColumn("rule_id", F.xxhash64(F.array_join("tokens", " "))).select("rule_id", "tokens", "verdict", "confidence", "support", "lift"), "url-rules")
+
+
+def _without(rows: DataFrame, one_of: DataFrame) -> DataFrame:
+    """The rows' token sets without tokens for which another one stands; equal sets are looked at once."""
+    sets = rows.select(F.col("tokens").alias("set")).distinct()
+    kept = sets.select("set", F.explode("set").alias("token")).join(one_of.select("token"), "token", "left_anti")
+    kept = kept.groupBy("set").agg(F.array_sort(F.collect_list("token")).alias("less"))
+    both = rows.join(kept, rows["tokens"] == kept["set"], "left")
+    return both.select(F.coalesce("less", F.array().cast("array<string>")).alias("tokens"), "label")
 
 
 def match_rules(urls: DataFrame, id_cols: list[str], tokens_col: str, rules: DataFrame) -> DataFrame:

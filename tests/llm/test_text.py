@@ -1,6 +1,7 @@
 """URL filters, fingerprints, license scans, encoding, packing, language ID and the pipeline."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -68,6 +69,34 @@ def test_mined_rules_match_brute_force(spark):
             assert rules[fired[tuple(t)]] == max(fits)
 
 
+def test_mined_rules_beat_the_base_rate_and_their_parts(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(2000):
+        t = {x for x in "abcd" if rng.random() < 0.4}
+        block = "a" in t and rng.random() < 0.95 or {"b", "c", "d"} <= t or rng.random() < 0.02
+        t |= {"scheme"} | ({f"twin{j}" for j in range(25)} if "d" in t else set())  # 2^25 sets, if mined apart
+        rows.append((i, sorted(t), "block" if block else "allow"))
+    df = spark.createDataFrame(rows, "i bigint, t array<string>, v string")
+    rules = {(tuple(r.tokens), r.verdict): r for r in url_filter.mine_rules(df, "t", "v", 0.01, 0.5).collect()}
+    confidence = lambda tokens, v: np.mean([w == v for _, t, w in rows if set(tokens) <= set(t)])
+    base = {v: np.mean([w == v for *_, w in rows]) for v in ("allow", "block")}
+    assert (("a",), "block") in rules and (("b", "c", "d"), "block") in rules
+    for (tokens, v), r in rules.items():
+        assert r.confidence == pytest.approx(confidence(tokens, v)) and r.lift == pytest.approx(r.confidence / base[v])
+        assert r.lift >= 1.1 or r.confidence == 1
+        parts = [c for n in range(1, len(tokens)) for c in itertools.combinations(tokens, n)]
+        assert all(confidence(c, v) < r.confidence for c in parts)
+    assert not any("scheme" in tokens and len(tokens) > 1 or any(x.startswith("twin") for x in tokens) for tokens, _ in rules)
+
+
+def test_urls_of_any_length(spark):
+    urls = ["http://example.com/de/" + "x/" * 50_000, "http://example.com/fr/?" + "&".join(f"k{i}=1" for i in range(3000)), "http://" + "a." * 60 + "net/q"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)] + [(3, urls[0])], "page_id bigint, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(pages, min_support=0.5).collect()}
+    assert (got[0], got[1], got[3]) == ("block", "allow", "block") and got[2] in ("allow", "block")
+
+
 # --- fingerprints
 
 
@@ -121,7 +150,7 @@ def test_sketches_of_short_sets():
         found = [fingerprints.containment(fingerprints.scaled(numbers(n)), fingerprints.scaled(long)), fingerprints.containment(a, within)]
         assert found[0] == 0.0 and found[1] in (1.0, 0.0)
         none += [n] * (found[1] == 0)
-    assert len(none) <= 14 and max(none, default=0) < 40
+    assert len(none) <= 5 and max(none, default=0) < 12
     empty = np.empty(0, np.uint64)
     assert fingerprints.containment(empty, empty) == 1 and fingerprints.containment(empty, within) == fingerprints.containment(a, empty) == 0
 
@@ -135,7 +164,7 @@ def test_fingerprints_of_short_documents(spark, sample):
         n = len(line) // 4
         a, b = shingles(line, 5), shingles(line[: len(line) - n] + rows[2 * i + 1][1][:n], 5)
         assert got[2 * i].near_edited == len(a & b) / min(len(a), len(b))
-        assert got[2 * i].near_next == 1 or got[2 * i].near_next == 0 and i < 40
+        assert got[2 * i].near_next == 1 or got[2 * i].near_next == 0 and i < 12
 
 
 def test_fingerprints_of_whole_tables(spark):
