@@ -23,6 +23,7 @@ every pair that meets there is verified on the whole sets.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -165,21 +166,21 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _leaders(rows: DataFrame, rule: Threshold, most: int = 16) -> DataFrame:
-    """Link each set to a leader of its home, in one pass over rows ``(home, rep, set, hits)`` sorted by home.
+    """Link each set to a leader of its group, in one pass over rows ``(part, home, rep, set, hits)`` sorted by part.
 
-    The ``most`` leaders with most links are at hand; a set that links with
-    none of them becomes a leader.  Rows out with ``leader`` null are the
+    The ``most`` leaders of a part with most links are at hand; a set that links
+    with none of them becomes a leader.  Rows out with ``leader`` null are the
     leaders of a task, with their links as ``hits``.
     """
 
     def link(batches):
-        home, leaders = None, []  # [rep, shingles, hits], most hits first
+        at, home, leaders = None, None, []  # [rep, shingles, hits], most hits first
         for batch in small(batches):
             out = []
-            for h, rep, data, hits in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if h != home:
+            for p, h, rep, data, hits in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if p != at:
                     out += gone(home, leaders)
-                    home, leaders = h, []
+                    at, home, leaders = p, h, []
                 s = np.frombuffer(data, np.uint64)
                 for i, (r, other, _) in enumerate(leaders):
                     if rule.smallest(max(len(s), len(other))) <= min(len(s), len(other)) and _common(s, other) >= rule.overlap(len(s), len(other)):
@@ -202,21 +203,40 @@ def _leaders(rows: DataFrame, rule: Threshold, most: int = 16) -> DataFrame:
         types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 5, types)], ["home", "rep", "leader", "set", "hits"])
 
-    return rows.mapInArrow(link, "home bigint, rep bigint, leader bigint, set binary, hits bigint")
-
-
-def _leader_links(sets: DataFrame, rule: Threshold) -> DataFrame:
-    """Verified links ``(a, b)`` within minimum-hash groups; groups over several tasks meet through their leaders."""
-    rows = sets.select(F.explode("homes").alias("home"), "rep", "set", F.lit(0).cast("bigint").alias("hits"))
-    first = materialize(_leaders(rows.repartitionByRange("home", "rep").sortWithinPartitions("home", "rep"), rule), "leaders")
-    again = first.where("leader is null").select("home", "rep", "set", "hits")
-    several = again.groupBy("home").agg(F.count("*").alias("k")).where("k > 1").select("home")
-    again = again.join(several, "home", "left_semi")
-    # those with most links in any task come first, so that they stay at hand
-    second = _leaders(again.repartitionByRange("home").sortWithinPartitions("home", F.desc("hits"), "rep"), rule)
-    second = materialize(second.where("leader is not null").drop("set"), "leaders")
-    both = first.where("leader is not null").drop("set").unionByName(second)
-    return both.select(F.col("rep").alias("a"), F.col("leader").alias("b"))
+    return rows.select("part", "home", "rep", "set", "hits").mapInArrow(link, "home bigint, rep bigint, leader bigint, set binary, hits bigint")
+
+
+def _leader_links(sets: DataFrame, rule: Threshold, most_rows: int = 2000) -> DataFrame:
+    """Verified links ``(a, b)`` within minimum-hash groups.
+
+    Groups over several tasks meet through their leaders, round by round: a
+    group's leaders are dealt by hash to parts of about ``most_rows``, so no
+    task gets more, and those that a part leaves meet in fewer parts in the next
+    round.  The rounds end once each group was one part, or is no longer getting
+    much smaller; what is left to find there is found by the exact candidate step.
+    """
+    rows = sets.select(F.explode("homes").alias("home"), "rep", "set", F.lit(0).cast("bigint").alias("hits")).withColumn("part", F.col("home"))
+    found = materialize(_leaders(rows.repartitionByRange("home", "rep").sortWithinPartitions("home", "rep"), rule), "leaders")
+    links, last = [found.where("leader is not null").select("rep", "leader")], None
+    while True:
+        left = found.where("leader is null").select("home", "rep", "set", "hits")
+        groups = left.groupBy("home").agg(F.count("*").alias("k")).where("k > 1")
+        total = groups.agg(F.sum("k")).first()[0] or 0
+        if not total or last is not None and total > 0.8 * last:
+            break
+        last = total
+        dealt = left.join(groups.withColumnRenamed("home", "of"), F.col("home") == F.col("of"))
+        parts = F.ceil(F.col("k") / most_rows)
+        dealt = dealt.withColumn("part", F.xxhash64("home", F.pmod(F.xxhash64("rep", F.lit(last)), parts)))
+        dealt = dealt.select("part", "home", "rep", "set", "hits")
+        # those with most links in any task come first, so that they stay at hand
+        dealt = dealt.repartition("part").sortWithinPartitions("part", F.desc("hits"), "rep")
+        again = groups.where(F.col("k") > most_rows).select(F.col("home").alias("large"))
+        found = materialize(_leaders(dealt, rule), "leaders")
+        links.append(found.where("leader is not null").select("rep", "leader"))
+        # groups that were one part have met
+        found = found.join(again, F.col("home") == F.col("large"), "left_semi")
+    return reduce(DataFrame.unionByName, links).select(F.col("rep").alias("a"), F.col("leader").alias("b"))
 
 
 def _with_component(rows: DataFrame, known: DataFrame) -> DataFrame:
