@@ -131,6 +131,49 @@ def page_text(html: Column) -> Column:
     return F.regexp_replace(F.when(F.trim(article) != "", article).otherwise(body), r"(?s)<[^>]*>", " ")
 
 
+def domains_of(host: Column, top: Column) -> Column:
+    """The domains a host is in, from ``top`` (default: its last two labels) to the host itself."""
+    labels = F.split(host, r"\.")
+    size = F.size(labels)
+    first = F.least(F.coalesce(F.size(F.split(top, r"\.")), F.lit(2)), size)
+    return F.transform(F.sequence(first, size), lambda i: F.array_join(F.slice(labels, size - i + 1, i), "."))
+
+
+def host_priors(rows: DataFrame, decided: DataFrame, counts: list[Column], overall: Column, smooth: float) -> DataFrame:
+    """``(host, p)``: shares of the languages by host, smoothed along every domain above it.
+
+    A domain's counts are those of all hosts in it.  From the outermost domain
+    to the host, ``p = (counts + smooth * p of the domain above) / (rows + smooth)``,
+    starting from all rows' shares, so a new or small host borrows from the
+    nearest domain that has rows.  Counts are grouped by host before they are
+    spread over domains; a host has as many domains as labels.
+    """
+    by_host = decided.where("host is not null").groupBy("host", "parent").agg(F.array(*counts).alias("c"))
+    spread = by_host.select(F.explode(domains_of(F.col("host"), F.col("parent"))).alias("domain"), "c")
+    by_domain = spread.groupBy("domain").agg(F.array(*[F.sum(F.col("c")[i]) for i in range(len(counts))]).alias("c"))
+    hosts = rows.where("host is not null").groupBy("host").agg(F.max("parent").alias("parent"))
+    chain = hosts.select("host", F.posexplode(domains_of(F.col("host"), F.col("parent"))).alias("level", "domain")).join(by_domain, "domain")
+    chain = chain.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("level", "c"))).alias("chain"))
+    size = len(counts)
+
+    def narrower(p: Column, domain: Column) -> Column:
+        n = F.aggregate(domain["c"], F.lit(0.0), lambda s, x: s + x) + smooth
+        return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (F.get(domain["c"], i) + smooth * F.get(p, i)) / n)
+
+    return chain.select("host", F.aggregate("chain", overall, narrower).alias("p"))
+
+
+def _with_priors(rows: DataFrame, priors: DataFrame, salts: int = 32, hot: int = 1000) -> DataFrame:
+    """``rows`` with their host's prior.  Hosts with over a ``hot``-th of the rows (so at most ``hot`` names) are dealt to ``salts`` tasks."""
+    total = rows.count()
+    large = rows.where("host is not null").groupBy("host").count().where(F.col("count") * hot > total).select("host")
+    names = [r["host"] for r in large.collect()]
+    is_large = F.col("host").isin(names) if names else F.lit(False)
+    left = rows.withColumn("salt", F.when(is_large, F.pmod(F.xxhash64("id", "tid"), F.lit(salts))).otherwise(F.lit(0).cast("bigint")))
+    spread = F.when(is_large, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))
+    return left.join(priors.withColumn("salt", F.explode(spread)), ["host", "salt"], "left").drop("salt")
+
+
 def identify(
     docs: DataFrame,
     model: TextModel,
@@ -148,6 +191,8 @@ def identify(
     ``lang`` is the most probable class given all evidence and ``confidence``
     its probability; ``accepted`` is false for ``und`` and below
     ``min_confidence``.  Evidence that is null or not given has no effect.
+    A host's prior is smoothed along all domains between it and ``parent``
+    (default: its last two labels), see ``host_priors``.
     Null and empty texts have no trigrams: the other evidence decides, and
     without any they are ``und``.  Ties go to the first language in order.
     ``lk_tid`` (hash of the text) tells rows of one id apart; repeated rows
@@ -195,29 +240,20 @@ def identify(
     decided = rows.where(f"n > 0 and sure >= 0.9 and pick < {k - 1}")
     counts = [F.sum((F.col("pick") == i).cast("double")) for i in range(k - 1)]
 
-    # hosts, towards their parent, towards all rows
+    # hosts, towards the domains they are in, one after the other, towards all rows
     total = decided.agg(F.array(*[F.coalesce(c, F.lit(0.0)) for c in counts]).alias("c")).first()["c"]
     share = [(c + 1) / (sum(total) + max(1, k - 1)) for c in total]
     overall = F.array(*[F.lit(float(s)) for s in share])
 
-    def smoothed(counted: str, towards: str) -> Column:
-        return F.expr(f"transform(sequence(0, {k - 2}), i -> ({counted}[i] + {smooth} * {towards}[i]) / (aggregate({counted}, 0D, (s, x) -> s + x) + {smooth}))")
-
     def log_with_und(p: str) -> Column:
         return F.expr(f"concat(transform({p}, x -> ln(x * {1 - UND_PRIOR})), array({math.log(UND_PRIOR)}D))")
 
     out = rows
     if k > 1:
-        by_parent = decided.where("parent is not null").groupBy("parent").agg(F.array(*counts).alias("c")).withColumn("o", overall)
-        by_parent = by_parent.select("parent", smoothed("c", "o").alias("pp"))
-        by_host = decided.where("host is not null").groupBy("host", "parent").agg(F.array(*counts).alias("c")).join(by_parent, "parent", "left")
-        by_host = by_host.withColumn("pp", F.coalesce("pp", overall)).groupBy("host").agg(F.max_by(F.struct("c", "pp"), F.aggregate("c", F.lit(0.0), lambda s, x: s + x)).alias("h"))
-        by_host = by_host.select("host", F.col("h.c").alias("c"), F.col("h.pp").alias("pp"))
-        by_host = by_host.withColumn("p", smoothed("c", "pp")).select("host", log_with_und("p").alias("on_host"))
-        by_parent = by_parent.select("parent", log_with_und("pp").alias("on_parent"))
-        out = out.join(by_host, "host", "left").join(by_parent, "parent", "left")
+        priors = host_priors(rows, decided, counts, overall, smooth).select("host", log_with_und("p").alias("on_host"))
+        out = _with_priors(out, priors)
         flat = F.array(*[F.lit(math.log(s * (1 - UND_PRIOR))) for s in share], F.lit(math.log(UND_PRIOR)))
-        out = out.withColumn("on_host", F.coalesce("on_host", "on_parent", flat))
+        out = out.withColumn("on_host", F.coalesce("on_host", flat))
         for name in ("declared", "suffix"):
             # P(value | language), from the counts of all rows that have a value
             seen = decided.where(f"{name} is not null").groupBy(name).agg(F.array(*counts).alias("c"))
