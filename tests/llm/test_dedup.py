@@ -241,3 +241,32 @@ def test_count_allows_for_pairs_that_do_not_meet():
         assert embedding_dedup.calibrated_count(projections, deviations, recall) >= need
     # a gate that alone takes about all the loss allowed leaves the count less
     assert embedding_dedup.calibrated_count(24, 2.0, 0.999, 3.3) < embedding_dedup.calibrated_count(24, 2.0, 0.999)
+
+
+def test_tables_of_cells_find_each_link_once(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((150, 48))
+    x = np.concatenate([centres[rng.integers(0, 150, 900)] + 0.15 * rng.standard_normal((900, 48)) * rng.random((900, 1)), rng.standard_normal((300, 48))])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    rows = [(i, v.tolist(), 1, "c", 0.5) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, n int, cell string, at double")
+    for tables in ((3, 6), (6, 13)):
+        got = {r.vec_id: r for r in embedding_dedup.near_vectors(df, tables=tables, block_rows=64).collect()}
+        found = np.array([got[i].n_links for i in range(len(x))])
+        assert (found <= near.sum(axis=1)).all() and found.sum() >= 0.999 * near.sum() > 2000
+        top = roots(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(near))])
+        assert np.mean([got[i].component_id == top[i] for i in range(len(x))]) >= 0.999
+
+
+def test_tables_follow_the_number_of_vectors():
+    assert embedding_dedup.table_plan(50_000, 0.95, 0.999, 3.5) == (0, 1)
+    work = []
+    for n in (50_000, 500_000, 5_000_000, 10**9):
+        signs, tables = embedding_dedup.table_plan(n, 0.95, 0.999, 3.5)
+        work.append(tables * (0.6 * n / 2**signs + 3000))
+        if signs:
+            agree = (1 - np.arccos(0.95) / np.pi) ** signs * 0.999
+            assert (1 - agree) ** tables <= 0.0005
+    assert work[1] < 2.2 * work[0] and work[3] < 10 * work[0]
