@@ -64,6 +64,11 @@ def _per_session(build):
     return cached
 
 
+def forget(spark: SparkSession) -> None:
+    """Drop the session's kept plans."""
+    _PLANS.pop(spark, None)
+
+
 @_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
