@@ -7,7 +7,13 @@
     python -m lakekit validate --sales LOC --employees LOC --raw items=ITEMS.csv ...
     python -m lakekit refresh --lake-root ROOT --items I.csv --products P.csv --sheet HR.csv
     python -m lakekit discover PATH [--table db.t [--lake-root ROOT --principal P --apply]]
-    python -m lakekit changes DIR [--glob '*.csv'] [--previous MANIFEST] [--save MANIFEST]
+    python -m lakekit discover PATH --table db.t --apply --location LOC   (widening and nested changes too)
+    python -m lakekit crawl ROOT
+    python -m lakekit partitions db.t LOCATION [--repair --principal P]
+    python -m lakekit changes DIR [--glob '*.csv'] [--no-digest] [--previous MANIFEST] [--save MANIFEST]
+    python -m lakekit split CSV --kept OUT --quarantined OUT [--unquoted]
+    python -m lakekit reconcile LEFT RIGHT --key COLUMN [--leaf N]
+    python -m lakekit lineage FILE.sql --sales LOC --employees LOC
 
 Jobs write a fresh version folder under the table location and print its
 path (``--lake-root`` also registers and repoints the catalog table).
@@ -22,8 +28,11 @@ import datetime as dt
 import sys
 
 from lakekit import catalog as C
+from lakekit import crawl as W
 from lakekit import expect as X
+from lakekit import lineage
 from lakekit import policy as G
+from lakekit import reconcile as R
 from lakekit import sinks as K
 from lakekit.contracts import ANALYTICS, EMPLOYEE_CONTRACT, SALES_CONTRACT
 from lakekit.plans import business as B
@@ -32,6 +41,7 @@ from lakekit.plans.lake import RawDeliveries, refresh_lake
 from lakekit.session import get_session
 from lakekit.sources import manifest as M
 from lakekit.sources.files import read_raw_csv, read_refined
+from lakekit.sources.quarantine import split_csv
 from lakekit.validate import validate_lake
 
 QUERIES = {
@@ -114,6 +124,7 @@ def main(argv=None) -> int:
     d.add_argument("--glob", default="*.parquet")
     d.add_argument("--table")
     d.add_argument("--apply", action="store_true")
+    d.add_argument("--location", help="versioned location of the table: also widen types and change nested columns, by a new version")
     d.add_argument("--lake-root", default="lake")
     d.add_argument("--principal")
     c = sub.add_parser("changes", help="raw file manifest and changes since a saved manifest")
@@ -122,7 +133,32 @@ def main(argv=None) -> int:
     c.add_argument("--digest", action=argparse.BooleanOptionalAction, default=True, help="compare contents (default), or only length and time")
     c.add_argument("--previous")
     c.add_argument("--save")
-    for p in (s, e, q, x, v, r, d, c):
+    w = sub.add_parser("crawl", help="tables below a lake root: compatible files grouped")
+    w.add_argument("root")
+    w.add_argument("--glob", default="*.parquet")
+    w.add_argument("--similarity", type=float, default=0.7)
+    t = sub.add_parser("partitions", help="key=value folders of a location against the catalog's partitions")
+    t.add_argument("table")
+    t.add_argument("location")
+    t.add_argument("--repair", action="store_true")
+    t.add_argument("--principal")
+    t.add_argument("--lake-root", default="lake")
+    m = sub.add_parser("split", help="CSV rows kept and rows quarantined, as Parquet")
+    m.add_argument("path")
+    m.add_argument("--kept", required=True)
+    m.add_argument("--quarantined", required=True)
+    m.add_argument("--unquoted", action="store_true")
+    n = sub.add_parser("reconcile", help="key ranges in which two Parquet tables differ")
+    n.add_argument("left")
+    n.add_argument("right")
+    n.add_argument("--key", required=True)
+    n.add_argument("--leaf", type=int, default=1)
+    y = sub.add_parser("lineage", help="source columns of each output column of a file's statements")
+    y.add_argument("file")
+    y.add_argument("--sales", required=True)
+    y.add_argument("--employees", required=True)
+    y.add_argument("--principal", default=ANALYTICS)
+    for p in (s, e, q, x, v, r, d, c, w, t, m, n, y):
         p.add_argument("--master")
     args = ap.parse_args(argv)
     spark = get_session(args.master)
@@ -140,10 +176,11 @@ def main(argv=None) -> int:
         return 0
 
     if args.cmd == "discover":
-        found = C.discover_schema(spark, args.path, args.glob)
+        nested = args.location is not None
+        found = C.discover_schema(spark, args.path, args.glob, nested=nested)
         _print_all(found.orderBy("position", "column").select("column", "type", "files", "status"))
         if args.table:
-            declared = C.schema_frame(spark, spark.table(args.table).schema)
+            declared = C.schema_frame(spark, spark.table(args.table).schema, nested=nested)
             drift = C.schema_drift(declared, found.select("column", "type"), args.table)
             _print_all(drift.orderBy("column"))
             if args.apply:
@@ -151,6 +188,9 @@ def main(argv=None) -> int:
                 if not args.principal and args.table.split(".")[0] in {g.database for g in policy.grants}:
                     ap.error("--apply to a governed database needs --principal, whose DDL grants are checked")
                 allowed = policy.ddl_guard(args.principal) if args.principal else None
+                if nested:
+                    print(C.evolve_table(spark, args.table, args.location, drift, allowed=allowed).toDDL())
+                    return 0
                 for stmt in C.apply_drift(spark, args.table, drift, allowed=allowed):
                     print(stmt)
         return 0
@@ -165,6 +205,30 @@ def main(argv=None) -> int:
         if args.save:
             current.write.mode("overwrite").parquet(args.save)
         return 0
+    if args.cmd == "crawl":
+        _print_all(W.crawl(spark, args.root, args.glob, args.similarity).select("table", "location", "folders", "files", "rows", "columns", "status", "schema").orderBy("location", "table"))
+        return 0
+    if args.cmd == "partitions":
+        if args.repair:
+            policy = G.Policy(G.reference_grants(args.lake_root))
+            if not args.principal and args.table.split(".")[0] in {g.database for g in policy.grants}:
+                ap.error("--repair in a governed database needs --principal, whose DDL grants are checked")
+            allowed = policy.ddl_guard(args.principal) if args.principal else None
+            done = W.repair_partitions(spark, args.table, args.location, allowed=allowed)
+            print(f"added {done['MISSING']}, dropped {done['STALE']}", file=sys.stderr)
+        _print_all(W.partition_report(spark, args.table, args.location).orderBy("spec"))
+        return 0
+    if args.cmd == "split":
+        split = split_csv(spark, args.path, quoted=not args.unquoted)
+        split.kept.write.parquet(args.kept)
+        split.quarantined.write.parquet(args.quarantined)
+        _print_all(split.checks)
+        return 0
+    if args.cmd == "reconcile":
+        left, right = spark.read.parquet(args.left), spark.read.parquet(args.right)
+        found = R.differing_ranges(left, right, args.key, leaf=args.leaf)
+        _print_all(found.orderBy("lo"))
+        return 0 if found.isEmpty() else 1
     if args.cmd == "refresh":
         out = refresh_lake(spark, args.lake_root, RawDeliveries(args.items, args.products, args.sheet), load_date=args.load_date)
         print(out.sales_path)
@@ -177,7 +241,7 @@ def main(argv=None) -> int:
     # Lake paths only matter for write grants, so a placeholder root is
     # enough for reading.
     policy = G.Policy(G.reference_grants("lake"))
-    if args.cmd == "sql":
+    if args.cmd in ("sql", "lineage"):
         # The principal session exposes the governed tables; statements run one
         # by one and may name them bare or with their database.
         with open(args.file) as fh:
@@ -191,6 +255,10 @@ def main(argv=None) -> int:
                 EMPLOYEE_CONTRACT.qualified_name: lambda sess: read_refined(sess, EMPLOYEE_CONTRACT, args.employees),
             },
         )
+        if args.cmd == "lineage":
+            for statement in statements:
+                _print_all(lineage.column_lineage(session, statement, session.lk_views).orderBy("position", "table", "column"))
+            return 0
         cols = {c.qualified_name: c.columns for c in (SALES_CONTRACT, EMPLOYEE_CONTRACT)}
         name = args.file.rsplit("/", 1)[-1].rsplit(".", 1)[0]
         for i, statement in enumerate(statements, 1):

@@ -117,3 +117,57 @@ def test_discover_applies_drift_to_a_registered_table(spark, tmp_dir, capsys):
     out = capsys.readouterr().out
     assert "probe_drift_db.t,b,,string,ADD" in out and "ALTER TABLE probe_drift_db.t ADD COLUMNS (`b` string)" in out
     assert spark.table("probe_drift_db.t").columns == ["a", "b"]
+
+
+def test_crawl_partitions_split_and_reconcile(spark, tmp_dir, capsys):
+    root = os.path.join(tmp_dir, "lake")
+    df = spark.createDataFrame([(i, f"n{i}", f"2024-01-0{1 + i % 2}") for i in range(10)], "k int, name string, day string")
+    df.coalesce(1).write.partitionBy("day").parquet(f"{root}/events")
+    df.coalesce(1).write.parquet(f"{root}/other/flat")
+    assert main(["crawl", root]) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert [line.split(",")[0] for line in lines[1:]] == ["events", "flat"] and ",10,2,SAME,k int, name string" in lines[1]
+
+    spark.sql("DROP TABLE IF EXISTS cli_parts")
+    spark.sql(f"CREATE TABLE cli_parts (k int, name string, day string) USING parquet PARTITIONED BY (day) LOCATION '{root}/events'")
+    assert main(["partitions", "cli_parts", f"{root}/events"]) == 0
+    assert capsys.readouterr().out.count(",MISSING,") == 2
+    assert main(["partitions", "cli_parts", f"{root}/events", "--repair"]) == 0
+    assert capsys.readouterr().out.count(",OK,") == 2 and spark.table("cli_parts").count() == 10
+    spark.sql("DROP TABLE cli_parts")
+
+    _write(os.path.join(tmp_dir, "in.csv"), 'a,b\n1,"x"\n2\n3,y,z\n')
+    assert main(["split", os.path.join(tmp_dir, "in.csv"), "--kept", f"{tmp_dir}/kept", "--quarantined", f"{tmp_dir}/bad"]) == 0
+    assert "raw:rows_accounted,OK,lines=3 kept=1 quarantined=2" in capsys.readouterr().out
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/kept").collect()] == [("1", "x")]
+
+    df.where("k <> 7").write.parquet(f"{tmp_dir}/right")
+    assert main(["reconcile", f"{root}/other/flat", f"{tmp_dir}/right", "--key", "k"]) == 1
+    assert capsys.readouterr().out.strip().splitlines()[1:] == ["7,7,1,0"]
+    assert main(["reconcile", f"{tmp_dir}/right", f"{tmp_dir}/right", "--key", "k"]) == 0
+
+
+def test_discover_widens_a_versioned_table(spark, tmp_dir, capsys):
+    from lakekit import sinks as K
+
+    location = f"{tmp_dir}/t"
+    path = K.new_version_path(location)
+    spark.createDataFrame([(1, (2,))], "a int, s struct<x:int>").write.parquet(path)
+    K.publish_version(spark, location, path)
+    spark.sql("DROP TABLE IF EXISTS cli_evolved")
+    spark.sql(f"CREATE TABLE cli_evolved (a int, s struct<x:int>) USING parquet LOCATION '{path}'")
+    spark.createDataFrame([(1 << 40, (1.5, "new"))], "a bigint, s struct<x:double,y:string>").write.parquet(f"{tmp_dir}/new")
+    assert main(["discover", f"{tmp_dir}/new", "--table", "default.cli_evolved", "--apply", "--location", location]) == 0
+    assert "a BIGINT" in capsys.readouterr().out
+    assert [tuple(r) for r in spark.table("cli_evolved").select("a", "s.x", "s.y").collect()] == [(1, 2.0, None)]
+    spark.sql("DROP TABLE cli_evolved")
+
+
+def test_lineage_of_a_statement(spark, tmp_dir, capsys):
+    from lakekit.contracts import EMPLOYEE_CONTRACT, SALES_CONTRACT
+
+    spark.createDataFrame([("a", 1.0, 1)], SALES_CONTRACT.schema).write.parquet(f"{tmp_dir}/sales")
+    spark.createDataFrame([], EMPLOYEE_CONTRACT.schema).write.parquet(f"{tmp_dir}/emp")
+    _write(os.path.join(tmp_dir, "q.sql"), "SELECT departamento, max(idade) AS mais FROM funcionarios GROUP BY departamento;")
+    assert main(["lineage", f"{tmp_dir}/q.sql", "--sales", f"{tmp_dir}/sales", "--employees", f"{tmp_dir}/emp"]) == 0
+    assert capsys.readouterr().out.strip().splitlines()[1:] == ["0,departamento,rh_db.funcionarios,departamento", "1,mais,rh_db.funcionarios,idade"]
