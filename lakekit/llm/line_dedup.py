@@ -12,6 +12,7 @@ key is rewritten only a logarithmic number of times.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,21 +22,36 @@ from lakekit.llm.common import BLANKS, lower_ascii, materialize, release
 from lakekit.session import work_path
 
 
+#: While runs are read: the sorted file of a bucket counts as sorted, and a scan keeps to the buckets also where nothing is joined.
+BUCKETED = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+
+
+@contextmanager
+def bucketed(spark: SparkSession):
+    """The settings under which runs are read; those of the session come back afterwards."""
+    before = {key: spark.conf.get(key) for key in BUCKETED}
+    try:
+        for key, value in BUCKETED.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 class LineRuns:
     """The sorted runs, by level.  Folders only: nothing is kept in memory but their paths.
 
     ``buckets`` (default: the session's shuffle partitions) is fixed for the
     life of the runs.  A run is opened by declaring a bucketed table over its
-    folder, which is dropped from the catalog once the plan holds it.
+    folder, which is dropped from the catalog once the plan holds it.  Plans over
+    runs are to be executed within ``bucketed``.
     """
 
     def __init__(self, spark: SparkSession, fanout: int = 3, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
-        # the sorted file of a bucket counts as sorted, and a scan keeps to the buckets also where nothing is joined
-        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
-        spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
 
     def paths(self) -> list[str]:
         return [p for level in self.levels for p in level]
@@ -78,7 +94,8 @@ class LineRuns:
             if level == len(self.levels):
                 self.levels.append([])
             path = f"{self._group(level)}/run-{len(self.levels[level])}"
-            self._write(keys, path)
+            with bucketed(self.spark):
+                self._write(keys, path)
             self.levels[level].append(path)
             if len(self.levels[level]) < self.fanout:
                 return
@@ -111,7 +128,8 @@ def batch_drops(keys: DataFrame, runs: LineRuns) -> DataFrame:
     expected to be larger.
     """
     owners = keys.groupBy("key").agg(F.min("id").alias("owner"))
-    fresh = materialize(runs.new_of(owners), "line-owners")
+    with bucketed(runs.spark):
+        fresh = materialize(runs.new_of(owners), "line-owners")
     drops = keys.join(fresh, "key", "left").where("owner is null or id <> owner").select("id", "tid", "pos")
     drops = materialize(drops, "line-drops")
     runs.add(fresh)

@@ -66,9 +66,11 @@ def test_runs_are_neither_exchanged_nor_sorted(spark):
     for i in range(3):
         runs.add(spark.range(i * 100, i * 100 + 100).selectExpr("unhex(md5(string(id))) AS key"))
     keys = spark.range(250, 400).selectExpr("unhex(md5(string(id))) AS key", "id").groupBy("key").agg({"id": "min"})
-    fresh = runs.new_of(keys)
-    assert fresh.count() == 100
-    plan = fresh._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    with line_dedup.bucketed(spark):
+        fresh = runs.new_of(keys)
+        assert fresh.count() == 100
+        plan = fresh._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
     lines = plan.splitlines()
     assert sum("SortMergeJoin" in x for x in lines) == 3 and sum("Exchange" in x for x in lines) == 1 and sum(" Sort " in x for x in lines) == 1
     assert sum("Bucketed: true" in x for x in lines) == 3
