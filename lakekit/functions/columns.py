@@ -89,7 +89,8 @@ def amount_units(name: str) -> dict[str, str]:
     value = f"try_cast(`{name}` AS double)"
     whole = f"CASE WHEN abs({value}) < 1152921504606846976D THEN cast({value} AS bigint) END"
     micro = f"cast(rint(({value} - {whole}) * 1e6D) AS bigint)"
-    exact = f"{whole} + {micro} / 1e6D = {value}"
+    # one correctly rounded division where the millionths fit a double; above, the places are coarser than a rounded sum
+    exact = f"CASE WHEN abs({value}) < 2147483648D THEN ({whole} * 1000000L + {micro}) / 1e6D ELSE {whole} + {micro} / 1e6D END = {value}"
     return {
         "high": f"CASE WHEN {exact} THEN shiftright({whole}, {_LOW_BITS}) END",
         "low": f"CASE WHEN {exact} THEN {whole} & {(1 << _LOW_BITS) - 1}L END",
