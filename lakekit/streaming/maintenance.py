@@ -1,21 +1,23 @@
 """Incremental maintenance of the sales table while products change.
 
-Items and product changes stream in together.  State is held per product: its
-present category and the sums of its items.  An item adds to its product's
-category; a product that moves to another category, appears or is deleted
-takes its sums out of the old category and adds them to the new one.  What
-goes out per micro-batch is therefore a handful of signed differences per
-category, which are stored by epoch, added up, and published as a new version.
+Items and product changes stream in together.  What is known of a product lies
+with the checkpoint as one row per product and micro-batch that touched it: the
+batch's sums of its items and the change it took.  A micro-batch adds up its
+items and changes by product and joins them to what earlier ones stored.  An
+item adds to its product's category; a product that moves to another category,
+appears or is deleted takes its sums out of the old category and adds them to
+the new one.  What goes out per micro-batch is therefore a handful of signed
+differences per category, which are stored by epoch, added up, and published as
+a new version.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lakekit.commits import file_system
 from lakekit.contracts import SALES_CONTRACT, Contract
@@ -26,10 +28,12 @@ from lakekit.sources.files import all_text_schema
 #: Signed sums that go out per category and are held per product.
 SUMS = {"high": "bigint", "low": "bigint", "micro": "bigint", "rough": "double", "odd": "bigint", "priced": "bigint", "items": "bigint", "n": "bigint"}
 _SUMS = ", ".join(f"{n} {t}" for n, t in SUMS.items())
-_EVENT = f"product string, change boolean, seq bigint, deleted boolean, category string, {_SUMS}"
-_STATE = f"known boolean, category string, seq bigint, {_SUMS}"
+_CHANGE = "struct<seq: bigint, deleted: boolean, category: string>"
+#: A product's sums and last change; of one epoch, with what was known before, or of all epochs before one.
+_STATE = f"product string, change {_CHANGE}, {_SUMS}"
+_TOUCHED = f"{_STATE}, was struct<change: {_CHANGE}, {', '.join(f'{n}: {t}' for n, t in SUMS.items())}>"
 _DELTA = f"category string, {_SUMS}"
-#: Epochs after which the differences so far are added up to one set of totals.
+#: Epochs after which the differences, and the products' rows, so far are added up to one set of totals.
 COMPACT_EVERY = 16
 
 
@@ -38,44 +42,45 @@ def _raw_stream(spark: SparkSession, path: str, columns: Sequence[str]) -> DataF
     return reader.csv(path)
 
 
-def _combine(batches: Iterator) -> Iterator:
-    """Add up a task's items by product, batch by batch, so that a hot product is a row per batch when it is shuffled."""
-    import pyarrow as pa
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch]).group_by("product").aggregate([(n, "sum") for n in SUMS])
-        columns = {"product": table["product"], "change": [False] * len(table), "seq": [None] * len(table)}
-        columns |= {"deleted": [False] * len(table), "category": [None] * len(table)} | {n: table[f"{n}_sum"] for n in SUMS}
-        fields = [("product", pa.string()), ("change", pa.bool_()), ("seq", pa.int64()), ("deleted", pa.bool_()), ("category", pa.string())]
-        fields += [(n, pa.float64() if t == "double" else pa.int64()) for n, t in SUMS.items()]
-        yield from pa.table({k: pa.array(v.to_pylist(), dict(fields)[k]) if isinstance(v, pa.ChunkedArray) else pa.array(v, dict(fields)[k]) for k, v in columns.items()}).to_batches()
-
-
-def _fold(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
-    """One product's new state, and what it takes from and gives to categories."""
-    import pandas as pd
-
-    known, category, seq, *sums = state.get if state.exists else (False, None, -1, *([0.0 if t == "double" else 0 for t in SUMS.values()]))
-    was, added = (known, category), [type(x)(0) for x in sums]
-    for frame in frames:
-        changes = frame[frame["change"]]
-        if len(changes):
-            last = changes.loc[changes["seq"].astype("int64").idxmax()]
-            if int(last["seq"]) > seq:
-                seq, known = int(last["seq"]), not bool(last["deleted"])
-                category = last["category"] if known and isinstance(last["category"], str) else None
-        items = frame[~frame["change"]]
-        if len(items):
-            added = [x + type(x)(items[n].sum()) for x, n in zip(added, SUMS)]
-    total = [x + y for x, y in zip(sums, added)]
-    state.update((known, category, seq, *total))
-    if was == (known, category):
-        out = [(category, *added)] if known and added[-1] else []
-    else:
-        out = [(was[1], *(-x for x in sums))] if was[0] and sums[-1] else []
-        out += [(category, *total)] if known and total[-1] else []
-    if out:
-        yield pd.DataFrame(out, columns=["category", *SUMS]).astype({"category": object})
+def _zero(name: str):
+    return F.lit(0).cast(SUMS[name])
+
+
+def _by_product(batch: DataFrame) -> DataFrame:
+    """A micro-batch's products: the sums of their items and their last change."""
+    units = {n: F.expr(e) for n, e in amount_units("price").items()}
+    units |= {"priced": F.col("price").isNotNull().cast("bigint"), "items": F.col("item").cast("bigint"), "n": F.lit(1).cast("bigint")}
+    sums = [F.sum(F.coalesce(units[n], _zero(n))).alias(n) for n in SUMS]
+    items = batch.where("seq is null").groupBy("product").agg(*sums)
+    changes = batch.where("seq is not null").groupBy("product").agg(F.max(F.struct("seq", "deleted", "category")).alias("change"))
+    both = items.join(changes, "product", "full_outer")
+    return both.select("product", "change", *[F.coalesce(n, _zero(n)).alias(n) for n in SUMS])
+
+
+def _known(state: DataFrame) -> DataFrame:
+    """Products' sums and last changes over all epochs read."""
+    return state.groupBy("product").agg(F.max("change").alias("change"), *[F.sum(n).alias(n) for n in SUMS])
+
+
+def _joined(touched: DataFrame, known: DataFrame) -> DataFrame:
+    """A micro-batch's products with what was known before; changes that come late are left out."""
+    was = known.select(F.col("product"), F.struct("change", *SUMS).alias("was"))
+    newer = F.col("change.seq") > F.coalesce("was.change.seq", F.lit(-1))
+    rows = touched.join(was, "product", "left")
+    return rows.withColumn("change", F.when(newer, F.col("change"))).select("product", "change", *SUMS, "was")
+
+
+def _differences(touched: DataFrame) -> DataFrame:
+    """What the products of a micro-batch take from and give to categories."""
+    listed = lambda change: F.coalesce(change["seq"].isNotNull() & ~change["deleted"], F.lit(False))
+    before, now = F.col("was.change"), F.coalesce("change", "was.change")
+    stays = listed(before) & listed(now) & before["category"].eqNullSafe(now["category"])
+    added = {n: F.col(n) for n in SUMS}
+    old = {n: F.coalesce(F.col(f"was.{n}"), _zero(n)) for n in SUMS}
+    row = lambda change, sums: F.struct(change["category"].alias("category"), *[sums[n].alias(n) for n in SUMS])
+    taken = F.when(listed(before) & ~stays, row(before, {n: -old[n] for n in SUMS}))
+    given = F.when(stays, row(now, added)).when(listed(now), row(now, {n: old[n] + added[n] for n in SUMS}))
+    return touched.select(F.explode(F.array(taken, given)).alias("d")).where("d is not null and d.n <> 0").select("d.*")
 
 
 def maintain_sales(
@@ -105,47 +110,59 @@ def maintain_sales(
     files are spread over calls; only amounts with more than six places, which
     are summed as doubles, may differ in their last digits.
 
-    The differences by epoch lie with the checkpoint; an epoch that runs again
-    writes the same ones, so recovery neither loses nor doubles anything.  State
-    grows with the products, the stored sums with the categories.
+    Products and differences by epoch lie with the checkpoint; an epoch that runs
+    again writes the same ones, so recovery neither loses nor doubles anything.
+    What is stored grows with the products, the sums with the categories.
+    A checkpoint begun when products lay in Spark's state store ends with an
+    error here; start a new one.
     """
-    units = amount_units("_price")
+    # items have no `seq`, changes have
     items = _raw_stream(spark, items_dir, items_columns).where(F.col(key).isNotNull())
-    items = items.select(F.col(key).alias("product"), F.trim(F.col(price)).try_cast("double").alias("_price"), F.col(item).alias("_item"))
-    sums = [F.coalesce(F.expr(e), F.lit(0)).cast(SUMS[n]).alias(n) for n, e in units.items()]
-    sums += [F.col("_price").isNotNull().cast("bigint").alias("priced"), F.col("_item").isNotNull().cast("bigint").alias("items"), F.lit(1).cast("bigint").alias("n")]
-    items = items.select("product", *sums).mapInArrow(_combine, _EVENT)
+    items = items.select(
+        F.col(key).alias("product"),
+        F.lit(None).cast("bigint").alias("seq"),
+        F.lit(False).alias("deleted"),
+        F.lit(None).cast("string").alias("category"),
+        F.trim(F.col(price)).try_cast("double").alias("price"),
+        F.col(item).isNotNull().alias("item"),
+    )
     changes = _raw_stream(spark, changes_dir, changes_columns).where(F.col(key).isNotNull() & F.col(seq).try_cast("bigint").isNotNull())
     changes = changes.select(
         F.col(key).alias("product"),
-        F.lit(True).alias("change"),
         F.col(seq).try_cast("bigint").alias("seq"),
         F.coalesce(F.col(deleted).try_cast("boolean"), F.lit(False)).alias("deleted"),
         F.col(category).alias("category"),
-        *[F.lit(0).cast(t).alias(n) for n, t in SUMS.items()],
+        F.lit(None).cast("double").alias("price"),
+        F.lit(False).alias("item"),
     )
     events = items.unionByName(changes)
-    deltas = events.groupBy("product").applyInPandasWithState(_fold, _DELTA, _STATE, "update", GroupStateTimeout.NoTimeout)
-    stored, totals = f"{checkpoint.rstrip('/')}/category-deltas", f"{checkpoint.rstrip('/')}/category-totals"
+    stored, totals, touched, known_products = (f"{checkpoint.rstrip('/')}/{name}" for name in ("category-deltas", "category-totals", "product-deltas", "product-totals"))
 
     def added_up(df: DataFrame) -> DataFrame:
         return df.groupBy("category").agg(*[F.sum(n).alias(n) for n in SUMS])
 
+    def read(schema: str, parts: str, sums: str, base: int, until: int) -> DataFrame:
+        """Totals of epochs before ``base`` and the parts from there to before ``until``."""
+        paths = [f"{parts}/epoch={e}" for e in range(base, until)] + ([f"{sums}/epoch={base}"] if base else [])
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
     def publish(batch: DataFrame, epoch: int) -> None:
-        session = batch.sparkSession
-        added_up(batch).write.mode("overwrite").parquet(f"{stored}/epoch={epoch}")
-        # totals of epochs before `base`, which were written when that epoch ran, and the differences since
+        # totals of epochs before `base` were written when the epoch before it ran
         base = epoch - epoch % COMPACT_EVERY
-        paths = [f"{stored}/epoch={e}" for e in range(base, epoch + 1)]
-        known = session.read.schema(_DELTA).parquet(*paths, *([f"{totals}/epoch={base}"] if base else []))
-        now = added_up(known)
+        batch_products = f"{touched}/batch"
+        _by_product(batch).write.mode("overwrite").parquet(batch_products)
+        rows = _joined(spark.read.schema(_STATE).parquet(batch_products), _known(read(_STATE, touched, known_products, base, epoch)))
+        rows.write.mode("overwrite").parquet(f"{touched}/epoch={epoch}")
+        added_up(_differences(spark.read.schema(_TOUCHED).parquet(f"{touched}/epoch={epoch}"))).write.mode("overwrite").parquet(f"{stored}/epoch={epoch}")
+        now = added_up(read(_DELTA, stored, totals, base, epoch + 1))
         if (epoch + 1) % COMPACT_EVERY == 0:
             now.write.mode("overwrite").parquet(f"{totals}/epoch={epoch + 1}")
-            hadoop, fs, _ = file_system(session, stored)
-            for e in range(base - COMPACT_EVERY, base):
-                if e >= 0:
-                    fs.delete(hadoop.Path(f"{stored}/epoch={e}"), True)
-        revenue = F.expr(merged_sql({n: n for n in units}))
+            _known(read(_STATE, touched, known_products, base, epoch + 1)).write.mode("overwrite").parquet(f"{known_products}/epoch={epoch + 1}")
+            hadoop, fs, _ = file_system(spark, stored)
+            gone = [f"{x}/epoch={e}" for x in (stored, touched) for e in range(max(0, base - COMPACT_EVERY), base)]
+            for path in [*gone, *([f"{known_products}/epoch={base - COMPACT_EVERY}"] if base > COMPACT_EVERY else [])]:
+                fs.delete(hadoop.Path(path), True)
+        revenue = F.expr(merged_sql({n: n for n in amount_units("price")}))
         table = now.where("n > 0").select(
             F.col("category").alias("product_category_name"),
             F.when(F.col("priced") > 0, revenue).alias("total_receita"),
@@ -153,7 +170,7 @@ def maintain_sales(
         )
         write_refined(table, contract, location)
 
-    query = deltas.writeStream.outputMode("update").foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = events.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     if wait:
         query.awaitTermination()
     return query

@@ -50,3 +50,31 @@ def test_equals_full_refresh_after_updates_and_deletes(spark, tmp_dir, monkeypat
     # nothing new: nothing changes
     maintain_sales(spark, f"{tmp_dir}/items", ITEMS, f"{tmp_dir}/changes", CHANGES, loc, ckpt)
     assert sorted(map(tuple, read_current(spark, SALES_CONTRACT, loc).collect()), key=str) == want
+
+
+def test_products_are_kept_as_tables_and_an_epoch_runs_again(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(M, "COMPACT_EVERY", 2)
+    loc, ckpt = f"{tmp_dir}/sales", f"{tmp_dir}/ckpt"
+    calls = [
+        ([("p1", 1, 2.5), ("p2", 1, 1), ("p3", 1, "NaN")], [("p1", "toys", 0, "false"), ("p2", "toys", 1, ""), ("p3", "pets", 1, "false")]),
+        ([("p1", 1, 4), ("p4", "", 7)], [("p2", "pets", 2, "false"), ("p3", "pets", 2, "true"), ("p1", "late", 0, "false"), ("p4", "books", -1, "false")]),
+        ([("p3", 1, 3), ("p2", 1, 8)], [("p4", "books", 1, "false"), ("p1", "", 5, "false"), ("p2", "toys", 1, "false")]),
+    ]
+    wants = [
+        [("pets", "nan", 1), ("toys", "3.5", 2)],
+        [("pets", "1.0", 1), ("toys", "6.5", 2)],
+        [("None", "6.5", 2), ("books", "7.0", 0), ("pets", "9.0", 2)],
+    ]
+    for call, ((items, changes), want) in enumerate(zip(calls, wants)):
+        _csv(f"{tmp_dir}/items/{call}.csv", ITEMS, items)
+        _csv(f"{tmp_dir}/changes/{call}.csv", CHANGES, changes)
+        for again in range(2):
+            if again:  # as after a driver lost before the epoch's end was noted
+                os.remove(f"{ckpt}/commits/{call}")
+                os.remove(f"{ckpt}/commits/.{call}.crc")
+            maintain_sales(spark, f"{tmp_dir}/items", ITEMS, f"{tmp_dir}/changes", CHANGES, loc, ckpt)
+            assert sorted((str(a), str(b), c) for a, b, c in read_current(spark, SALES_CONTRACT, loc).collect()) == want
+        # no call into Python for each product: their rows are tables, and Spark holds no state
+        assert not os.path.exists(f"{ckpt}/state")
+        assert spark.read.parquet(f"{ckpt}/product-deltas/epoch={call}").count() == len({r[0] for r in items + changes})
+    assert os.path.exists(f"{ckpt}/product-totals/epoch=2")
