@@ -106,6 +106,39 @@ def test_suffix_array_and_common_prefixes():
             assert lcp[b] == same
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 1000])
+def test_packed_numbers_come_back(n):
+    keys = np.sort(np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64, endpoint=False))
+    for some in (keys, keys >> np.uint64(40), np.full(n, 2**64 - 1, np.uint64), np.zeros(n, np.uint64)):
+        assert (suffix_dedup._unpacked_sorted(suffix_dedup._pack_sorted(some), n) == some).all()
+    for bits in (0, 1, 8, 11, 16, 51, 63):
+        some = keys & np.uint64((1 << bits) - 1)
+        assert (suffix_dedup._unpacked(suffix_dedup._pack(some, bits), n, bits) == some).all()
+    # fewer bytes than by whole bytes: 11 bits each, and a key's own bits less those that its place tells
+    assert len(suffix_dedup._pack(keys, 11)) <= n * 11 / 8 + 3
+    assert n < 100 or len(suffix_dedup._pack_sorted(keys)) < n * 7.25
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_shard_finds_its_groups_again(monkeypatch, weak):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abc") for _ in range(12)) for _ in range(6)]
+    texts = ["".join(rng.choice(words) for _ in range(20)).encode() for _ in range(40)]
+    windows = np.concatenate([np.arange(len(t) + 1) <= len(t) - 50 for t in texts])
+    row = {"text": b"".join(t + b"\xff" for t in texts), "windows": np.packbits(windows).tobytes(), "lengths": [len(t) for t in texts], "doc_ids": [7 * i % 40 for i in range(40)]}
+    if weak:  # keys of 9 bits: groups that share one are told apart all the same
+        hashes = suffix_dedup._gram_hashes
+        monkeypatch.setattr(suffix_dedup, "_gram_hashes", lambda text, k: hashes(text, k) & np.uint64(511))
+    sorted_, arrays = suffix_dedup._shard(row, 50, 3), []
+    count = suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda *a: arrays.append(1) or count(*a))
+    bucket = sorted_[6]
+    again = suffix_dedup._shard_again(row | {"found": [{"bucket": b, "n": int((bucket == b).sum())} for b in range(3)]}, 50, 3)
+    assert bool(arrays) == weak
+    for a, b in zip((sorted_[1], sorted_[2], sorted_[4], bucket, sorted_[8]), (again[0], again[1], again[3], again[4], again[5])):
+        assert (a == b).all()
+
+
 @pytest.mark.parametrize("kind", ["<u2", "<u4", "<u8"])
 def test_planes_give_back_the_numbers(kind):
     x = np.random.default_rng(4).integers(0, np.iinfo(kind).max, 1000, dtype=kind, endpoint=True)
