@@ -119,6 +119,15 @@ def test_packed_numbers_come_back(n):
     assert n < 100 or len(suffix_dedup._pack_sorted(keys)) < n * 7.25
 
 
+def test_shuffles_of_earlier_steps_go_before_blocks_are_written(spark, sample, monkeypatch):
+    calls = []
+    for name in ("release", "_blocks"):
+        monkeypatch.setattr(suffix_dedup, name, lambda *a, name=name, was=getattr(suffix_dedup, name): (calls.append(name), was(*a))[1])
+    docs = spark.createDataFrame(sample, "doc_id bigint, text string")
+    assert suffix_dedup.dedup_substrings(docs).count() == len(sample)
+    assert calls[:2] == ["release", "_blocks"]
+
+
 @pytest.mark.parametrize("weak", [False, True])
 def test_shard_finds_its_groups_again(monkeypatch, weak):
     rng = random.Random(3)
